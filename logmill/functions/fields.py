@@ -16,8 +16,10 @@ _STAMP = (
     r"(?U)^(?: (?=[1-9]/))?([0-9]{1,2})/([A-Za-z]{3})/((?!0000)[0-9]{4})"
     r":([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})[\s\x1c-\x1f]+"
 )
-_FRACTION = _STAMP + r"[+]([0-9]{1,6})\z"
-_OFFSET = _STAMP + r"([+-])(0[0-9]|1[0-8])([0-5][0-9])\z"
+_STAMPS = {
+    "reference": (_STAMP + r"[+]([0-9]{1,6})\z", ".$7"),
+    "utc": (_STAMP + r"([+-])(0[0-9]|1[0-8])([0-5][0-9])\z", "\n$7\n$8\n$9"),
+}
 
 
 def to_bytes(text: Column) -> Column:
@@ -29,32 +31,36 @@ def to_status(text: Column) -> Column:
     return text.try_cast("bigint")
 
 
-def to_datetime(text: Column, offset_mode: str = "reference") -> Column:
-    """Request time as ``timestamp_ntz``; empty text is 1900-01-01.
+def stamp_parts(text: Column, offset_mode: str = "reference") -> Column:
+    """Request time taken apart in one pattern match: year, month name, the rest in
+    ISO order, and in ``utc`` mode the offset's sign, hours and minutes.
+
+    Text that does not match stays whole, as the only part. Keep the result in a
+    column of its own before using it, or the pattern runs once per use.
+    """
+    pattern, rest = _STAMPS[_known(offset_mode)]
+    return F.split(F.regexp_replace(text, F.lit(pattern), F.lit("$3\n$2\n$1 $4:$5:$6" + rest)), "\n", -1)
+
+
+def to_datetime(text: Column, parts: Column, offset_mode: str = "reference") -> Column:
+    """Request time as ``timestamp_ntz``, from the text and its parts; empty text is 1900-01-01.
 
     ``reference`` keeps the wall-clock time and reads the digits after ``+`` as a
     fraction of a second (``+0330`` adds 33 ms); a negative offset does not
     convert. ``utc`` applies the offset instead.
     """
-    if offset_mode == "reference":
-        stamp = _iso(text, _FRACTION, ".$7").try_cast("timestamp_ntz")
-    elif offset_mode == "utc":
-        hours, minutes = (F.regexp_extract(text, _OFFSET, n).try_cast("int") for n in (8, 9))
-        shift = F.make_dt_interval(hours=hours, mins=minutes)
-        wall = _iso(text, _OFFSET, "").try_cast("timestamp_ntz")
-        stamp = F.when(F.regexp_extract(text, _OFFSET, 7) == "-", wall + shift).otherwise(wall - shift)
-    else:
-        raise ValueError(f"offset_mode must be 'reference' or 'utc', not {offset_mode!r}")
+    year, month, rest, sign, hours, minutes = (F.get(parts, F.lit(n)) for n in range(6))
+    numbers = F.create_map(*[F.lit(v) for n, m in enumerate(MONTHS, 1) for v in (m, str(n))])
+    number = F.try_element_at(numbers, F.lower(month))
+    stamp = F.concat(year, F.lit("-"), number, F.lit("-"), rest).try_cast("timestamp_ntz")
+    if _known(offset_mode) == "utc":
+        offset = F.make_dt_interval(hours=hours.try_cast("int"), mins=minutes.try_cast("int"))
+        stamp = F.when(sign == "-", stamp + offset).otherwise(stamp - offset)
     start = F.lit("1900-01-01").cast("timestamp_ntz")
     return F.when(text == "", start).otherwise(stamp)
 
 
-def _iso(text: Column, pattern: str, tail: str) -> Column:
-    """Reorder the stamp into ISO order, which Spark's own cast reads fastest."""
-    # No match leaves the text in place: one part, so the month lookup is null.
-    ordered = F.regexp_replace(text, F.lit(pattern), F.lit("$3\n$2\n$1 $4:$5:$6" + tail))
-    part = F.split(ordered, "\n", -1)
-    month = F.create_map(*[F.lit(v) for n, m in enumerate(MONTHS, 1) for v in (m, str(n))])
-    return F.concat_ws(
-        "-", F.get(part, F.lit(0)), F.try_element_at(month, F.lower(F.get(part, F.lit(1)))), F.get(part, F.lit(2))
-    )
+def _known(offset_mode: str) -> str:
+    if offset_mode not in _STAMPS:
+        raise ValueError(f"offset_mode must be one of {sorted(_STAMPS)}, not {offset_mode!r}")
+    return offset_mode

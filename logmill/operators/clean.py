@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logmill.functions import to_bytes, to_datetime, to_status
+from logmill.functions import stamp_parts, to_bytes, to_datetime, to_status
 
 
 def map_column(
@@ -40,14 +40,16 @@ def clean(df: DataFrame, offset_mode: str = "reference", on_bad_value: str = "fa
     """
     if on_bad_value not in ("fail", "null"):
         raise ValueError(f"on_bad_value must be 'fail' or 'null', not {on_bad_value!r}")
+    parts = "datetime_parts"
+    df = df.withColumn(parts, stamp_parts(F.col("datetime"), offset_mode))
     rules: dict[str, Callable[[Column], Column]] = {
         "bytes": to_bytes,
         "status": to_status,
-        "datetime": lambda text: to_datetime(text, offset_mode),
+        "datetime": lambda text: to_datetime(text, F.col(parts), offset_mode),
     }
     for name, rule in rules.items():
         df = map_column(df, name, _strict(name, rule) if on_bad_value == "fail" else rule)
-    return df
+    return df.drop(parts)
 
 
 def _strict(name: str, rule: Callable[[Column], Column]) -> Callable[[Column], Column]:

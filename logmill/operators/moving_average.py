@@ -1,23 +1,23 @@
 """Moving average over a time range, without a global window.
 
 ``AVG(v) OVER (ORDER BY t RANGE BETWEEN h PRECEDING AND h FOLLOWING)`` written as
-a Spark window puts the whole table into one partition, and Spark adds up every
-frame from scratch. Here the table is first reduced to its distinct times (with
-map-side combine, so a hot time is no problem). A frame from ``t - h`` to
-``t + h`` is then cut at whole seconds into
-
-* the end of its first second, from the microsecond of ``t`` on,
-* the whole seconds in between,
-* the start of its last second, up to the microsecond of ``t``.
-
-The whole seconds in between are again the end of one cell, a whole cell and the
-start of the next, with cells as long as the reach. Both cuts come down to
-running sums inside a cell. A second holds at most 10^6 distinct times and a
-cell at most ``h`` seconds, so no window group grows with the table. All sums
-are integers: the result is exact and independent of the order of adding.
+a Spark window puts the whole table into one partition and adds up every frame
+from scratch. Here the table is first reduced to its distinct times, with
+map-side combine, so that a hot time is no problem. The times are cut into
+buckets of ``12 h``; those within ``h`` of a border are copied to the next
+bucket too, 17% more rows. In a bucket each frame is the difference of two
+running sums, which cost one step per row.
+
+Log times are whole seconds, of which a bucket and its borders hold 100,800 at
+``h`` = 2 hours. Finer times may fill a bucket with far more. If they do, frames
+are cut at whole seconds: the seconds in between take the way above, and both
+ends are running sums within one second, which has 10^6 distinct times at most.
+So no window group grows with the table.
+
+All sums are of integers: exact, and the same in any order of adding.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,9 @@ from logmill.functions.scratch import materialize
 _SUMS = ("high", "low", "n")
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
+# Distinct times in one bucket up to which a task sorts it whole.
+_BUCKET_TIMES = 2_000_000
+
 # An input time with many rows is written back in pieces of at most this many.
 _COPIES_PER_PIECE = 1 << 16
 _ROWS_PER_TASK = 4_000_000
@@ -43,11 +46,7 @@ def range_moving_avg(
     a time are each other's frame, as in SQL. Runs one job right away, which
     writes the distinct times to the shared scratch folder.
     """
-    if half_width_seconds < 1:
-        raise ValueError("half_width_seconds must be at least 1")
-    if not isinstance(df.schema[value].dataType, _INTEGERS):
-        raise TypeError(f"{value} must be an integer column")
-    times = materialize(_distinct_times(df, time, value), "distinct-times")
+    times = _distinct_times(df, time, value)
     return _averages(times, half_width_seconds).select(
         F.col("time").alias(time), F.col("average").alias(alias), "records"
     )
@@ -61,10 +60,12 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
     time with many records is cut into pieces before the sort, which spreads
     them over tasks.
     """
-    times = materialize(_distinct_times(df, "datetime", "bytes"), "distinct-times")
-    records = times.agg(F.sum("records")).first()[0] or 0
-    tasks = min(max(1, records // _ROWS_PER_TASK), _MAX_TASKS)
-    pieces = _averages(times, half_width_seconds).select(
+    # Stored, because the range partitioning below reads its input twice.
+    averages = materialize(_averages(_distinct_times(df, "datetime", "bytes"), half_width_seconds), "averages")
+    records = averages.agg(F.sum("records")).first()[0] or 0
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(cores, records // _ROWS_PER_TASK), _MAX_TASKS)
+    pieces = averages.select(
         hour_of_day(F.hour("time")).alias("dt"),
         F.col("average").alias("bytes_5_hours_mov_avg"),
         "time",
@@ -83,98 +84,104 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
 
 
 def _distinct_times(df: DataFrame, time: str, value: str) -> DataFrame:
+    """Record count, value count and value sum per time, stored in the scratch folder."""
+    if not isinstance(df.schema[value].dataType, _INTEGERS):
+        raise TypeError(f"{value} must be an integer column")
     high, low = limbs(F.col(value).cast("bigint"))
     none = F.lit(0).cast("bigint")
-    return df.groupBy(F.col(time).alias("time")).agg(
+    times = df.groupBy(F.col(time).alias("time")).agg(
         F.count(F.lit(1)).alias("records"),
         F.coalesce(F.sum(high), none).alias("high"),
         F.coalesce(F.sum(low), none).alias("low"),
         F.count(value).alias("n"),
     )
+    return materialize(times, "distinct-times")
 
 
 def _averages(times: DataFrame, half_width: int) -> DataFrame:
-    """``time``, ``average`` and ``records`` for each of the distinct times."""
-    stamped = times.filter(F.col("time").isNotNull()).select(
-        "*", epoch_second(F.col("time")).alias("cell"), micro_of_second(F.col("time")).alias("offset")
-    )
-    ends = _frame_ends(stamped, half_width, carry=("time", "records"))
-    inner = _whole_seconds(stamped, half_width - 1).select(
-        "cell", *[F.col(c).alias(f"inner_{c}") for c in _SUMS]
-    )
-    framed = ends.join(inner, "cell").select(
-        "time", "records", *[(F.col(c) + F.col(f"inner_{c}")).alias(c) for c in _SUMS]
+    """``time``, ``average`` and ``records`` for each of the stored times."""
+    if half_width < 1:
+        raise ValueError("the half width must be at least one second")
+    points = times.filter(F.col("time").isNotNull()).select(
+        "*", epoch_second(F.col("time")).alias("second"), micro_of_second(F.col("time")).alias("offset")
     )
-    untimed = times.filter(F.col("time").isNull()).select("time", "records", *_SUMS)
+    densest = points.groupBy(_bucket("second", 12 * half_width)).count().agg(F.max("count")).first()[0] or 0
+    if densest <= _BUCKET_TIMES:
+        micros = points.withColumn("at", F.col("second") * 1_000_000 + F.col("offset"))
+        framed = _range_sums(micros, "at", half_width * 1_000_000)
+    else:
+        framed = _range_sums_by_second(points, half_width)
+    kept = ["time", "records", *_SUMS]
     total = join_limbs(F.col("high"), F.col("low"))
-    return framed.unionByName(untimed).select(
-        "time", F.try_divide(total, F.col("n").cast("double")).alias("average"), "records"
+    untimed = times.filter(F.col("time").isNull())
+    return (
+        framed.select(kept)
+        .unionByName(untimed.select(kept))
+        .select("time", F.try_divide(total, F.col("n").cast("double")).alias("average"), "records")
     )
 
 
-def _frame_ends(points: DataFrame, step: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Both ends of the frame of each point (``cell``, ``offset``): the sum from its
-    offset on in the cell ``step`` before, plus the sum up to its offset in the
-    cell ``step`` after. ``own_*`` is the sum of its own whole cell.
+def _bucket(at: str, width: int):
+    return F.expr(f"({at} - pmod({at}, {width}L)) div {width}L")
 
-    Each point is three rows: its values in its own cell, and one question in
-    each end cell. At one offset, the question "from here on" comes before the
-    values and "up to here" after them.
-    """
 
-    def row(cells: int, place: int) -> Column:
-        return F.struct(F.lit(cells).cast("bigint").alias("shift"), F.lit(place).alias("place"))
+def _range_sums(points: DataFrame, at: str, reach: int) -> DataFrame:
+    """``points`` with each sum taken over all points within ``reach`` of ``at``, which is unique."""
+    width = max(12 * reach, 1)
+    buckets = F.sequence(_bucket(f"({at} - {reach}L)", width), _bucket(f"({at} + {reach}L)", width))
+    copies = points.withColumn("bucket", F.explode(buckets))
+    bucket = Window.partitionBy("bucket").orderBy(at)
+    up_to_end = bucket.rangeBetween(Window.unboundedPreceding, reach)
+    before_start = bucket.rangeBetween(Window.unboundedPreceding, -reach - 1)
+    sums = {c: F.sum(c).over(up_to_end) - F.coalesce(F.sum(c).over(before_start), F.lit(0)) for c in _SUMS}
+    return copies.withColumns(sums).filter(F.col("bucket") == _bucket(at, width)).drop("bucket")
 
-    rows = points.select(
-        "*", F.explode(F.array(row(-step, 0), row(0, 1), row(step, 2))).alias("at")
-    ).select(
-        F.col("cell").alias("home"),
-        (F.col("cell") + F.col("at.shift")).alias("cell"),
-        "offset",
-        F.col("at.place").alias("place"),
-        *[F.when(F.col("at.place") == 1, F.col(c)).otherwise(0).alias(c) for c in _SUMS],
-        *[F.when(F.col("at.place") == 1, F.col(c)).alias(c) for c in carry],
-    )
-    whole = Window.partitionBy("cell")
-    so_far = whole.orderBy("offset", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = rows.select(
-        "*",
-        *[F.sum(c).over(so_far).alias(f"so_far_{c}") for c in _SUMS],
-        *[F.sum(c).over(whole).alias(f"whole_{c}") for c in _SUMS],
-    )
-    place = F.col("place")
-    answers = summed.select(
-        F.col("home").alias("cell"),
-        "offset",
-        *[
-            F.when(place == 0, F.col(f"whole_{c}") - F.col(f"so_far_{c}"))
-            .when(place == 2, F.col(f"so_far_{c}"))
-            .otherwise(0)
-            .alias(c)
-            for c in _SUMS
-        ],
-        *[F.when(place == 1, F.col(f"whole_{c}")).alias(f"own_{c}") for c in _SUMS],
-        *carry,
+
+def _range_sums_by_second(points: DataFrame, half_width: int) -> DataFrame:
+    seconds = points.groupBy("second").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    between = _range_sums(seconds, "second", half_width - 1).select(
+        "second", *[F.col(c).alias(f"between_{c}") for c in _SUMS]
     )
-    return answers.groupBy("cell", "offset").agg(
-        *[F.sum(c).alias(c) for c in _SUMS],
-        *[F.max(f"own_{c}").alias(f"own_{c}") for c in _SUMS],
-        *[F.max(c).alias(c) for c in carry],
+    return (
+        _frame_ends(points, half_width)
+        .join(between, "second")
+        .withColumns({c: F.col(c) + F.col(f"between_{c}") for c in _SUMS})
     )
 
 
-def _whole_seconds(points: DataFrame, reach: int) -> DataFrame:
-    """For each second (``cell``) the sum over it and ``reach`` seconds either side."""
-    seconds = points.groupBy("cell").agg(*[F.sum(c).alias(c) for c in _SUMS])
-    if reach == 0:
-        return seconds
-    grouped = seconds.select(
-        F.expr(f"(cell - pmod(cell, {reach})) div {reach}").alias("cell"),
-        F.expr(f"pmod(cell, {reach})").alias("offset"),
-        *_SUMS,
+def _frame_ends(points: DataFrame, half_width: int) -> DataFrame:
+    """For each point the sums over both end seconds of its frame: from its offset
+    on in the first, up to its offset in the last.
+
+    Each point is three rows: its values in its own second, and a question in
+    each end second. At one offset, the question "from here on" sorts before the
+    values and "up to here" after them.
+    """
+    roles = F.array(
+        *[
+            F.struct(F.lit(shift).cast("bigint").alias("shift"), F.lit(place).alias("place"))
+            for shift, place in ((-half_width, 0), (0, 1), (half_width, 2))
+        ]
+    )
+    place, is_value = F.col("role.place"), F.col("role.place") == 1
+    rows = points.withColumn("role", F.explode(roles)).select(
+        F.col("second").alias("home"),
+        (F.col("second") + F.col("role.shift")).alias("second"),
+        "offset",
+        place.alias("place"),
+        *[F.when(is_value, F.col(c)).otherwise(0).alias(c) for c in _SUMS],
+        *[F.when(is_value, F.col(c)).alias(c) for c in ("time", "records")],
     )
-    ends = _frame_ends(grouped, 1)
-    return ends.select(
-        (F.col("cell") * reach + F.col("offset")).alias("cell"),
-        *[(F.col(c) + F.col(f"own_{c}")).alias(c) for c in _SUMS],
+    whole = Window.partitionBy("second")
+    so_far = whole.orderBy("offset", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answer = {
+        c: F.when(F.col("place") == 0, F.sum(c).over(whole) - F.sum(c).over(so_far))
+        .when(F.col("place") == 2, F.sum(c).over(so_far))
+        .otherwise(0)
+        for c in _SUMS
+    }
+    return (
+        rows.withColumns(answer)
+        .groupBy(F.col("home").alias("second"), "offset")
+        .agg(*[F.sum(c).alias(c) for c in _SUMS], *[F.max(c).alias(c) for c in ("time", "records")])
     )
