@@ -17,7 +17,9 @@ So no window group grows with the table.
 All sums are of integers: exact, and the same in any order of adding.
 """
 
-from pyspark.sql import DataFrame, Window
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +32,10 @@ _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 # Distinct times in one bucket up to which a task sorts it whole.
 _BUCKET_TIMES = 2_000_000
 
-# An input time with many rows is written back in pieces of at most this many.
-_COPIES_PER_PIECE = 1 << 16
+# A time with many records is written out in pieces: so many at most, unless that
+# makes them larger than this.
+_MOST_PIECES = 1 << 22
+_LARGEST_PIECE = 1 << 18
 _ROWS_PER_TASK = 4_000_000
 _MAX_TASKS = 100_000
 
@@ -56,30 +60,34 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
     """Hour of day and moving average of ``bytes``, one row per log record, ordered by both.
 
     Both columns follow from the time alone, so the records are not joined back:
-    the few distinct times are sorted and then written out once per record. A
-    time with many records is cut into pieces before the sort, which spreads
-    them over tasks.
+    the few distinct times are sorted and then written out once per record.
+    Before the sort, times with more records than the mean are cut into pieces of
+    about that size. That at most doubles the rows to sort, and the ranges then
+    hold about equal shares of the output even where one time has a third of it.
     """
+    alias = "bytes_5_hours_mov_avg"
     # Stored, because the range partitioning below reads its input twice.
     averages = materialize(_averages(_distinct_times(df, "datetime", "bytes"), half_width_seconds), "averages")
-    records = averages.agg(F.sum("records")).first()[0] or 0
+    count = averages.agg(F.count(F.lit(1)), F.sum("records"), F.max("records"))
+    times, records, most = (n or 1 for n in count.first())
+    piece = min(max(ceil(records / times), ceil(most / _MOST_PIECES)), _LARGEST_PIECE)
     cores = df.sparkSession.sparkContext.defaultParallelism
     tasks = min(max(cores, records // _ROWS_PER_TASK), _MAX_TASKS)
     pieces = averages.select(
         hour_of_day(F.hour("time")).alias("dt"),
-        F.col("average").alias("bytes_5_hours_mov_avg"),
+        F.col("average").alias(alias),
         "time",
         "records",
-        F.expr(f"explode(sequence(0L, (records - 1) div {_COPIES_PER_PIECE}))").alias("piece"),
+        F.expr(f"explode(sequence(0L, (records - 1) div {piece}))").alias("piece"),
     )
-    ordered = [F.col(c).asc_nulls_last() for c in ("dt", "bytes_5_hours_mov_avg", "time", "piece")]
-    copies = F.least(F.col("records") - F.col("piece") * _COPIES_PER_PIECE, F.lit(_COPIES_PER_PIECE))
+    ordered = [F.col(c).asc_nulls_last() for c in ("dt", alias, "time", "piece")]
+    copies = F.least(F.col("records") - F.col("piece") * piece, F.lit(piece))
     return (
         # A fixed number of ranges: AQE would merge them by their size before the rows are written out.
         pieces.repartitionByRange(tasks, *ordered)
         .sortWithinPartitions(*ordered)
         .withColumn("copy", F.explode(F.array_repeat(F.lit(True), copies.cast("int"))))
-        .select("dt", "bytes_5_hours_mov_avg")
+        .select("dt", alias)
     )
 
 
@@ -121,7 +129,7 @@ def _averages(times: DataFrame, half_width: int) -> DataFrame:
     )
 
 
-def _bucket(at: str, width: int):
+def _bucket(at: str, width: int) -> Column:
     return F.expr(f"({at} - pmod({at}, {width}L)) div {width}L")
 
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,8 @@ def append_to_lake(df: DataFrame, path: str, partition_by: str | Sequence[str] =
 
 def append_outcomes(df: DataFrame, path: str, partition_by: str | Sequence[str] = ()) -> None:
     """As ``append_to_lake``, below a first level of folders by the text column ``outcome``."""
-    _append(df.select("outcome", *LOG_SCHEMA.names), path, ["outcome"], lake_fields(partition_by))
+    schema = T.StructType([T.StructField("outcome", T.StringType()), *LOG_SCHEMA])
+    _append(df.to(schema), path, ["outcome"], lake_fields(partition_by))
 
 
 def append_in_chunks(df: DataFrame, path: str, rows: int = 100_000) -> DataFrame:
@@ -51,14 +52,18 @@ def read_value_partitioned(spark: SparkSession, path: str, fields: str | Sequenc
     files = spark.read.schema(schema).parquet(path, recursiveFileLookup=True)
     below = "/".join(["([^/]*)"] * len(fields)) + "/[^/]*$"
     values = {
-        f: F.url_decode(F.regexp_replace(F.regexp_extract("_metadata.file_path", below, n), r"\+", "%2B")).cast(
-            LOG_SCHEMA[f].dataType
-        )
+        f: _folder_value(F.regexp_extract("_metadata.file_path", below, n)).cast(LOG_SCHEMA[f].dataType)
         for n, f in enumerate(fields, 1)
     }
     return files.select(*[values[c].alias(c) if c in values else F.col(c) for c in stored])
 
 
+def _folder_value(segment: Column) -> Column:
+    """A folder name as a value: the path itself is URL-encoded, and names may be so once more."""
+    name = F.url_decode(F.replace(segment, F.lit("+"), F.lit("%2B")))
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+
+
 def repartition_lake(spark: SparkSession, source: str, target: str, field: str) -> DataFrame:
     """Rewrite a lake in folders by ``field`` into a new folder, and return it.
 

@@ -1,0 +1,130 @@
+from datetime import datetime
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.dataset as ds
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from logmill.schema import LOG_SCHEMA
+from logmill.sources import lake
+
+
+def record(n, **values):
+    row = dict(
+        bytes=n, datetime=datetime(2019, 1, 22, 3, 56, n % 60, 33000), host=f"h{n}", http_referred="", method="GET",
+        proto="HTTP/1.1", referrer="-", request=f"/{n}", status=200 + n % 2 * 204, user="-", user_agent="",
+    )
+    return {**row, **values}
+
+
+@pytest.fixture
+def records(spark):
+    return spark.createDataFrame([record(n) for n in range(250)], LOG_SCHEMA)
+
+
+def same(a, b):
+    return sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_roundtrip_and_append(spark, records, tmp_path):
+    path = str(tmp_path / "lake")
+    shuffled = records.select(*reversed(LOG_SCHEMA.names), F.lit(1).alias("extra"))
+    lake.append_to_lake(shuffled, path)
+    got = lake.read_lake(spark, path)
+    assert got.schema.names == LOG_SCHEMA.names
+    assert [f.dataType for f in got.schema] == [f.dataType for f in LOG_SCHEMA]
+    assert same(got, records)
+    lake.append_to_lake(records, path)
+    assert lake.read_lake(spark, path).count() == 500
+
+
+def test_wrong_types_are_refused(spark, records, tmp_path):
+    with pytest.raises(AnalysisException):
+        lake.append_to_lake(records.withColumn("status", F.col("status").cast("string")), str(tmp_path / "lake"))
+
+
+def test_empty_input_is_an_empty_lake(spark, records, tmp_path):
+    path = str(tmp_path / "lake")
+    assert lake.append_in_chunks(records.limit(0), path).count() == 0
+    assert lake.read_lake(spark, path).schema.names == LOG_SCHEMA.names
+
+
+def test_chunks_are_bounded(spark, records, tmp_path):
+    path = tmp_path / "lake"
+    assert same(lake.append_in_chunks(records.coalesce(1), str(path), rows=100), records)
+    sizes = sorted(pq.read_metadata(f).num_rows for f in path.glob("*.parquet"))
+    assert sizes == [50, 100, 100]
+
+
+@pytest.mark.parametrize("fields", ["status", ["status", "method"], ["method"], ["request"]])
+def test_partitioned(spark, records, tmp_path, fields):
+    path = str(tmp_path / "lake")
+    odd = spark.createDataFrame([record(1, request="/a=b/c d%20é+x"), record(2, request="007")], LOG_SCHEMA)
+    lake.append_to_lake(records, path, fields)
+    lake.append_to_lake(odd, path, fields)
+    assert same(lake.read_lake(spark, path), records.union(odd))
+
+
+def test_partition_filter_reads_only_its_folder(spark, records, tmp_path):
+    path = str(tmp_path / "lake")
+    lake.append_to_lake(records, path, "status")
+    hit = lake.read_lake(spark, path).filter("status = 404")
+    assert "PartitionFilters: [isnotnull(status" in hit._jdf.queryExecution().executedPlan().toString()
+    assert hit.count() == 125
+
+
+@pytest.mark.parametrize("field", ["user_agent", "http_referred", "nothing"])
+def test_unfit_partition_fields(records, tmp_path, field):
+    with pytest.raises(ValueError):
+        lake.append_to_lake(records, str(tmp_path), field)
+
+
+def test_repartition(spark, records, tmp_path):
+    source, target = str(tmp_path / "lake"), str(tmp_path / "by-status")
+    lake.append_to_lake(records, source)
+    assert same(lake.repartition_lake(spark, source, target, "status"), records)
+    assert sorted(p.name for p in Path(target).glob("status=*")) == ["status=200", "status=404"]
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        lake.repartition_lake(spark, source, target, "status")
+
+
+def test_hot_key_is_cut(spark, setting, tmp_path):
+    """One key with nearly all rows goes to several tasks, and no row is lost."""
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20kb")
+    source, target = str(tmp_path / "lake"), tmp_path / "by-status"
+    rows = spark.range(0, 20000, 1, 8).select(
+        *[
+            {"status": F.when(F.col("id") % 50 == 0, 404).otherwise(200).cast("bigint"), "request": F.uuid()}
+            .get(f.name, F.lit(record(0)[f.name]).cast(f.dataType))
+            .alias(f.name)
+            for f in LOG_SCHEMA
+        ]
+    )
+    lake.append_to_lake(rows, source)
+    assert lake.repartition_lake(spark, source, str(target), "status").count() == 20000
+    assert len(list((target / "status=200").glob("*.parquet"))) > 3
+
+
+def test_value_folders(spark, records, tmp_path):
+    """Folders as ``/404/a b/``, written by another tool; encoded names are decoded."""
+    names = ["a b", "a+b", "50%", "é"]
+    odd = spark.createDataFrame([record(n, host=h) for n, h in enumerate(names)], LOG_SCHEMA)
+    encoded = spark.createDataFrame([record(9, host="c%20d%2Fe")], LOG_SCHEMA)
+    rows = records.union(odd).union(encoded)
+    table = pa.Table.from_pylist([r.asDict() for r in rows.collect()])
+    folders = ds.partitioning(pa.schema([("status", pa.int64()), ("host", pa.string())]))
+    ds.write_dataset(table, tmp_path / "lake", format="parquet", partitioning=folders)
+    got = lake.read_value_partitioned(spark, str(tmp_path / "lake"), ["status", "host"])
+    assert got.schema.names == LOG_SCHEMA.names
+    decoded = rows.withColumn("host", F.when(F.col("host") == "c%20d%2Fe", "c d/e").otherwise(F.col("host")))
+    assert same(got, decoded)
+    assert got.filter("status = 404 and host = 'h1'").count() == 1
+
+
+def test_nested_plain_folders(spark, records, tmp_path):
+    for name in ("log0.parquet", "log1.parquet"):
+        records.write.parquet(str(tmp_path / "lake" / name))
+    assert lake.read_lake(spark, str(tmp_path / "lake"), recursive=True).count() == 500

@@ -1,0 +1,153 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from logmill import job
+from logmill.operators import traffic
+from logmill.operators.moving_average import moving_avg_per_record
+from logmill.plans import pipeline, report, save_report
+from logmill.schema import JOINED_COLUMNS, LOG_SCHEMA
+from logmill.sources import lake, text, warehouse
+
+GOOD = [
+    f'10.0.0.{n} - - [22/Jan/2019:{n % 24:02d}:56:14 +0330] "GET /{n} HTTP/1.1" {200 + n % 2 * 204} {n * 1000} "-" "ua" "-"'
+    for n in range(40)
+]
+BAD = ['1 - - [d] "-" 400 0 "-" "-"', "", "no log line, with = and / and é"]
+UNCLEAN = '10.0.0.1 - - [22/Jan/2019:03:56:14 -0500] "GET /x HTTP/1.1" 200 1 "-" "ua"'
+
+
+@pytest.fixture
+def folder(spark, tmp_path, monkeypatch):
+    (tmp_path / "data" / "old").mkdir(parents=True)
+    (tmp_path / "data" / "access.log").write_text("\n".join(GOOD[:25] + BAD) + "\n")
+    (tmp_path / "data" / "old" / "access.log").write_text("\n".join(GOOD[25:]))
+    (tmp_path / "data" / "names.csv").write_text("client,hostname\n" + "".join(f"10.0.0.{n},host{n}\n" for n in range(0, 40, 2)))
+    monkeypatch.chdir(tmp_path)
+    yield tmp_path
+    spark.sql("DROP TABLE IF EXISTS joined_log_table")
+
+
+def make(spark, folder, **options):
+    places = {"output_location": f"{folder}/output/", "errors_location": f"{folder}/errors", "table_path": f"{folder}/table"}
+    return pipeline("apache_web_log", spark, **{**places, **options})
+
+
+def extract(pipe, folder):
+    return pipe.extract_log(f"{folder}/data", "access.log", f"{folder}/data/names.csv")
+
+
+def run(pipe, folder):
+    return extract(pipe, folder).clean_log_record().load_to_data_lake().transform_data().load_datawarehouse()
+
+
+def test_whole_run(spark, folder):
+    pipe = run(make(spark, folder), folder)
+    assert pipe.counts == {"records": 40, "rejects": 3}
+    errors = text.read_rejects(spark, f"{folder}/errors")
+    assert sorted(r["value"] for r in errors.collect()) == sorted(BAD)
+    records = lake.read_lake(spark, pipe.lake)
+    assert records.schema.names == LOG_SCHEMA.names and records.count() == 40
+    assert spark.read.parquet(pipe.lake).columns == LOG_SCHEMA.names
+    table = spark.table("joined_log_table")
+    assert tuple(table.columns) == JOINED_COLUMNS
+    rows = {r["request"]: r for r in table.collect()}
+    assert rows["/4"]["hostname"] == "host4" and rows["/5"]["hostname"] is None
+    assert rows["/5"]["bytes"] == 5000 and rows["/5"]["status"] == 404
+    assert rows["/5"]["datetime"] == datetime(2019, 1, 22, 5, 56, 14, 33000)
+
+
+def test_second_run_appends_and_the_table_is_kept(spark, folder):
+    run(make(spark, folder), folder)
+    with pytest.raises(AnalysisException, match="ALREADY_EXISTS"):
+        run(make(spark, folder), folder)
+    assert spark.table("joined_log_table").count() == 40
+    run(make(spark, folder, table_mode="overwrite"), folder)
+    assert spark.table("joined_log_table").count() == 120
+    assert text.read_rejects(spark, f"{folder}/errors").count() == 9
+
+
+@pytest.mark.parametrize("fields", ["status", ["method", "status"], "host"])
+def test_partitioned_lake(spark, folder, fields):
+    pipe = run(make(spark, folder, partition_field=fields), folder)
+    first = fields if isinstance(fields, str) else fields[0]
+    assert any(p.name.startswith(f"{first}=") for p in (folder / "output" / "outcome=log").iterdir())
+    assert lake.read_lake(spark, pipe.lake).count() == 40
+    assert sorted(r["value"] for r in text.read_rejects(spark, f"{folder}/errors").collect()) == sorted(BAD)
+
+
+def test_no_rejects_no_reject_folder(spark, folder, lines):
+    pipe = make(spark, folder).extract_lines(lines(*GOOD)).clean_log_record().load_to_data_lake()
+    assert pipe.counts == {"records": 40, "rejects": 0}
+    assert not (folder / "errors").exists()
+
+
+def test_bad_values(spark, folder, lines):
+    with pytest.raises(Exception, match="bad datetime"):
+        make(spark, folder).extract_lines(lines(*GOOD, UNCLEAN)).clean_log_record().load_to_data_lake()
+    pipe = make(spark, folder, on_bad_value="reject").extract_lines(lines(*GOOD, UNCLEAN)).clean_log_record()
+    assert pipe.load_to_data_lake().counts == {"records": 40, "rejects": 1}
+    assert text.read_rejects(spark, f"{folder}/errors").first()["value"] == UNCLEAN
+
+
+def test_empty_input(spark, folder, lines):
+    pipe = make(spark, folder).extract_lines(lines().limit(0)).clean_log_record().load_to_data_lake()
+    assert pipe.counts == {"records": 0, "rejects": 0}
+
+
+def test_step_order(spark, folder):
+    for step in ("clean_log_record", "load_to_data_lake", "transform_data", "load_datawarehouse"):
+        with pytest.raises(ValueError):
+            getattr(make(spark, folder), step)()
+    with pytest.raises(AnalysisException):  # text columns do not fit the lake
+        extract(make(spark, folder), folder).load_to_data_lake()
+
+
+def test_options(spark):
+    with pytest.raises(ValueError):
+        pipeline("nginx", spark)
+    with pytest.raises(ValueError):
+        pipeline("apache_web_log", spark, on_bad_value="ignore")
+
+
+def test_catalog(spark, folder):
+    run(make(spark, folder), folder)
+    assert "joined_log_table" in [r["tableName"] for r in warehouse.list_tables(spark).collect()]
+    types = {r["col_name"]: r["data_type"] for r in warehouse.describe(spark, "joined_log_table").collect()}
+    assert list(types) == list(JOINED_COLUMNS)
+    assert types["bytes"] == "bigint" and types["datetime"] == "timestamp_ntz" and types["hostname"] == "string"
+
+
+def test_report_equals_the_single_reports(spark, folder):
+    run(make(spark, folder), folder)
+    table = spark.table("joined_log_table")
+    out = report(spark, f"{folder}/errors")
+    assert out["total_errors"].first()["total_errors"] == 3
+    single = {
+        "total_records": traffic.total_records(table),
+        "total_mb": traffic.total_mb(table),
+        "mb_by_hour": traffic.mb_by_hour(table),
+        "mb_by_status": traffic.mb_by(table, "status"),
+        "mb_by_method": traffic.mb_by(table, "method"),
+        "top_bytes_by_hour": traffic.top_bytes_by_hour(table),
+        "moving_avg": moving_avg_per_record(table),
+    }
+    for name, df in single.items():
+        assert out[name].collect() == df.collect(), name
+    save_report(out, f"{folder}/report")
+    assert spark.read.parquet(f"{folder}/report/mb_by_hour").count() == 24
+
+
+def test_job(spark, folder):
+    args = [
+        "-log_dir", f"{folder}/data", "-log_pat", "access.log", "-hostname_file", f"{folder}/data/names.csv",
+        "-output", f"{folder}/out", "-errors", f"{folder}/bad", "-table_path", f"{folder}/t", "-report", f"{folder}/r",
+        "-partition_field", "status",
+    ]
+    job.run(args)
+    assert spark.table("joined_log_table").count() == 40
+    assert spark.read.parquet(f"{folder}/r/total_errors").first()["total_errors"] == 3
+    assert spark.read.parquet(f"{folder}/r/moving_avg").count() == 40
+    assert lake.read_lake(spark, f"{folder}/out/outcome=log").filter(F.col("status") == 404).count() == 20

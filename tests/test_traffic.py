@@ -1,0 +1,119 @@
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import first_plan
+from pyspark.sql import functions as F
+
+from logmill.functions import wide_sum
+from logmill.operators import traffic
+
+SCHEMA = "host string, datetime timestamp_ntz, method string, request string, status bigint, bytes bigint, hostname string"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    start = datetime(2019, 1, 22)
+    return [
+        (
+            f"h{rng.randrange(9)}",
+            start + timedelta(seconds=rng.randrange(3 * 86400)),
+            rng.choice(["GET", "POST", "HEAD"]),
+            f"/{n}",
+            rng.choice([200, 200, 304, 404]),
+            0,
+            rng.choice([None, "", "name"]),
+        )[:5]
+        + (rng.randrange(5000), rng.choice([None, "", "name"]))
+        for n in range(3000)
+    ] + [("h", start, "OPTIONS", "/", 204, 0, None)]
+
+
+@pytest.fixture(scope="module")
+def table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def totals(rows, key):
+    sums = defaultdict(int)
+    for row in rows:
+        sums[key(row)] += row[5]
+    return sums
+
+
+def test_totals(table, rows):
+    assert traffic.total_records(table).first()["total_records"] == len(rows)
+    assert traffic.total_mb(table).first()["total_mb"] == sum(r[5] for r in rows) / 1000 / 1000
+
+
+@pytest.mark.parametrize("key, at", [("status", 4), ("method", 2)])
+def test_mb_by(table, rows, key, at):
+    got = [tuple(r) for r in traffic.mb_by(table, key).collect()]
+    want = {k: v / 1000 / 1000 for k, v in totals(rows, lambda r: r[at]).items() if v > 0}
+    assert dict(got) == want
+    assert [mb for _, mb in got] == sorted(want.values())
+    assert len(want) == len(totals(rows, lambda r: r[at])) - 1  # the empty group is left out
+
+
+def test_mb_by_hour(table, rows):
+    want = {k: v / 1000 / 1000 for k, v in totals(rows, lambda r: f"{r[1].hour:02d}").items()}
+    assert [tuple(r) for r in traffic.mb_by_hour(table).collect()] == sorted(want.items())
+
+
+def test_hour_does_not_depend_on_the_zone(table, setting):
+    before = traffic.mb_by_hour(table).collect()
+    setting("spark.sql.session.timeZone", "Asia/Kolkata")
+    assert traffic.mb_by_hour(table).collect() == before
+
+
+def test_cells_give_the_same_totals(table):
+    cells = traffic.traffic_cells(table)
+    assert traffic.records_from_cells(cells).collect() == traffic.total_records(table).collect()
+    assert traffic.mb_from_cells(cells).collect() == traffic.total_mb(table).collect()
+    assert traffic.mb_by_hour_from_cells(cells).collect() == traffic.mb_by_hour(table).collect()
+    for key in ("status", "method"):
+        assert traffic.mb_by_from_cells(cells, key).collect() == traffic.mb_by(table, key).collect()
+    largest = traffic.largest_from_cells(cells)
+    assert traffic.top_bytes_by_hour(table, largest).collect() == traffic.top_bytes_by_hour(table).collect()
+
+
+def test_empty_table(table):
+    empty = table.limit(0)
+    cells = traffic.traffic_cells(empty)
+    assert traffic.total_records(empty).first()[0] == traffic.records_from_cells(cells).first()[0] == 0
+    assert traffic.total_mb(empty).first()[0] is None and traffic.mb_from_cells(cells).first()[0] is None
+    assert traffic.mb_by_hour(empty).count() == traffic.top_bytes_by_hour(empty).count() == 0
+
+
+def test_top_by_hour(table, rows):
+    best = {}
+    for host, time, _, request, _, size, name in rows:
+        rank = (-size, time, request, host)
+        hour = f"{time.hour:02d}"
+        if hour not in best or rank < best[hour][0]:
+            best[hour] = (rank, (hour, name, size / 1000))
+    assert [tuple(r) for r in traffic.top_bytes_by_hour(table).collect()] == [v for _, (_, v) in sorted(best.items())]
+
+
+def test_top_n_cuts_before_the_shuffle(table):
+    top = traffic.top_n_per_group(table, ["method"], [F.col("bytes").desc(), F.col("request")], 2)
+    assert top.count() == 7
+    plan = first_plan(traffic.top_bytes_by_hour(table))
+    assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
+
+
+def test_sums_past_64_bits(spark):
+    big = 2**63 - 1
+    values = [big] * 5 + [-7, 3, None, 2**20, -(2**20) - 1]
+    df = spark.createDataFrame([(v,) for v in values], "bytes bigint")
+    assert df.agg(wide_sum(F.col("bytes"))).first()[0] == float(sum(v for v in values if v is not None))
+    assert traffic.total_mb(df).first()[0] == float(sum(v for v in values if v is not None)) / 1000 / 1000
+
+
+def test_wide_sum_is_the_exact_sum(spark):
+    rng = random.Random(5)
+    values = [rng.randrange(-(2**62), 2**62) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "bytes bigint").repartition(3)
+    assert df.agg(wide_sum(F.col("bytes"))).first()[0] == float(sum(values))
