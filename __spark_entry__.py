@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import standin
 from logmill.functions.scratch import scratch_path
+from logmill.functions.sql import register
 from logmill.operators import traffic
 from logmill.operators.clean import clean, map_column
 from logmill.operators.enrich import join_hostnames
@@ -129,6 +130,14 @@ def _map_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_column(records, "request", lambda request: request[::-1], "string")
 
 
+def _mb_by_hour_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark)
+    statement = """
+        SELECT strftime(datetime, '%H') AS log_hour, SUM(bytes) / 1000 / 1000 AS MB
+        FROM {log} GROUP BY log_hour ORDER BY log_hour"""
+    return spark.sql(statement, log=_joined(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
@@ -160,6 +169,7 @@ def queries() -> dict[str, Query]:
         "mb_by_status": _on_joined(traffic.mb_by, "status"),
         "mb_by_method": _on_joined(traffic.mb_by, "method"),
         "mb_by_hour": _on_joined(traffic.mb_by_hour),
+        "mb_by_hour_sql": _mb_by_hour_sql,
         "top_bytes_by_hour": _on_joined(traffic.top_bytes_by_hour),
         "moving_avg_4h": _on_joined(moving_avg_per_record),
     }
@@ -171,6 +181,8 @@ def oracle_sql() -> dict[str, str]:
     rejected = f"{lines} SELECT value FROM lines WHERE NOT regexp_matches(value, {standin.PATTERN_SQL})"
     fields = ", ".join(f'"{f}"' for f in FIELDS)
     all_cleaned, all_joined = f"{cleaned} SELECT * FROM cleaned", f"{joined} SELECT * FROM joined_log_table"
+    by_hour = f"""{joined} SELECT strftime(datetime, '%H') AS log_hour, sum(bytes) / 1000 / 1000 AS MB
+            FROM joined_log_table GROUP BY log_hour ORDER BY log_hour"""
     return {
         "read_log_files": f"{lines} SELECT value FROM lines",
         "read_hostname_csv": f"{names} SELECT client, hostname FROM names",
@@ -203,8 +215,8 @@ def oracle_sql() -> dict[str, str]:
             FROM joined_log_table GROUP BY status HAVING MB > 0 ORDER BY MB""",
         "mb_by_method": f"""{joined} SELECT method, sum(bytes) / 1000 / 1000 AS MB
             FROM joined_log_table GROUP BY method HAVING MB > 0 ORDER BY MB""",
-        "mb_by_hour": f"""{joined} SELECT strftime(datetime, '%H') AS log_hour, sum(bytes) / 1000 / 1000 AS MB
-            FROM joined_log_table GROUP BY log_hour ORDER BY log_hour""",
+        "mb_by_hour": by_hour,
+        "mb_by_hour_sql": by_hour,
         "top_bytes_by_hour": f"""{joined}, ranked AS (
               SELECT strftime(datetime, '%H') AS dt, hostname, bytes, row_number() OVER (
                 PARTITION BY strftime(datetime, '%H')

@@ -18,9 +18,10 @@ def run(argv: list[str] | None = None) -> None:
     parser.add_argument("-overwrite", action="store_true", help="replace the table if it exists")
     parser.add_argument("-partition_field", nargs="*", default=(), help="lake folders by these fields")
     parser.add_argument("-report", help="also write the report below this folder")
+    parser.add_argument("-shuffle_partitions", type=int, help="partitions of the join, if not the session's")
     args = parser.parse_args(argv)
 
-    spark = session()
+    spark = session(shuffle_partitions=args.shuffle_partitions)
     pipe = pipeline(
         "apache_web_log",
         spark,

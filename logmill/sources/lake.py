@@ -50,18 +50,18 @@ def read_value_partitioned(spark: SparkSession, path: str, fields: str | Sequenc
     stored = LOG_SCHEMA.names
     schema = T.StructType([f for f in LOG_SCHEMA if f.name not in fields])
     files = spark.read.schema(schema).parquet(path, recursiveFileLookup=True)
-    below = "/".join(["([^/]*)"] * len(fields)) + "/[^/]*$"
-    values = {
-        f: _folder_value(F.regexp_extract("_metadata.file_path", below, n)).cast(LOG_SCHEMA[f].dataType)
-        for n, f in enumerate(fields, 1)
-    }
+    values = {}
+    for level, f in enumerate(fields):
+        below = F.substring_index("_metadata.file_path", "/", level - len(fields) - 1)
+        values[f] = _folder_value(F.substring_index(below, "/", 1)).cast(LOG_SCHEMA[f].dataType)
     return files.select(*[values[c].alias(c) if c in values else F.col(c) for c in stored])
 
 
 def _folder_value(segment: Column) -> Column:
     """A folder name as a value: the path itself is URL-encoded, and names may be so once more."""
     name = F.url_decode(F.replace(segment, F.lit("+"), F.lit("%2B")))
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    decoded = F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    return F.when(segment.contains("%"), decoded).otherwise(segment)
 
 
 def repartition_lake(spark: SparkSession, source: str, target: str, field: str) -> DataFrame:

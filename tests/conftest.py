@@ -52,3 +52,16 @@ def final_plan(df) -> str:
 
 def first_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def files_read(df) -> int:
+    """Files that the scans of ``df`` opened."""
+    df.collect()
+    total, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        files = plan.metrics().get("numFiles")
+        total += files.get().value() if files.isDefined() else 0
+        children = plan.children()
+        plans += [children.apply(n) for n in range(children.length())]
+    return total

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 import pytest
+from conftest import files_read
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -122,6 +123,7 @@ def test_value_folders(spark, records, tmp_path):
     decoded = rows.withColumn("host", F.when(F.col("host") == "c%20d%2Fe", "c d/e").otherwise(F.col("host")))
     assert same(got, decoded)
     assert got.filter("status = 404 and host = 'h1'").count() == 1
+    assert files_read(got.filter("status = 404 and host = 'h1'")) == 1
 
 
 def test_nested_plain_folders(spark, records, tmp_path):
