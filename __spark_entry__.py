@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import standin
+from logmill.functions import hour_of_day
 from logmill.functions.scratch import scratch_path
 from logmill.functions.sql import register
 from logmill.operators import traffic
@@ -130,6 +131,14 @@ def _map_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_column(records, "request", lambda request: request[::-1], "string")
 
 
+def _top_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest request of each hour again, by row number."""
+    rows = _joined(spark, sf_dir).withColumn("dt", hour_of_day(F.hour("datetime")))
+    ties = [F.col(c).asc_nulls_last() for c in ("datetime", "request", "host", "hostname")]
+    top = traffic.top_n_per_group(rows, ["dt"], [F.col("bytes").desc_nulls_last(), *ties])
+    return top.select("dt", "hostname", (F.col("bytes") / 1000).alias("KB")).orderBy("dt")
+
+
 def _mb_by_hour_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark)
     statement = """
@@ -171,6 +180,7 @@ def queries() -> dict[str, Query]:
         "mb_by_hour": _on_joined(traffic.mb_by_hour),
         "mb_by_hour_sql": _mb_by_hour_sql,
         "top_bytes_by_hour": _on_joined(traffic.top_bytes_by_hour),
+        "top_n_per_group": _top_n_per_group,
         "moving_avg_4h": _on_joined(moving_avg_per_record),
     }
 
@@ -183,6 +193,12 @@ def oracle_sql() -> dict[str, str]:
     all_cleaned, all_joined = f"{cleaned} SELECT * FROM cleaned", f"{joined} SELECT * FROM joined_log_table"
     by_hour = f"""{joined} SELECT strftime(datetime, '%H') AS log_hour, sum(bytes) / 1000 / 1000 AS MB
             FROM joined_log_table GROUP BY log_hour ORDER BY log_hour"""
+    top = f"""{joined}, ranked AS (
+              SELECT strftime(datetime, '%H') AS dt, hostname, bytes, row_number() OVER (
+                PARTITION BY strftime(datetime, '%H')
+                ORDER BY bytes DESC, datetime, request, host, hostname) AS rn
+              FROM joined_log_table)
+            SELECT dt, hostname, bytes / 1000 AS KB FROM ranked WHERE rn = 1 ORDER BY 1"""
     return {
         "read_log_files": f"{lines} SELECT value FROM lines",
         "read_hostname_csv": f"{names} SELECT client, hostname FROM names",
@@ -217,12 +233,8 @@ def oracle_sql() -> dict[str, str]:
             FROM joined_log_table GROUP BY method HAVING MB > 0 ORDER BY MB""",
         "mb_by_hour": by_hour,
         "mb_by_hour_sql": by_hour,
-        "top_bytes_by_hour": f"""{joined}, ranked AS (
-              SELECT strftime(datetime, '%H') AS dt, hostname, bytes, row_number() OVER (
-                PARTITION BY strftime(datetime, '%H')
-                ORDER BY bytes DESC, datetime, request, host, hostname) AS rn
-              FROM joined_log_table)
-            SELECT dt, hostname, bytes / 1000 AS KB FROM ranked WHERE rn = 1 ORDER BY 1""",
+        "top_bytes_by_hour": top,
+        "top_n_per_group": top,
         "moving_avg_4h": f"""{joined} SELECT strftime(datetime, '%H') AS dt,
               avg(bytes) OVER (ORDER BY datetime
                 RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND INTERVAL 2 HOURS FOLLOWING) AS bytes_5_hours_mov_avg

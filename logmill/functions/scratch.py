@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under ``spark.checkpoint.dir``.
+    """A new, unused path under ``spark.checkpoint.dir`` (or the folder set on the context).
 
     A private temporary folder stands in only on a local master, where driver
     and tasks share one disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

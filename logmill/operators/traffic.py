@@ -32,7 +32,7 @@ def mb_by_hour(df: DataFrame, time: str = "datetime", value: str = "bytes") -> D
 
 
 def traffic_cells(df: DataFrame) -> DataFrame:
-    """Row count, byte sums and largest size per status, method and hour.
+    """Row count and byte sums per status, method and hour.
 
     One pass over the table; every total of the report is a sum over these few
     rows (``*_from_cells``).
@@ -42,7 +42,6 @@ def traffic_cells(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         F.sum(high).alias("high"),
         F.sum(low).alias("low"),
-        F.max("bytes").alias("largest"),
     )
 
 
@@ -62,10 +61,6 @@ def mb_by_hour_from_cells(cells: DataFrame) -> DataFrame:
     return _by_hour(cells.groupBy("hour").agg(_mb(_cell_sum()).alias("MB")))
 
 
-def largest_from_cells(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("hour").agg(F.max("largest").alias("largest"))
-
-
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each group.
 
@@ -76,23 +71,24 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("row_number", first).filter(F.col("row_number") <= n).drop("row_number")
 
 
-def top_bytes_by_hour(df: DataFrame, largest: DataFrame | None = None) -> DataFrame:
+def top_bytes_by_hour(df: DataFrame) -> DataFrame:
     """The largest request of each hour of day: hour, host name, kilobytes.
 
     Equal sizes go to the earliest request, then by request, host and host name.
-    With ``largest``, the known largest size per hour, only the requests of that
-    size are sorted, not the table.
+    An aggregate, which leaves one row per hour and task to move and does not sort
+    the records by size; ``top_n_per_group`` is the way for more than one row.
     """
-    rows = df.select(F.hour("datetime").alias("hour"), "datetime", "request", "host", "hostname", "bytes")
-    if largest is not None:
-        # Safe to broadcast at any scale: a day has 24 hours, and one row more stands for no time.
-        sizes = F.broadcast(largest.select(F.col("hour").alias("of_hour"), "largest"))
-        is_largest = F.col("hour").eqNullSafe(F.col("of_hour")) & F.col("bytes").eqNullSafe(F.col("largest"))
-        rows = rows.join(sizes, is_largest, "left_semi")
-    ties = [F.col(c).asc_nulls_last() for c in ("datetime", "request", "host", "hostname")]
-    top = top_n_per_group(rows, ["hour"], [F.col("bytes").desc_nulls_last(), *ties])
-    return top.orderBy(F.col("hour").asc_nulls_last()).select(
-        hour_of_day(F.col("hour")).alias("dt"), "hostname", (F.col("bytes") / 1000).alias("KB")
+    # The complement falls as the size rises; an unknown size comes last.
+    order = F.struct(
+        F.col("bytes").isNull().alias("unknown"),
+        F.bitwise_not("bytes").alias("complement"),
+        *["datetime", "request", "host", "hostname"],
+    )
+    first = df.groupBy(F.hour("datetime").alias("hour")).agg(F.min(order).alias("first"))
+    return first.orderBy(F.col("hour").asc_nulls_last()).select(
+        hour_of_day(F.col("hour")).alias("dt"),
+        F.col("first.hostname").alias("hostname"),
+        (F.bitwise_not("first.complement") / 1000).alias("KB"),
     )
 
 

@@ -11,7 +11,7 @@ from logmill.operators.clean import clean
 from logmill.operators.enrich import join_hostnames
 from logmill.operators.parse import split_lines
 from logmill.schema import LOG_SCHEMA
-from logmill.sources.lake import append_outcomes, read_lake
+from logmill.sources.lake import OUTCOME, RECORDS, append_outcomes, read_lake
 from logmill.sources.text import read_hostnames, read_log_lines, write_rejects
 from logmill.sources.warehouse import create_table
 
@@ -54,7 +54,7 @@ class LogPipeline:
     @property
     def lake(self) -> str:
         """Folder of the cleaned records of all runs."""
-        return f"{self.output_location}/outcome=log"
+        return f"{self.output_location}/{OUTCOME}={RECORDS}"
 
     def extract_log(self, directory: str, file_pattern: str, hostname_csv: str | None) -> "LogPipeline":
         return self.extract_lines(read_log_lines(self.spark, directory, file_pattern), hostname_csv)
@@ -90,15 +90,15 @@ class LogPipeline:
         marked = self.records.withColumn("good", good).observe(
             seen, F.count_if("good").alias("records"), F.count_if(~F.col("good")).alias("rejects")
         )
-        outcome = F.when(F.col("good"), F.lit("log")).otherwise(F.lit(f"reject-{run}"))
+        outcome = F.when(F.col("good"), F.lit(RECORDS)).otherwise(F.lit(f"reject-{run}")).alias(OUTCOME)
         fields = [F.when(F.col("good"), F.col(c)).alias(c) for c in LOG_SCHEMA.names if c != "user_agent"]
         line = F.when(F.col("good"), F.col("user_agent")).otherwise(F.col("value")).alias("user_agent")
         append_outcomes(
-            marked.select(outcome.alias("outcome"), *fields, line), self.output_location, self.partition_field
+            marked.select(outcome, *fields, line), self.output_location, self.partition_field
         )
         self.counts = seen.get
         if self.counts["rejects"]:
-            rejected = read_lake(self.spark, f"{self.output_location}/outcome=reject-{run}")
+            rejected = read_lake(self.spark, f"{self.output_location}/{OUTCOME}=reject-{run}")
             write_rejects(rejected.select(F.col("user_agent").alias("value")), self.errors_location)
         return self
 

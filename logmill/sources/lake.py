@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from logmill.schema import LOG_SCHEMA, MAYBE_EMPTY
 
+# First folder level where one write holds records and rejects.
+OUTCOME, RECORDS = "outcome", "log"
+
 
 def conform(df: DataFrame) -> DataFrame:
     """The lake's columns, order and types; an error if they do not fit."""
@@ -21,8 +24,8 @@ def append_to_lake(df: DataFrame, path: str, partition_by: str | Sequence[str] =
 
 def append_outcomes(df: DataFrame, path: str, partition_by: str | Sequence[str] = ()) -> None:
     """As ``append_to_lake``, below a first level of folders by the text column ``outcome``."""
-    schema = T.StructType([T.StructField("outcome", T.StringType()), *LOG_SCHEMA])
-    _append(df.to(schema), path, ["outcome"], lake_fields(partition_by))
+    schema = T.StructType([T.StructField(OUTCOME, T.StringType()), *LOG_SCHEMA])
+    _append(df.to(schema), path, [OUTCOME], lake_fields(partition_by))
 
 
 def append_in_chunks(df: DataFrame, path: str, rows: int = 100_000) -> DataFrame:
@@ -34,10 +37,13 @@ def append_in_chunks(df: DataFrame, path: str, rows: int = 100_000) -> DataFrame
 def read_lake(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """All records under ``path``, of every run; ``key=value`` folders give their column.
 
+    Where ``path`` has folders by ``outcome``, only records are read, not rejects.
     ``recursive`` also reads plain nested folders, and then takes no column from
     folder names.
     """
     lake = spark.read.schema(LOG_SCHEMA).parquet(path, recursiveFileLookup=recursive)
+    if OUTCOME in lake.columns:
+        lake = lake.filter(F.col(OUTCOME) == RECORDS)
     return lake.select(*LOG_SCHEMA.names)
 
 

@@ -51,6 +51,7 @@ def test_whole_run(spark, folder):
     records = lake.read_lake(spark, pipe.lake)
     assert records.schema.names == LOG_SCHEMA.names and records.count() == 40
     assert spark.read.parquet(pipe.lake).columns == LOG_SCHEMA.names
+    assert sorted(lake.read_lake(spark, f"{folder}/output").collect()) == sorted(records.collect())
     table = spark.table("joined_log_table")
     assert tuple(table.columns) == JOINED_COLUMNS
     rows = {r["request"]: r for r in table.collect()}

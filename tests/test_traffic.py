@@ -75,8 +75,6 @@ def test_cells_give_the_same_totals(table):
     assert traffic.mb_by_hour_from_cells(cells).collect() == traffic.mb_by_hour(table).collect()
     for key in ("status", "method"):
         assert traffic.mb_by_from_cells(cells, key).collect() == traffic.mb_by(table, key).collect()
-    largest = traffic.largest_from_cells(cells)
-    assert traffic.top_bytes_by_hour(table, largest).collect() == traffic.top_bytes_by_hour(table).collect()
 
 
 def test_empty_table(table):
@@ -97,10 +95,28 @@ def test_top_by_hour(table, rows):
     assert [tuple(r) for r in traffic.top_bytes_by_hour(table).collect()] == [v for _, (_, v) in sorted(best.items())]
 
 
-def test_top_n_cuts_before_the_shuffle(table):
-    top = traffic.top_n_per_group(table, ["method"], [F.col("bytes").desc(), F.col("request")], 2)
-    assert top.count() == 7
+def test_top_by_hour_without_size(spark):
+    start = datetime(2019, 1, 22)
+    rows = [("h", start, "GET", "/a", 200, None, "a"), ("h", start, "GET", "/b", 200, -5, "b")]
+    rows += [("h", start + timedelta(hours=1), "GET", "/a", 200, None, "a"), ("h", None, "GET", "/a", 200, 2**63 - 1, None)]
+    got = traffic.top_bytes_by_hour(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [tuple(r) for r in got] == [("00", "b", -0.005), ("01", "a", None), (None, None, (2**63 - 1) / 1000)]
+
+
+def test_top_by_hour_moves_one_row_per_hour_and_task(table):
     plan = first_plan(traffic.top_bytes_by_hour(table))
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_top_n(table, rows):
+    order = [F.col("bytes").desc(), F.col("request")]
+    got = traffic.top_n_per_group(table, ["method"], order, 2)
+    want = []
+    for method in {r[2] for r in rows}:
+        ranked = sorted((r for r in rows if r[2] == method), key=lambda r: (-r[5], r[3]))
+        want += ranked[:2]
+    assert sorted(r["request"] for r in got.collect()) == sorted(r[3] for r in want)
+    plan = first_plan(traffic.top_n_per_group(table, ["method"], order))
     assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
 
 
