@@ -18,6 +18,7 @@ def run(argv: list[str] | None = None) -> None:
     parser.add_argument("-overwrite", action="store_true", help="replace the table if it exists")
     parser.add_argument("-partition_field", nargs="*", default=(), help="lake folders by these fields")
     parser.add_argument("-report", help="also write the report below this folder")
+    parser.add_argument("-spread", type=int, help="spread the lines over so many tasks, for a few large .gz files")
     parser.add_argument("-shuffle_partitions", type=int, help="partitions of the join, if not the session's")
     args = parser.parse_args(argv)
 
@@ -33,7 +34,7 @@ def run(argv: list[str] | None = None) -> None:
         partition_field=args.partition_field,
     )
     (
-        pipe.extract_log(args.log_dir, args.log_pat, args.hostname_file)
+        pipe.extract_log(args.log_dir, args.log_pat, args.hostname_file, args.spread)
         .clean_log_record()
         .load_to_data_lake()
         .transform_data()

@@ -2,7 +2,6 @@
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,16 +18,12 @@ def map_column(
     """Replace column ``name`` by a function of itself.
 
     Without ``return_type``, ``func`` maps a Column to a Column and stays in the
-    JVM. With it, ``func`` is a Python function of one value and runs over Arrow
-    batches.
+    JVM. With it, ``func`` is a Python function of one value; the values travel
+    in Arrow batches.
     """
-    if return_type is None:
-        return df.withColumn(name, func(F.col(name)))
-
-    def over_batch(values: pd.Series) -> pd.Series:
-        return pd.Series([func(v) for v in values], dtype=object)
-
-    return df.withColumn(name, F.pandas_udf(over_batch, return_type)(F.col(name)))
+    if return_type is not None:
+        func = F.udf(func, return_type, useArrow=True)
+    return df.withColumn(name, func(F.col(name)))
 
 
 def clean(df: DataFrame, offset_mode: str = "reference", on_bad_value: str = "fail") -> DataFrame:

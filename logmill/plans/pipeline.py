@@ -56,8 +56,11 @@ class LogPipeline:
         """Folder of the cleaned records of all runs."""
         return f"{self.output_location}/{OUTCOME}={RECORDS}"
 
-    def extract_log(self, directory: str, file_pattern: str, hostname_csv: str | None) -> "LogPipeline":
-        return self.extract_lines(read_log_lines(self.spark, directory, file_pattern), hostname_csv)
+    def extract_log(
+        self, directory: str, file_pattern: str, hostname_csv: str | None, partitions: int | None = None
+    ) -> "LogPipeline":
+        """Log files below ``directory``; ``partitions`` spreads the lines of a few large ``.gz`` files."""
+        return self.extract_lines(read_log_lines(self.spark, directory, file_pattern, partitions), hostname_csv)
 
     def extract_lines(self, lines: DataFrame, hostname_csv: str | None = None) -> "LogPipeline":
         """As ``extract_log``, for lines already in a DataFrame with a column ``value``."""
@@ -93,9 +96,7 @@ class LogPipeline:
         outcome = F.when(F.col("good"), F.lit(RECORDS)).otherwise(F.lit(f"reject-{run}")).alias(OUTCOME)
         fields = [F.when(F.col("good"), F.col(c)).alias(c) for c in LOG_SCHEMA.names if c != "user_agent"]
         line = F.when(F.col("good"), F.col("user_agent")).otherwise(F.col("value")).alias("user_agent")
-        append_outcomes(
-            marked.select(outcome, *fields, line), self.output_location, self.partition_field
-        )
+        append_outcomes(marked.select(outcome, *fields, line), self.output_location, self.partition_field)
         self.counts = seen.get
         if self.counts["rejects"]:
             rejected = read_lake(self.spark, f"{self.output_location}/{OUTCOME}=reject-{run}")

@@ -11,7 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     # Text shrinks about tenfold in the lake: larger splits keep its files from being tiny.
-    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Records and rejects stay open side by side in one write, which saves sorting by folder.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
 }

@@ -103,3 +103,12 @@ def test_map_column(spark):
     assert map_column(df, "bytes", F.upper).first()["bytes"] == "AB"
     assert map_column(df, "bytes", lambda text: text * 2, "string").first()["bytes"] == "abab"
     assert map_column(map_column(df, "bytes", len, "bigint"), "bytes", lambda n: n + 1).first()["bytes"] == 3
+
+
+def test_map_column_gives_plain_values(spark):
+    """Large integers stay exact beside nulls, and times are datetimes."""
+    rows = [(2**62 + 1, datetime(2019, 1, 22, 3, 56, 14, 33000)), (None, None)]
+    df = spark.createDataFrame(rows, "bytes bigint, datetime timestamp_ntz")
+    df = map_column(df, "bytes", lambda v: repr(v), "string")
+    df = map_column(df, "datetime", lambda t: t and t.replace(microsecond=0), "timestamp_ntz")
+    assert [tuple(r) for r in df.collect()] == [(str(2**62 + 1), datetime(2019, 1, 22, 3, 56, 14)), ("None", None)]

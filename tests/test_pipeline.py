@@ -145,7 +145,7 @@ def test_job(spark, folder):
     args = [
         "-log_dir", f"{folder}/data", "-log_pat", "access.log", "-hostname_file", f"{folder}/data/names.csv",
         "-output", f"{folder}/out", "-errors", f"{folder}/bad", "-table_path", f"{folder}/t", "-report", f"{folder}/r",
-        "-partition_field", "status",
+        "-partition_field", "status", "-spread", "3", "-shuffle_partitions", "5",
     ]
     job.run(args)
     assert spark.table("joined_log_table").count() == 40
