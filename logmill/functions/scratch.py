@@ -5,7 +5,7 @@ import shutil
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -22,12 +22,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/logmill/{name}-{uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:
     """Write ``df`` once and read it back: later uses neither recompute it nor
-    depend on the executors that made it, and the planner sees its real size."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    depend on the executors that made it, and the planner sees its real size.
+
+    Also returns ``measures``, aggregates of ``df`` taken while it is written.
+    """
+    path, seen = scratch_path(df.sparkSession, name), Observation()
+    (df.observe(seen, *measures) if measures else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if measures else {}
 
 
 _ROOTS: list[str] = []

@@ -50,8 +50,8 @@ def range_moving_avg(
     a time are each other's frame, as in SQL. Runs one job right away, which
     writes the distinct times to the shared scratch folder.
     """
-    times = _distinct_times(df, time, value)
-    return _averages(times, half_width_seconds).select(
+    times, count = _distinct_times(df, time, value)
+    return _averages(times, count, half_width_seconds).select(
         F.col("time").alias(time), F.col("average").alias(alias), "records"
     )
 
@@ -67,9 +67,14 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
     """
     alias = "bytes_5_hours_mov_avg"
     # Stored, because the range partitioning below reads its input twice.
-    averages = materialize(_averages(_distinct_times(df, "datetime", "bytes"), half_width_seconds), "averages")
-    count = averages.agg(F.count(F.lit(1)), F.sum("records"), F.max("records"))
-    times, records, most = (n or 1 for n in count.first())
+    averages, count = materialize(
+        _averages(*_distinct_times(df, "datetime", "bytes"), half_width_seconds),
+        "averages",
+        F.count(F.lit(1)).alias("times"),
+        F.sum("records").alias("records"),
+        F.max("records").alias("most"),
+    )
+    times, records, most = (count[c] or 1 for c in ("times", "records", "most"))
     piece = min(max(ceil(records / times), ceil(most / _MOST_PIECES)), _LARGEST_PIECE)
     cores = df.sparkSession.sparkContext.defaultParallelism
     tasks = min(max(cores, records // _ROWS_PER_TASK), _MAX_TASKS)
@@ -91,8 +96,9 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
     )
 
 
-def _distinct_times(df: DataFrame, time: str, value: str) -> DataFrame:
-    """Record count, value count and value sum per time, stored in the scratch folder."""
+def _distinct_times(df: DataFrame, time: str, value: str) -> tuple[DataFrame, int]:
+    """Record count, value count and value sum per time, stored in the scratch folder,
+    and the number of times."""
     if not isinstance(df.schema[value].dataType, _INTEGERS):
         raise TypeError(f"{value} must be an integer column")
     high, low = limbs(F.col(value).cast("bigint"))
@@ -103,17 +109,21 @@ def _distinct_times(df: DataFrame, time: str, value: str) -> DataFrame:
         F.coalesce(F.sum(low), none).alias("low"),
         F.count(value).alias("n"),
     )
-    return materialize(times, "distinct-times")
+    stored, count = materialize(times, "distinct-times", F.count(F.lit(1)).alias("times"))
+    return stored, count["times"]
 
 
-def _averages(times: DataFrame, half_width: int) -> DataFrame:
+def _averages(times: DataFrame, count: int, half_width: int) -> DataFrame:
     """``time``, ``average`` and ``records`` for each of the stored times."""
     if half_width < 1:
         raise ValueError("the half width must be at least one second")
     points = times.filter(F.col("time").isNotNull()).select(
         "*", epoch_second(F.col("time")).alias("second"), micro_of_second(F.col("time")).alias("offset")
     )
-    densest = points.groupBy(_bucket("second", 12 * half_width)).count().agg(F.max("count")).first()[0] or 0
+    densest = count
+    if count > _BUCKET_TIMES:
+        buckets = points.groupBy(_bucket("second", 12 * half_width)).count()
+        densest = buckets.agg(F.max("count")).first()[0] or 0
     if densest <= _BUCKET_TIMES:
         micros = points.withColumn("at", F.col("second") * 1_000_000 + F.col("offset"))
         framed = _range_sums(micros, "at", half_width * 1_000_000)

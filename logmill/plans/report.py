@@ -16,7 +16,7 @@ def report(spark: SparkSession, errors_location: str, table: str = "joined_log_t
     status, method and hour first, and those are stored.
     """
     log = spark.table(table)
-    cells = materialize(traffic.traffic_cells(log), "cells")
+    cells, _ = materialize(traffic.traffic_cells(log), "cells")
     return {
         "describe": describe(spark, table),
         "total_records": traffic.records_from_cells(cells),

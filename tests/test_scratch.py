@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from logmill.functions.scratch import materialize, scratch_path
 
 
@@ -9,6 +11,7 @@ def test_scratch_is_in_the_shared_folder(spark):
 
 def test_materialized_table_is_read_from_files(spark):
     numbers = spark.range(10).selectExpr("id", "timestamp_ntz'2019-01-22' as t")
-    df = materialize(numbers, "numbers")
+    df, seen = materialize(numbers, "numbers", F.sum("id").alias("total"))
+    assert seen == {"total": 45}
     assert sorted(df.collect()) == sorted(numbers.collect())
     assert df.dtypes == numbers.dtypes and df.inputFiles()
