@@ -18,8 +18,8 @@ def read_log_lines(
     files and folders whose names start with ``_`` or ``.``.
     """
     folders, _, name = file_pattern.rpartition("/")
-    # Spark globs know alternatives in braces, which are plain text here.
-    glob = re.sub(r"([{}])", r"\\\1", name).replace("[!", "[^")
+    # Spark globs know alternatives in braces and escapes, which are plain text here.
+    glob = re.sub(r"([{}\\])", r"\\\1", name).replace("[!", "[^")
     lines = spark.read.text(directory, recursiveFileLookup=True, pathGlobFilter=glob)
     if folders:
         lines = lines.filter(F.col("_metadata.file_path").rlike(f"/{_glob_regex(folders)}/[^/]*$"))

@@ -69,6 +69,15 @@ def test_mutated_lines_equal_python(spark):
     assert sum(v is not None for v in got.values()) > 300
 
 
+def test_every_character_is_blank_or_not_as_in_python(spark):
+    """Each character of the basic plane once in a word and once in quotes."""
+    characters = [chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x10000), 0x1F600] if chr(c) != "\n"]
+    values = [f'a{c}b - - [d] "GET /a H" 200 1 "r" "u"' for c in characters]
+    values += [f'a - - [d{c}] "GET /a H" 200 1 "r{c}" "u{c}"' for c in characters]
+    got = parsed(spark, values)
+    assert [v for v in values if got[v] != expected(v)] == []
+
+
 def test_no_line_is_lost(lines):
     df = lines(*GOLDEN)
     assert parse(df).count() == sum(MATCHED)

@@ -13,6 +13,7 @@ def logs(tmp_path):
     (tmp_path / "a" / "b" / "access.log").write_bytes("vier é\n".encode())
     (tmp_path / "a" / "other.txt").write_bytes(b"not read\n")
     (tmp_path / "a" / "b" / "x{1}.log").write_bytes(b"braces\n")
+    (tmp_path / "a" / "b" / "y z.txt").write_bytes(b"blank\n")
     with gzip.open(tmp_path / "a" / "access.log.gz", "wt") as f:
         f.write("packed 1\npacked 2\n")
     return str(tmp_path)
@@ -32,6 +33,8 @@ def test_lines_of_all_matching_files(spark, logs):
 def test_glob_details(spark, logs):
     assert values(read_log_lines(spark, logs, "x{1}.log")) == ["braces"]
     assert values(read_log_lines(spark, logs, "[!a]*.log")) == ["braces"]
+    assert values(read_log_lines(spark, logs, "? z.txt")) == ["blank"]
+    assert values(read_log_lines(spark, logs, r"x\{1}.log")) == []
     assert values(read_log_lines(spark, logs, "b/access.log")) == ["vier é"]
     assert values(read_log_lines(spark, logs, "a/?/access.log")) == ["vier é"]
     assert values(read_log_lines(spark, logs, "c/access.log")) == []
