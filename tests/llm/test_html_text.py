@@ -1,0 +1,58 @@
+"""Pages whose main text is known."""
+
+import pytest
+
+from logmill.llm.html_text import extract, main_text
+
+WORDS = "one two three four five six seven eight nine ten eleven twelve"
+
+PAGE = f"""<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</script></head><body>
+<header><h1>Site</h1></header><nav><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></nav>
+<div class="box"><div><h2>Head &amp;  more</h2><p>{WORDS}
+  {WORDS}<p><b>{WORDS}<br>{WORDS}</div>
+<div><p>{WORDS} <a href=x>link</a> {WORDS}</p><ul><li>first item<li>second item</ul></div></div>
+<div class="cookie-notice">We use cookies</div><aside><p>{WORDS}</p></aside><!-- <p>no</p> -->
+<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>
+<section id="comments"><p>{WORDS} {WORDS}</p></section><form><p>{WORDS}</p></form><footer>f</footer></body></html>"""
+
+
+def test_article_without_the_rest():
+    assert extract(PAGE) == [
+        "Head & more",
+        f"{WORDS} {WORDS}",
+        f"{WORDS} {WORDS}",
+        f"{WORDS} link {WORDS}",
+        "first item",
+        "second item",
+    ]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("", []),
+        ("plain text", ["plain text"]),
+        ("<p>a<p>b", ["a", "b"]),
+        ("<div>x &lt;b&gt;<br>y</div>", ["x <b> y"]),
+        ("<body><nav>n</nav></body>", []),
+        ("<body><article><h1>T</h1><p>only one</p></article>", ["T", "only one"]),
+        ("<p>&#233;&nbsp;&eacute;", ["é é"]),
+        ("<!-- open <p>x", []),
+        ("<p>a</b></p></div>c", ["a", "c"]),
+    ],
+)
+def test_small_pages(page, want):
+    assert extract(page) == want
+
+
+def test_deep_and_long_pages():
+    assert extract("<div>" * 20_000 + "deep") == ["deep"]
+    assert extract("<p>word</p>" * 50_000) == ["word"] * 50_000
+
+
+def test_rows(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (None, "<p>a", "x"), (4, "<p>a", "x"), (4, "<p>a", "x")]
+    df = spark.createDataFrame(rows, "page_id long, html string, doc string")
+    got = sorted((r.doc or 0, r.text) for r in main_text(df).collect())
+    assert got == [(0, "a"), (1, ""), (2, ""), (4, "a"), (4, "a")]
+    assert main_text(df.limit(0)).collect() == []
