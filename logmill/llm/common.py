@@ -35,13 +35,17 @@ def batched(df: DataFrame, schema: str, make: Callable[[], Callable], ends: bool
         each = make()
         for batch in chain(batches, [None] if ends else []):
             for columns in each(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow
-                )
+                yield pa.RecordBatch.from_arrays([_column(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def _column(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, type=kind, from_pandas=False)
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
