@@ -403,11 +403,13 @@ def without_repeats(
     gram: int = GRAM,
     many: int = MANY,
     carry: Column | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
     """``doc, kept, n_bytes, n_removed, n_spans`` and ``carry`` of every row with an id.
 
     ``kept`` has the UTF-8 bytes that no string of ``length`` bytes covers which starts at
-    another place, too, of this or another text; it may begin or end within a character. Null
+    another place, too, of this or another text; it may begin or end within a character. With
+    ``as_text`` it is a string, and bytes that are no whole character any more go, too. Null
     and empty texts have no bytes. Rows with equal ids count as texts of their own. Rows with
     a null id are left out.
     """
@@ -433,7 +435,8 @@ def without_repeats(
                     a, b = (found.field(c).to_numpy() for c in (0, 1)) if found is not None else (np.zeros(0, np.int64),) * 2
                     a, b = merged(a, b)
                     edges = [0, *np.stack([a, b], 1).ravel().tolist(), len(text)]
-                    out["kept"].append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])))
+                    kept = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2]))
+                    out["kept"].append(kept.decode("utf8", "ignore") if as_text else kept)
                     out["n_bytes"].append(len(text))
                     out["n_removed"].append(int((b - a).sum()))
                     out["n_spans"].append(len(a))
@@ -444,7 +447,7 @@ def without_repeats(
     kinds = {f: both.schema[f].dataType.simpleString() for f in ("doc", "carry")}
     return batched(
         both,
-        f"doc {kinds['doc']}, carry {kinds['carry']}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint",
+        f"doc {kinds['doc']}, carry {kinds['carry']}, kept {'string' if as_text else 'binary'}, n_bytes bigint, n_removed bigint, n_spans bigint",
         make,
     )
 

@@ -4,16 +4,47 @@ from logmill.llm.bpe import op8_byte_bpe
 from logmill.llm.html_text import op10_text_density
 from logmill.llm.jaccard import op1_ngram_jaccard
 from logmill.llm.language import op4_language_ppm
+from logmill.llm.licenses import op7_license_positions
+from logmill.llm.lines import op2_line_dedup
+from logmill.llm.neighbours import op3_collision_counting
 from logmill.llm.packing import op6_cost_packing
+from logmill.llm.passages import op9_suffix_dedup
+from logmill.llm.quality import op5_quality_mcd
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard,
+        op2_line_dedup,
+        op3_collision_counting,
         op4_language_ppm,
+        op5_quality_mcd,
         op6_cost_packing,
+        op7_license_positions,
         op8_byte_bpe,
+        op9_suffix_dedup,
         op10_text_density,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+#: Line dedup is the one operator that SQL expresses in full: lower-casing A-Z only and cutting
+#: the six ASCII blanks, as the contract has them.
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": r"""
+        WITH lines AS (
+          SELECT doc_id, generate_subscripts(l, 1) AS n, unnest(l) AS line
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        keyed AS (
+          SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM lines),
+        repeated AS (
+          SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+          GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        marked AS (
+          SELECT k.*, r.key IS NOT NULL AND r.last <> k.doc_id AS gone
+          FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
+}
