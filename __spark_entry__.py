@@ -24,6 +24,14 @@ from logmill.plans import pipeline
 from logmill.schema import FIELDS
 from logmill.sources import lake, text, warehouse
 
+try:  # the folder of these operators may be absent
+    import corpus_pipeline
+    from logmill.llm import queries as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "logmill.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -148,6 +156,17 @@ def _mb_by_hour_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _own_queries() | ({"pipeline": corpus_pipeline.run, **llm.QUERIES} if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    if not llm:
+        return _own_sql()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _own_sql() | whole | llm.ORACLE_SQL
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         # sources and sinks
         "read_log_files": _read_log_files,
@@ -185,7 +204,7 @@ def queries() -> dict[str, Query]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     lines, names = f"WITH {standin.LINES_SQL}", f"WITH {standin.NAMES_SQL}"
     cleaned, joined = f"WITH {standin.CLEANED_SQL}", f"WITH {standin.JOINED_SQL}"
     rejected = f"{lines} SELECT value FROM lines WHERE NOT regexp_matches(value, {standin.PATTERN_SQL})"
