@@ -53,6 +53,36 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def by_group(df: DataFrame, keys: list[str], schema: str, each: Callable[[pa.Table], dict]) -> DataFrame:
+    """``each`` on the whole rows of every group of integer ``keys``, which an external sort
+    brings together; a task holds one group and one batch."""
+
+    def make():
+        held: pa.Table | None = None
+
+        def run(batch):
+            nonlocal held
+            t = held if batch is None else pa.Table.from_batches([batch])
+            if batch is not None and held is not None:
+                t = pa.concat_tables([held, t])
+            if t is None or not t.num_rows:
+                return
+            new = np.zeros(t.num_rows - 1, bool)
+            for k in keys:
+                value = t[k].to_numpy()
+                new |= value[1:] != value[:-1]
+            first = [0, *(np.flatnonzero(new) + 1).tolist()]
+            if batch is None:
+                first.append(t.num_rows)
+            for a, b in zip(first, first[1:]):
+                yield each(t.slice(a, b - a).combine_chunks())
+            held = t.slice(first[-1])
+
+        return run
+
+    return batched(df.repartition(*keys).sortWithinPartitions(*keys), schema, make, ends=True)
+
+
 def rows_of(batch: pa.RecordBatch, size: int = 256) -> Iterator[pa.RecordBatch]:
     """Slices of a batch, so that what a task holds besides its input stays small."""
     for at in range(0, batch.num_rows, size):

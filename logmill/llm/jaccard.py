@@ -20,9 +20,11 @@ Sets that run out of subsets (hashing put too many elements into few segments) a
 if there are any, all sets of sizes within their reach also emit single elements (their
 H + 1 smallest), which never run out.
 
-Equal sets are one node. Sets that share a signature are candidates; the pairs that may join
-what is not joined yet are verified on whole sets. In groups of many sets, pairs are first
-held against a bound from parity bitmaps, block by block.
+Equal sets are one node. Sets that share a signature are candidates, and pairs are verified on
+whole sets in three steps, each on what the one before has not joined: first each set's pair
+with most shared signatures, then the closest pairs in groups of many sets, then all that may
+still join different components. In groups of many sets, pairs are held against a bound from
+parity bitmaps, block by block, before they become rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmill.llm.common import batched, id_and_text, materialize, mix, rows_of, table, utf8
+from logmill.llm.common import batched, by_group, id_and_text, materialize, mix, rows_of, table, utf8
 from logmill.llm.components import components
 from logmill.llm.shingles import WORDS, Words, sets_of
 
@@ -43,6 +45,8 @@ SMALL = 16
 FEW = 12
 #: Members of one block when a large group is compared.
 BLOCK = 2048
+#: Large groups that a set names, so that its pairs become rows once.
+NAMED = 64
 _RAN_OUT = np.int64(-1)
 
 
@@ -120,8 +124,8 @@ def name_of(u: np.ndarray) -> int:
 
 
 def bitmap(u: np.ndarray) -> bytes:
-    """Parities of the elements over a power of two of places, at least four times as many as elements."""
-    bits = 1 << max(8, (4 * len(u) - 1).bit_length())
+    """Parities of the elements over a power of two of places, at least eight times as many as elements (2^13 at most)."""
+    bits = 1 << min(max(8, (8 * len(u) - 1).bit_length()), 13)
     odd = np.bincount((mix(u) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
@@ -287,12 +291,22 @@ def _verified(pairs: DataFrame, df: DataFrame, nodes: DataFrame, id_col: str, te
     return batched(pairs.select("a", "b").join(left, "a").join(right, "b"), "a bigint, b bigint", make)
 
 
-def _from_large(groups: DataFrame, maps: DataFrame, t: Threshold) -> DataFrame:
+def _from_large(groups: DataFrame, maps: DataFrame, t: Threshold, nearest: bool) -> DataFrame:
     """Pairs (a, b) of different components out of large groups (sig, name, root) that the
-    bitmaps don't rule out. A group is cut into blocks; each pair of blocks is a unit of work."""
+    bitmaps don't rule out; with ``nearest``, for each set of a block only the pair that they
+    hold to be the closest. A group is cut into blocks; each pair of blocks is a unit of work."""
     size = groups.groupBy("sig").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = size.filter("lo <> hi").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    own = groups.join(mixed, "sig").join(maps, "name")
+    own = groups.join(mixed, "sig")
+    if not nearest:
+        # a pair that shares several large groups becomes a row in the first of them only, as
+        # far as both sets are in few enough to name them all
+        listed = own.groupBy("name").agg(F.count("*").alias("_in"), F.sort_array(F.collect_list("sig")).alias("_sigs"))
+        listed = listed.select("name", F.when(F.col("_in") <= NAMED, F.col("_sigs")).alias("sigs"))
+        maps = maps.join(listed, "name")
+    else:
+        maps = maps.withColumn("sigs", F.lit(None).cast("array<bigint>"))
+    own = own.join(maps, "name")
     block = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
     own = own.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     unit = own.select(
@@ -304,29 +318,64 @@ def _from_large(groups: DataFrame, maps: DataFrame, t: Threshold) -> DataFrame:
         "n",
         "root",
         F.col("payload").alias("map"),
+        "sigs",
     )
 
-    def compare(key, frame):
-        import pandas as pd
-
-        names, n, root = (frame[c].to_numpy() for c in ("name", "n", "root"))
-        words = min(len(m) for m in frame["map"]) // 8
-        maps = np.stack([_fold(m, words) for m in frame["map"]])
-        one = key[1] == key[2]
-        second = frame["second"].to_numpy()
-        rows, cols = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~second), np.flatnonzero(second))
-        found = []
-        for i in rows:
-            rest = cols[cols > i] if one else cols
-            rest = rest[(root[rest] != root[i])]
-            rest = rest[(n[rest] * t.den >= n[i] * t.num) & (n[i] * t.den >= n[rest] * t.num)]
-            if len(rest):
-                apart = np.bitwise_count(maps[rest] ^ maps[i]).sum(1, dtype=np.int64)
-                near = rest[apart * (t.den + t.num) <= (n[rest] + n[i]) * (t.den - t.num)]
-                found += [(min(names[i], names[j]), max(names[i], names[j])) for j in near]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
-
-    return unit.groupBy("sig", "lo", "hi").applyInPandas(compare, "a bigint, b bigint").distinct()
+    def compare(group):
+        sig, one = group["sig"][0].as_py(), group["lo"][0] == group["hi"][0]
+        names = group["name"].to_numpy()
+        second = group["second"].to_numpy(zero_copy_only=False)
+        maps = group["map"].to_pylist()
+        i, j, apart = _close(maps, group["n"].to_numpy(), group["root"].to_numpy(), second, one, t)
+        if nearest:
+            both = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([apart, apart])
+            order = np.lexsort((both[1], both[2], both[0]))
+            _, first = np.unique(both[0][order], return_index=True)
+            i, j = both[0][order][first], both[1][order][first]
+        elif len(i):
+            sigs = group["sigs"].to_pylist()
+            keep = [_first_common(sigs[x], sigs[y], sig) for x, y in zip(i, j)]
+            i, j = i[keep], j[keep]
+        pairs = np.sort(np.stack([names[i], names[j]], 1), axis=1)
+        return {"a": pairs[:, 0], "b": pairs[:, 1]}
+
+    return by_group(unit, ["sig", "lo", "hi"], "a bigint, b bigint", compare).distinct()
+
+
+def _first_common(x, y, sig: int) -> bool:
+    return x is None or y is None or sig == min(set(x).intersection(y), default=sig)
+
+
+def _close(maps, n: np.ndarray, root: np.ndarray, second: np.ndarray, one: bool, t: Threshold):
+    """Row numbers of pairs of different components that the bitmaps don't rule out, and the bits
+    in which they differ. A part of the bits goes first, which rules out most."""
+    words = min(len(m) for m in maps) // 8
+    full = np.stack([_fold(m, words) for m in maps])
+    part = max(words // 8, min(words, 4))
+    coarse = np.bitwise_xor.reduce(full.reshape(len(n), -1, part), axis=1)
+    rows, cols = (np.arange(len(n)),) * 2 if one else (np.flatnonzero(~second), np.flatnonzero(second))
+    step = max(1, (1 << 19) // max(len(cols) * part, 1))
+    found = []
+    for at in range(0, len(rows), step):
+        own = rows[at : at + step]
+        apart = np.zeros((len(own), len(cols)), np.int64)
+        for w in range(part):
+            apart += np.bitwise_count(coarse[own, w][:, None] ^ coarse[cols, w])
+        x, y = n[own][:, None], n[cols]
+        ok = (apart * (t.den + t.num) <= (x + y) * (t.den - t.num)) & (root[own][:, None] != root[cols])
+        ok &= (y * t.den >= x * t.num) & (x * t.den >= y * t.num)
+        if one:
+            ok &= cols > own[:, None]
+        i, j = np.nonzero(ok)
+        i, j = own[i], cols[j]
+        for k in range(0, len(i), 1 << 14):
+            a, b = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
+            bits = np.bitwise_count(full[a] ^ full[b]).sum(1, dtype=np.int64)
+            near = bits * (t.den + t.num) <= (n[a] + n[b]) * (t.den - t.num)
+            found.append((a[near], b[near], bits[near]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def near_duplicates(
@@ -360,28 +409,36 @@ def near_duplicates(
     pairs = found.filter("sig is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     pairs, _ = materialize(pairs, "pairs")
 
-    # first the pair with most shared signatures of each set: a forest that joins most copies
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    links, _ = materialize(_verified(best.select("a", "b"), df, nodes, id_col, text_col, width, t), "links")
-    roots = components(links)
-    roots, _ = materialize(roots, "roots")
+    def linked(wanted: DataFrame, before: DataFrame | None, name: str) -> DataFrame:
+        """Components after the wanted pairs are verified, too."""
+        links = _verified(wanted, df, nodes, id_col, text_col, width, t)
+        if before is not None:
+            tree = before.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+            links = links.union(tree)
+        return materialize(components(links), name)[0]
 
-    # then what may still join different components
-    def root_of(frame: DataFrame, column: str, name: str) -> DataFrame:
+    def root_of(frame: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
         known = roots.select(F.col("node").alias(column), F.col("root").alias("_root"))
         return frame.join(known, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
 
-    rest = root_of(root_of(pairs, "a", "ra"), "b", "rb").filter("ra <> rb").select("a", "b")
-    rest = rest.join(best.select("a", "b"), ["a", "b"], "left_anti")
-    groups = root_of(found.filter("sig is not null").select("sig", F.col("a").alias("name")), "name", "root")
-    wanted = groups.select("name").distinct()
-    maps = _payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "bitmap")
-    rest, _ = materialize(rest.union(_from_large(groups, maps, t)).distinct(), "rest")
-    more = _verified(rest, df, nodes, id_col, text_col, width, t)
-
-    # sets and documents are nodes of one graph, as a document may have several texts
-    tree = roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    joined = components(tree.union(more))
+    def grouped(roots: DataFrame) -> DataFrame:
+        return root_of(found.filter("sig is not null").select("sig", F.col("a").alias("name")), roots, "name", "root")
+
+    # 1. the pair with most shared signatures of each set: a forest that joins most copies
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
+    roots = linked(best, None, "roots")
+    # 2. of sets in large groups that are in different components still, the closest by their bitmaps
+    wanted = found.filter("sig is not null").select(F.col("a").alias("name")).distinct()
+    maps, _ = materialize(_payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "bitmap"), "bitmaps")
+    close, _ = materialize(_from_large(grouped(roots), maps, t, True), "closest")
+    tried = best.union(close)
+    roots = linked(close, roots, "roots")
+    # 3. every pair that may still join different components
+    rest = root_of(root_of(pairs, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").select("a", "b")
+    rest = rest.union(_from_large(grouped(roots), maps, t, False)).distinct().join(tried, ["a", "b"], "left_anti")
+    rest, _ = materialize(rest, "rest")
+    joined = linked(rest, roots, "roots")
+
     least = _least_ids(named, joined)
     return docs.join(least, ["doc", "name"], "left").select(
         "doc", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component")
