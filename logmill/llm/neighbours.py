@@ -2,8 +2,8 @@
 
 A block of vectors is projected on ``lines`` random lines, and each line's values are sorted.
 A query opens on every line a window around its own value. The windows widen step by step
-(virtual rehashing: a wider window has all that a narrower one has, so only the margins are
-counted); a vector that lies in ``collisions`` or more windows is verified by its exact inner
+(virtual rehashing: a window is a run of the sorted array, and a vector lies in it if its
+place in the array does); a vector that lies in ``collisions`` or more windows is verified by its exact inner
 product. The search of a block ends once windows reach ``reach`` times the distance of the
 k-th nearest vector verified: one nearer than that lies in each window with a probability that
 makes too few collisions unlikely.
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from logmill.llm.common import materialize, table
 
 LINES = 96
-COLLISIONS = 44
-REACH = 0.64
-WIDEN = 1.2
+COLLISIONS = 42
+REACH = 0.66
+WIDEN = 1.1
 
 
 class Index:
@@ -38,14 +38,20 @@ class Index:
         directions = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, lines))
         self.directions = directions
         values = np.column_stack([vectors, rest]) @ directions
-        self.order = np.argsort(values, axis=0).T.astype(np.int32).copy()
-        self.sorted = np.sort(values, axis=0).T.copy()
+        self.order = np.argsort(values, axis=0).T.copy()
+        self.sorted = np.take_along_axis(values.T, self.order, 1)
+        # a vector's place in each sorted array: it lies in a window if its place does
+        self.place = np.empty(self.order.shape, np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, self.order, np.arange(len(ids), dtype=self.place.dtype)[None, :], 1)
+        # room that every search uses again
+        self.rows = np.empty_like(vectors)
+        self.away, self.inside = np.empty_like(self.place), np.empty(self.place.shape, bool)
 
     def search(self, own: int, query: np.ndarray, k: int, collisions: int, reach: float, widen: float):
         """Ids and inner products of the k nearest found, best first; ``own`` is left out."""
         n, size = len(self.ids), self.longest
         centre = (query * (size / np.linalg.norm(query))) @ self.directions[:-1]
-        place = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, centre)])
+        place = self._places(centre, "left")
         near = np.unique(np.concatenate([o[max(p - 1, 0) : p + 1] for o, p in zip(self.order, place)]))
         score = np.full(n, -np.inf)
         done = np.zeros(n, bool)
@@ -56,33 +62,35 @@ class Index:
         def distance() -> float:
             if k >= n:
                 return np.inf
-            best = np.partition(score, n - k)[n - k]
+            known = score[done]
+            best = np.partition(known, len(known) - k)[len(known) - k] if len(known) > k else -np.inf
             return np.sqrt(max(2 * size * (size - best / unit), 0)) if np.isfinite(best) else np.inf
 
-        counts = np.zeros(n, np.int64)
-        low = high = place
         bound = distance()
         half = reach * (bound if np.isfinite(bound) else 2 * size) / widen
         while True:
-            first = np.array([np.searchsorted(s, c - half) for s, c in zip(self.sorted, centre)])
-            last = np.array([np.searchsorted(s, c + half, "right") for s, c in zip(self.sorted, centre)])
-            first, last = np.minimum(first, low), np.maximum(last, high)
-            margin = [o[a:b] for o, a, b in zip(self.order, first, low)] + [
-                o[a:b] for o, a, b in zip(self.order, high, last)
-            ]
-            counts += np.bincount(np.concatenate(margin), minlength=n)
-            low, high = first, last
+            first, last = self._places(centre - half, "left"), self._places(centre + half, "right")
+            kind = self.place.dtype
+            # places before the window wrap around to the far end
+            np.subtract(self.place, first.astype(kind)[:, None], out=self.away)
+            np.less(self.away, (last - first).astype(kind)[:, None], out=self.inside)
+            counts = np.add.reduce(self.inside.view(np.uint8), axis=0, dtype=np.uint8 if len(centre) < 256 else np.uint32)
+            counts += ((last - first) >> 8 * kind.itemsize).sum().astype(counts.dtype)  # widths beyond the kind
             self._verify(np.flatnonzero((counts >= collisions) & ~done), query, score, done)
             score[self.ids == own] = -np.inf
-            if half >= reach * distance() or (low.max() == 0 and high.min() == n):
+            if half >= reach * distance() or (first.max() == 0 and last.min() == n):
                 break
             half *= widen
         found = np.flatnonzero(np.isfinite(score))
         found = found[np.lexsort((self.ids[found], -score[found]))[:k]]
         return self.ids[found], score[found]
 
+    def _places(self, values: np.ndarray, side: str) -> np.ndarray:
+        return np.array([s.searchsorted(v, side) for s, v in zip(self.sorted, values)])
+
     def _verify(self, which: np.ndarray, query: np.ndarray, score: np.ndarray, done: np.ndarray) -> None:
-        score[which] = self.vectors[which] @ query
+        rows = np.take(self.vectors, which, axis=0, out=self.rows[: len(which)], mode="clip")
+        score[which] = rows @ query
         done[which] = True
 
 
