@@ -292,16 +292,14 @@ def _verified(pairs: DataFrame, df: DataFrame, nodes: DataFrame, id_col: str, te
 
 
 def _from_large(groups: DataFrame, maps: DataFrame, t: Threshold, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of different components out of large groups (sig, name, root) that the
+    """Pairs (a, b) of different components out of large mixed groups (sig, name, root, blocks) that the
     bitmaps don't rule out; with ``nearest``, for each set of a block only the pair that they
     hold to be the closest. A group is cut into blocks; each pair of blocks is a unit of work."""
-    size = groups.groupBy("sig").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = size.filter("lo <> hi").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    own = groups.join(mixed, "sig")
+    own = groups
     if not nearest:
         # a pair that shares several large groups becomes a row in the first of them only, as
         # far as both sets are in few enough to name them all
-        listed = own.groupBy("name").agg(F.count("*").alias("_in"), F.sort_array(F.collect_list("sig")).alias("_sigs"))
+        listed = groups.groupBy("name").agg(F.count("*").alias("_in"), F.sort_array(F.collect_list("sig")).alias("_sigs"))
         listed = listed.select("name", F.when(F.col("_in") <= NAMED, F.col("_sigs")).alias("sigs"))
         maps = maps.join(listed, "name")
     else:
@@ -421,21 +419,28 @@ def near_duplicates(
         known = roots.select(F.col("node").alias(column), F.col("root").alias("_root"))
         return frame.join(known, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
 
-    def grouped(roots: DataFrame) -> DataFrame:
-        return root_of(found.filter("sig is not null").select("sig", F.col("a").alias("name")), roots, "name", "root")
+    def mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+        """The groups (sig, name) that hold different components, with these and the number of
+        blocks; written, as they are used again."""
+        own = root_of(members, roots, "name", "root")
+        blocks = F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+        seen = own.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), blocks)
+        return materialize(own.join(seen.filter("lo <> hi").select("sig", "blocks"), "sig"), "mixed-groups")[0]
 
     # 1. the pair with most shared signatures of each set: a forest that joins most copies
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
     roots = linked(best, None, "roots")
     # 2. of sets in large groups that are in different components still, the closest by their bitmaps
-    wanted = found.filter("sig is not null").select(F.col("a").alias("name")).distinct()
+    groups = mixed(found.filter("sig is not null").select("sig", F.col("a").alias("name")), roots)
+    wanted = groups.select("name").distinct()
     maps, _ = materialize(_payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "bitmap"), "bitmaps")
-    close, _ = materialize(_from_large(grouped(roots), maps, t, True), "closest")
+    close, _ = materialize(_from_large(groups, maps, t, True), "closest")
     tried = best.union(close)
     roots = linked(close, roots, "roots")
+    groups = mixed(groups.select("sig", "name"), roots)
     # 3. every pair that may still join different components
     rest = root_of(root_of(pairs, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").select("a", "b")
-    rest = rest.union(_from_large(grouped(roots), maps, t, False)).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = rest.union(_from_large(groups, maps, t, False)).distinct().join(tried, ["a", "b"], "left_anti")
     rest, _ = materialize(rest, "rest")
     joined = linked(rest, roots, "roots")
 
