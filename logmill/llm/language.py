@@ -100,7 +100,7 @@ def fit(texts: dict[str, list[bytes]], most_contexts: int = 40_000) -> Model:
         cost[len(kept) :, :, k] = -np.log2(two)
     row = np.tile(np.arange(size * size, dtype=np.int32) + len(kept), size)
     row[kept] = np.arange(len(kept))
-    return Model(languages, symbol, size, row, cost.reshape(-1, len(languages)))
+    return Model(languages, symbol, size, row, cost.reshape(len(cost) * size, len(languages)))
 
 
 def _level(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:

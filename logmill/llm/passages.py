@@ -53,7 +53,7 @@ class Anchors:
 
     def __init__(self, length: int, gram: int):
         self.length, self.gram, self.reach = length, gram, length - gram
-        n = PART + 2 * length
+        n = PART + 3 * length
         self.up, self.down = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 2**64), n + 1)
 
     def of(self, text: bytes) -> tuple[np.ndarray, ...]:
