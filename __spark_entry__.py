@@ -20,7 +20,7 @@ from logmill.operators.clean import clean, map_column
 from logmill.operators.enrich import join_hostnames
 from logmill.operators.moving_average import moving_avg_per_record
 from logmill.operators.parse import parse, rejects
-from logmill.plans import pipeline
+from logmill.plans import pipeline, report
 from logmill.schema import FIELDS
 from logmill.sources import lake, text, warehouse
 
@@ -117,7 +117,8 @@ def _lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lake_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.append_in_chunks(_cleaned(spark, sf_dir), scratch_path(spark, "chunks"))
+    """Files of at most 1,000 records."""
+    return lake.append_in_chunks(_cleaned(spark, sf_dir), scratch_path(spark, "chunks"), rows=1_000)
 
 
 def _lake_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +133,29 @@ def _lake_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.repartition_lake(spark, path, scratch_path(spark, "by-method"), "method")
 
 
+def _read_log_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed lines only, by the folders above them."""
+    return text.read_log_lines(spark, _write_log_files(spark, sf_dir), "arch[!x]v*/*/part-*")
+
+
+def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _warehouse_name(spark, sf_dir)
+    return warehouse.list_tables(spark).filter(F.col("tableName") == name).select(F.substring("tableName", 1, 16).alias("table_name"))
+
+
+def _reject_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return traffic.total_records(_reject_sink(spark, sf_dir)).withColumnRenamed("total_records", "total_errors")
+
+
+def _report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the report over a stored table."""
+    errors = scratch_path(spark, "errors")
+    text.write_rejects(rejects(standin.log_lines(spark, sf_dir)), errors)
+    outputs = report(spark, errors, _warehouse_name(spark, sf_dir))
+    totals = {name: outputs[name] for name in ("total_records", "total_errors", "total_mb")}
+    return spark.sql("SELECT " + ", ".join(f"(SELECT * FROM {{{name}}}) AS {name}" for name in totals), **totals)
+
+
 def _map_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One native function and one plain Python function, chained."""
     records = _cleaned(spark, sf_dir).select("host", "request", "bytes")
@@ -170,7 +194,9 @@ def _own_queries() -> dict[str, Query]:
     return {
         # sources and sinks
         "read_log_files": _read_log_files,
+        "read_log_folders": _read_log_folders,
         "read_hostname_csv": _read_hostname_csv,
+        "list_tables": _list_tables,
         "reject_sink": _reject_sink,
         "lake_roundtrip": _lake_roundtrip,
         "lake_chunks": _lake_chunks,
@@ -190,9 +216,8 @@ def _own_queries() -> dict[str, Query]:
         ),
         # reports
         "total_records": _on_joined(traffic.total_records),
-        "reject_count": lambda spark, sf_dir: traffic.total_records(
-            rejects(standin.log_lines(spark, sf_dir))
-        ).withColumnRenamed("total_records", "total_errors"),
+        "reject_count": _reject_count,
+        "report_totals": _report_totals,
         "total_mb": _on_joined(traffic.total_mb),
         "mb_by_status": _on_joined(traffic.mb_by, "status"),
         "mb_by_method": _on_joined(traffic.mb_by, "method"),
@@ -220,6 +245,12 @@ def _own_sql() -> dict[str, str]:
             SELECT dt, hostname, bytes / 1000 AS KB FROM ranked WHERE rn = 1 ORDER BY 1"""
     return {
         "read_log_files": f"{lines} SELECT value FROM lines",
+        "read_log_folders": f"{lines} SELECT value FROM lines WHERE contains(value, '/signup/')",
+        "list_tables": "SELECT 'joined_log_table' AS table_name",
+        "report_totals": f"""{joined} SELECT
+              (SELECT count(*) FROM joined_log_table) AS total_records,
+              (SELECT count(*) FROM ({rejected})) AS total_errors,
+              (SELECT sum(bytes) / 1000 / 1000 FROM joined_log_table) AS total_mb""",
         "read_hostname_csv": f"{names} SELECT client, hostname FROM names",
         "reject_sink": rejected,
         "lake_roundtrip": all_cleaned,

@@ -101,6 +101,8 @@ class LogPipeline:
         if self.counts["rejects"]:
             rejected = read_lake(self.spark, f"{self.output_location}/{OUTCOME}=reject-{run}")
             write_rejects(rejected.select(F.col("user_agent").alias("value")), self.errors_location)
+        else:  # the folder is there after every run, for those who count it
+            write_rejects(self.spark.createDataFrame([], "value string"), self.errors_location)
         return self
 
     def transform_data(self) -> "LogPipeline":

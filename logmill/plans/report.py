@@ -1,5 +1,8 @@
 """The report over the warehouse table."""
 
+from collections.abc import Callable, Mapping
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from logmill.functions.scratch import materialize
@@ -9,30 +12,53 @@ from logmill.sources.text import read_rejects
 from logmill.sources.warehouse import describe
 
 
-def report(spark: SparkSession, errors_location: str, table: str = "joined_log_table") -> dict[str, DataFrame]:
+class Report(Mapping):
+    """Outputs by name, each built when it is asked for the first time."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def report(spark: SparkSession, errors_location: str, table: str = "joined_log_table") -> Report:
     """The outputs of the dashboard and the notebook, by name.
 
     Totals share one pass over the table: it is reduced to its few cells per
-    status, method and hour first, and those are stored.
+    status, method and hour first, and those are stored. Each output runs only
+    the jobs that it needs, and only when it is asked for.
     """
     log = spark.table(table)
-    cells, _ = materialize(traffic.traffic_cells(log), "cells")
-    return {
-        "describe": describe(spark, table),
-        "total_records": traffic.records_from_cells(cells),
-        "total_errors": traffic.total_records(read_rejects(spark, errors_location)).withColumnRenamed(
-            "total_records", "total_errors"
-        ),
-        "total_mb": traffic.mb_from_cells(cells),
-        "mb_by_hour": traffic.mb_by_hour_from_cells(cells),
-        "mb_by_status": traffic.mb_by_from_cells(cells, "status"),
-        "mb_by_method": traffic.mb_by_from_cells(cells, "method"),
-        "top_bytes_by_hour": traffic.top_bytes_by_hour(log),
-        "moving_avg": moving_avg_per_record(log),
-    }
-
-
-def save_report(outputs: dict[str, DataFrame], path: str) -> None:
+    cells = cache(lambda: materialize(traffic.traffic_cells(log), "cells")[0])
+
+    def errors() -> DataFrame:
+        return traffic.total_records(read_rejects(spark, errors_location)).withColumnRenamed("total_records", "total_errors")
+
+    return Report(
+        {
+            "describe": lambda: describe(spark, table),
+            "total_records": lambda: traffic.records_from_cells(cells()),
+            "total_errors": errors,
+            "total_mb": lambda: traffic.mb_from_cells(cells()),
+            "mb_by_hour": lambda: traffic.mb_by_hour_from_cells(cells()),
+            "mb_by_status": lambda: traffic.mb_by_from_cells(cells(), "status"),
+            "mb_by_method": lambda: traffic.mb_by_from_cells(cells(), "method"),
+            "top_bytes_by_hour": lambda: traffic.top_bytes_by_hour(log),
+            "moving_avg": lambda: moving_avg_per_record(log),
+        }
+    )
+
+
+def save_report(outputs: Mapping[str, DataFrame], path: str) -> None:
     """Write each output as a Parquet folder of its name."""
     for name, output in outputs.items():
         output.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")

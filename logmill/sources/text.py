@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,15 +14,20 @@ def read_log_lines(
 
     ``.gz`` files are unpacked by their suffix. One such file is one task;
     ``partitions`` spreads the lines again after reading, for a few large ones.
-    A pattern with ``/`` also fixes the folders right above the file. Spark skips
-    files and folders whose names start with ``_`` or ``.``.
+    A pattern with ``/`` also fixes the folders right above the file, below ``directory``;
+    ``**`` stands for any number of them. Spark skips files and folders whose names
+    start with ``_`` or ``.``, so a pattern that asks for such a name is an error.
     """
-    folders, _, name = file_pattern.rpartition("/")
+    *folders, name = file_pattern.split("/")
+    if any(part.startswith(("_", ".")) for part in (*folders, name)):
+        raise ValueError(f"names that start with _ or . are never read: {file_pattern!r}")
     # Spark globs know alternatives in braces and escapes, which are plain text here.
     glob = re.sub(r"([{}\\])", r"\\\1", name).replace("[!", "[^")
     lines = spark.read.text(directory, recursiveFileLookup=True, pathGlobFilter=glob)
     if folders:
-        lines = lines.filter(F.col("_metadata.file_path").rlike(f"/{_glob_regex(folders)}/[^/]*$"))
+        below = F.substring(_plain_path(F.col("_metadata.file_path")), len(_root_path(spark, directory)) + 2, 1 << 30)
+        pattern = "".join("(?:[^/]+/)*" if part == "**" else f"{_glob_regex(part)}/" for part in folders)
+        lines = lines.filter(below.rlike(f"^(?:[^/]+/)*{pattern}[^/]*$"))
     lines = lines.select("value")
     return lines.repartition(partitions) if partitions else lines
 
@@ -46,6 +51,31 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _glob_regex(folders: str) -> str:
+def _root_path(spark: SparkSession, directory: str) -> str:
+    """The folder's path without scheme, as Spark lists it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def _plain_path(address: Column) -> Column:
+    """The path of a file's address, decoded; a plus sign stands for itself."""
+    path = F.regexp_replace(address, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _glob_regex(part: str) -> str:
+    """A folder's glob as a regex: ``*``, ``?``, ``[...]`` and ``[!...]``."""
     wild = {"*": "[^/]*", "?": "[^/]"}
-    return "".join(wild.get(ch, re.escape(ch)) for ch in folders.strip("/"))
+    out, at = "", 0
+    while at < len(part):
+        end = part.find("]", at + 2 + (part[at + 1 : at + 2] == "!")) if part[at] == "[" else -1
+        if end > 0:
+            chars = part[at + 1 : end]
+            no, chars = ("^", chars[1:]) if chars[0] == "!" else ("", chars)
+            out += f"[{no}" + re.sub(r"([\\\[\]^&])", r"\\\1", chars) + "]"
+            at = end
+        else:
+            out += wild.get(part[at], re.escape(part[at]))
+        at += 1
+    return out

@@ -7,8 +7,6 @@ from conftest import first_plan
 from pyspark.sql import functions as F
 
 from logmill.functions.sql import register
-from logmill.operators import traffic
-from logmill.operators.moving_average import moving_avg_per_record
 
 
 @pytest.fixture
@@ -32,27 +30,28 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_totals(spark, table):
-    by_status = "select status, (sum(bytes)/1000/1000)MB from log group by status having MB > 0 order by MB"
-    assert rows(spark.sql(by_status)) == rows(traffic.mb_by(table, "status"))
-    by_hour = "select strftime(datetime, '%H')log_hour, (sum(bytes)/1000/1000)MB from log group by log_hour order by log_hour"
-    assert rows(spark.sql(by_hour)) == rows(traffic.mb_by_hour(table))
-    assert "Python" not in first_plan(spark.sql(by_hour))
-
-
-def test_windows(spark, table):
-    top = """
-        with hours as (select strftime(datetime, '%H')dt, * from log),
-        ranked as (select *, row_number() over (partition by dt order by bytes desc, datetime) row_number from hours)
-        select dt, hostname, (bytes/1000)KB from ranked where row_number = 1 order by 1"""
-    assert rows(spark.sql(top)) == rows(traffic.top_bytes_by_hour(table))
-    average = """
-        select strftime(datetime, '%H')dt, avg(bytes) over near as bytes_5_hours_mov_avg from log
-        window near as (order by datetime range between interval 2 hours preceding and interval 2 hours following)
-        order by 1, 2"""
-    got, want = rows(moving_avg_per_record(table)), rows(spark.sql(average))
-    assert [h for h, _ in got] == [h for h, _ in want]
-    assert [v for _, v in got] == pytest.approx([v for _, v in want])
+def test_hour_text_and_having_by_alias(spark, table):
+    busy = """
+        SELECT host, strftime(datetime, '%H') AS at, max(status) AS worst, count(*) AS requests
+        FROM log WHERE method = 'POST' GROUP BY host, at HAVING requests > 1"""
+    hour = F.date_format("datetime", "HH").alias("at")
+    own = table.filter("method = 'POST'").groupBy("host", hour).agg(F.max("status").alias("worst"), F.count("*").alias("n"))
+    assert sorted(rows(spark.sql(busy))) == sorted(rows(own.filter("n > 1")))
+    assert "Python" not in first_plan(spark.sql(busy))
+
+
+def test_chained_expressions_and_named_window(spark, table):
+    quiet = """
+        WITH per_host AS (SELECT host, request, length(request) AS size FROM log),
+             placed AS (SELECT host, request, rank() OVER w AS place, lag(size) OVER w AS before
+                        FROM per_host WINDOW w AS (PARTITION BY host ORDER BY size DESC, request))
+        SELECT host, request, before FROM placed WHERE place <= 2"""
+    got = sorted(rows(spark.sql(quiet)), key=str)
+    want = []
+    for host in {r["host"] for r in table.collect()}:
+        own = sorted((r["request"] for r in table.collect() if r["host"] == host), key=lambda r: (-len(r), r))
+        want += [(host, own[0], None), (host, own[1], len(own[0]))]
+    assert got == sorted(want, key=str)
 
 
 def test_other_formats_are_an_error(spark, table):
