@@ -51,6 +51,7 @@ LINES_SQL = f"""lines AS (
 NAMES_SQL = """names AS (
   SELECT '10.0.' || (c_custkey // 256) || '.' || (c_custkey % 256) AS client, c_name AS hostname FROM customer)"""
 
+# Fixed value: the line pattern, which must equal the parser's.
 PATTERN_SQL = r"""'^(\S+) (\S+) (\S+) \[(.*?)\] "(\S+) (\S+) (\S+)" (\S+) (\S+) "(.*?)" "(.*?)"'"""
 PARSED_SQL = f"""{LINES_SQL}, parsed AS (
   SELECT f.* FROM (
