@@ -23,6 +23,9 @@ class Report(Mapping):
             self._built[name] = self._builders[name]()
         return self._built[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
     def __iter__(self):
         return iter(self._builders)
 
