@@ -1,12 +1,13 @@
 """Operator 7: licence scans by a positional index of rare words, in DataFrame functions only.
 
 A template is a short notice, as words. The words of all templates are counted over all
-documents, which gives each its inverse document frequency. Of the licence words that a file
-has, the rarest are looked up: each place of such a word votes for the starts that the
-template's postings give it. A start with votes from enough different words is held against the
-template: its key phrase must stand there in full, and its score is the share of the template's
-words that stand at their places. Counting and scanning read the texts once each; nothing but
-one row per licence word is shuffled.
+documents, which gives each its inverse document frequency. Of each template whose key phrase's
+words a file has, the rarest of these words are looked up: each place of such a word votes for
+the starts that the template's postings give it. A start with the votes of all of them is held
+against the template: its key phrase must stand there in full, and its score is the share of the
+template's words that stand at their places. As a start without the key phrase is none, the
+votes lose no start, however many notices a file holds. Counting and scanning read the texts once
+each; nothing but one row per licence word is shuffled.
 """
 
 from __future__ import annotations
@@ -81,25 +82,24 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     templates=TEMPLATES,
-    rarest: int = 8,
     votes: int = 2,
     least_score: float = 0.6,
 ) -> DataFrame:
     """``doc, n_words, n_base, first_word, last_word, base_labels, labels, score`` of each row.
 
-    ``rarest``: licence words looked up per file; ``votes``: different ones that must agree on a
-    start (all of a template's, if it has fewer among them); ``least_score``: least share of
-    template words in place. ``score`` is the best of the labels that the templates add, 0
-    without one. A null or empty text has no words and no labels. Rows are independent:
+    ``votes``: words of a template's key phrase, the rarest, that are looked up and must agree on
+    a start (all, if it has fewer); ``least_score``: least share of template words in place.
+    ``score`` is the best of the labels that the templates add, 0 without one. A null or empty text has no words and no labels. Rows are independent:
     repeated rows and null ids pass through; other columns are not read.
     """
     words = words_of(df, id_col, text_col)
     vocabulary = _vocabulary(templates)
     idf = frequencies(words, vocabulary)
     ranked = sorted(vocabulary, key=lambda w: (-idf[w], w))
+    rare = [[w for w in ranked if w in key.split()][:votes] for _, _, key in templates]
     rows = words.select("doc", "w", F.array_intersect(_strings(ranked), "w").alias("has"))
-    rows = rows.select("doc", "w", "has", *_base_places(), F.slice("has", 1, rarest).alias("rare"))
-    rows = rows.withColumn("starts", _starts(templates, votes))
+    rows = rows.select("doc", "w", "has", *_base_places(), _rare_words(templates, rare).alias("rare"))
+    rows = rows.withColumn("starts", _starts(templates, rare))
     rows = rows.withColumn("found", _verified(templates, least_score))
     places = F.array_sort(F.flatten(F.array(*[F.col(f"b{k}") for k in range(len(BASE))])))
     base = [F.when(F.size(f"b{k}") > 0, F.lit(label)) for k, label in enumerate(BASE.values())]
@@ -138,12 +138,26 @@ def _keyed(key: str) -> Column:
     return reduce(Column.__and__, (F.array_contains("has", w) for w in key.split()))
 
 
-def _starts(templates, votes: int) -> Column:
-    """(template, start) with enough votes, for files that have all words of some key phrase."""
+def _key_place(words: str, key: str) -> int:
+    own = key.split()
+    return next(i for i in range(len(words.split())) if words.split()[i : i + len(own)] == own)
+
+
+def _rare_words(templates, rare: list[list[str]]) -> Column:
+    """The words to look up in a file: those of each template that has all words of its key phrase there."""
+    none = F.expr("cast(array() as array<string>)")
+    found = [F.when(_keyed(key), _strings(own)).otherwise(none) for (_, _, key), own in zip(templates, rare)]
+    return F.array_distinct(F.flatten(F.array(*found)))
+
+
+def _starts(templates, rare: list[list[str]]) -> Column:
+    """(template, start) on which all of the template's rare words agree."""
     postings: dict[str, list[tuple[int, int]]] = {}
-    for t, (_, words, _) in enumerate(templates):
-        for place, word in enumerate(words.split()):
-            postings.setdefault(word, []).append((t, place))
+    for t, (_, words, key) in enumerate(templates):
+        at = _key_place(words, key)
+        for place, word in enumerate(key.split(), at):
+            if word in rare[t]:
+                postings.setdefault(word, []).append((t, place))
     index = F.create_map(
         *[
             x
@@ -159,36 +173,27 @@ def _starts(templates, votes: int) -> Column:
         F.transform(
             places,
             lambda x: F.transform(
-                F.coalesce(index[x["word"]], F.expr("cast(array() as array<struct<t: int, p: int>>)")),
+                index[x["word"]],
                 lambda y: F.struct(y["t"].alias("t"), (x["i"] - y["p"]).alias("start"), x["word"].alias("word")),
             ),
         )
     )
     # sorted by template, start and word, votes of different words for one start stand together
     ordered = F.array_sort(F.array_distinct(cast))
-    need = F.create_map(*[x for t, (_, words, _) in enumerate(templates) for x in (F.lit(t), _need(words, votes))])
+    need = F.create_map(*[x for t, own in enumerate(rare) for x in (F.lit(t), F.lit(len(own)))])
     agreed = F.transform(
         F.array(F.struct(ordered.alias("votes"))),
         lambda one: F.transform(
             one["votes"],
             lambda v, i: F.when(
-                (need[v["t"]] <= 1)
-                | (
-                    (F.get(one["votes"], i + need[v["t"]].cast("int") - 1)["t"] == v["t"])
-                    & (F.get(one["votes"], i + need[v["t"]].cast("int") - 1)["start"] == v["start"])
-                ),
+                (F.get(one["votes"], i + need[v["t"]] - 1)["t"] == v["t"])
+                & (F.get(one["votes"], i + need[v["t"]] - 1)["start"] == v["start"]),
                 F.struct(v["t"].alias("t"), v["start"].alias("start")),
             ),
         ),
     )
     starts = F.array_distinct(F.array_compact(F.flatten(agreed)))
-    any_key = reduce(Column.__or__, (_keyed(key) for _, _, key in templates))
-    return F.when(any_key, starts).otherwise(F.expr("cast(array() as array<struct<t: int, start: int>>)"))
-
-
-def _need(words: str, votes: int) -> Column:
-    """Votes that a template needs: as many as it has words among the file's rarest, at most ``votes``."""
-    return F.least(F.lit(votes), F.size(F.array_intersect("rare", _strings(words.split()))))
+    return F.when(F.size("rare") > 0, starts).otherwise(F.expr("cast(array() as array<struct<t: int, start: int>>)"))
 
 
 def _verified(templates, least_score: float) -> Column:
@@ -196,7 +201,7 @@ def _verified(templates, least_score: float) -> Column:
     found = None
     for t, (label, words, key) in enumerate(templates):
         own = words.split()
-        at = next(i for i in range(len(own)) if own[i : i + len(key.split())] == key.split())
+        at = _key_place(words, key)
         in_place = " + ".join(f"if(get(w, s.start + {k}) <=> '{x}', 1, 0)" for k, x in enumerate(own))
         keyed = " and ".join(f"get(w, s.start + {at + k}) <=> '{x}'" for k, x in enumerate(key.split()))
         one = F.expr(f"""filter(transform(filter(starts, s -> s.t = {t} and {keyed}),

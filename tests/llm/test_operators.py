@@ -221,6 +221,44 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).collect() == []
 
 
+def scan_by_force(text):
+    """Labels and score, every template held against every place."""
+    w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", small(text)) if x]
+    labels = {label for phrase, label in licenses.BASE.items() if f" {phrase} " in f" {' '.join(w)} "}
+    best = 0.0
+    for label, words, key in licenses.TEMPLATES:
+        own, key = words.split(), key.split()
+        at = next(i for i in range(len(own)) if own[i : i + len(key)] == key)
+        for i in range(len(w)):
+            if w[i : i + len(key)] == key:
+                share = sum(0 <= i - at + k < len(w) and w[i - at + k] == x for k, x in enumerate(own)) / len(own)
+                if share >= 0.6:
+                    labels.add(label)
+                    best = max(best, share)
+    return ",".join(sorted(labels)), best
+
+
+def test_licenses_of_files_with_several_notices(spark):
+    rng = random.Random(7)
+    notices = [words for _, words, _ in licenses.TEMPLATES]
+    vocabulary = sorted({w for words in notices for w in words.split()})
+
+    def worn(words):
+        own = words.split()
+        for _ in range(rng.randrange(5)):
+            own[rng.randrange(len(own))] = rng.choice(vocabulary)
+        return " ".join(own[rng.randrange(4) :])
+
+    texts = [f"{a}\nx {b}" for a in notices for b in notices]
+    texts += [". ".join(notices), " ".join(reversed(notices)), " ".join(vocabulary)]
+    texts += [" ".join(rng.choices([worn(w) for w in notices] + LETTERS, k=rng.randrange(1, 12))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc: (r.labels, r.score) for r in licenses.scan(df).collect()}
+    assert got == {d: scan_by_force(text) for d, text in enumerate(texts)}
+    everything = {label for label, _, _ in licenses.TEMPLATES}
+    assert everything <= set(got[len(notices) ** 2][0].split(","))
+
+
 # -- 6, 8 ------------------------------------------------------------------------------------
 
 TEXTS = ["", "a  b c\n d e \n\n f", " x y  z ", "foo's 'll baz\t qux   r s　t ü\x1c é" * 40, "word " * 9000, "a" * 30_000]
