@@ -7,10 +7,15 @@ body is the threshold. From the body down, every node that reaches the threshold
 its subtree, the node with the largest sum. What is marked is the main text. Elements inside
 a line (bold, links) are no nodes of their own here: their text is a part of the block's,
 which enters the block's sum as one more child.
+
+Elements that are never main text are left out before. A block whose class or id names another
+part of the page, or a form, is left out only where it is aside from the text: if it holds an
+article or the larger part of the text, its name says nothing and the densities decide.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -38,13 +43,13 @@ BLOCK = frozenset(
 )
 #: Elements that are never main text.
 NOT_TEXT = frozenset(
-    "head script style noscript template nav footer aside form button select textarea input iframe object embed "
+    "head script style noscript template nav footer aside button select textarea input iframe object embed "
     "svg math canvas audio video map dialog menu title xmp noembed noframes".split()
 )
 NOT_TEXT_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split()
+    "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar status".split()
 )
-#: Words in a class or id that name a part which isn't main text.
+#: Words in a class or id that name a part which isn't main text, if it is aside from the text.
 NOT_TEXT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted "
     "nav navbar navigation menu menus submenu breadcrumb breadcrumbs crumbs pager pagination sidebar side aside rail "
@@ -53,6 +58,10 @@ NOT_TEXT_WORDS = frozenset(
     "login search searchbox form share sharing social related recommended recommendations widget widgets toolbar "
     "copyright disclaimer legal skip hidden".split()
 )
+#: Words after which a class tells of the page ("no-sidebar", "page-with-header"), and those
+#: which end a class that tells a state ("comments-open").
+TOLD_OF = frozenset("no not non without with has".split())
+STATES = frozenset("open opened closed enabled disabled on off print".split())
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: What closes an open element of the same kind: opening one ends the other.
@@ -69,34 +78,57 @@ _KEEP = frozenset({"html", "body", "article", "main"})
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
+    __slots__ = ("name", "parent", "children", "skip", "aside", "own", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
     def __init__(self, name: str, parent: Node | None, skip: bool):
-        self.name, self.parent, self.skip = name, parent, skip
+        self.name, self.parent, self.skip, self.aside = name, parent, skip, False
+        self.own: int | None = None
         self.children: list[Node | str] = []
 
 
-def _skipped(name: str, rest: str, parent: Node) -> bool:
+def _names_other(value: str) -> bool:
+    """Whether a class or id names a part of the page that isn't main text."""
+    for one in value.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", one).lower())
+        if NOT_TEXT_WORDS.isdisjoint(words) or words[-1] in STATES:
+            continue
+        told = next((k for k, w in enumerate(words) if w in TOLD_OF), len(words))
+        # "hidden-xs" is hidden at times
+        if any(w in NOT_TEXT_WORDS and (w != "hidden" or k == len(words) - 1) for k, w in enumerate(words[:told])):
+            return True
+    return False
+
+
+def _kind(name: str, rest: str, parent: Node) -> tuple[bool, bool]:
+    """Whether an element is never main text, and whether it is none where it is aside from the text."""
     if name in NOT_TEXT:
-        return True
+        return True, False
     if name == "header":
         above: Node | None = parent
         while above and above.name not in ("article", "main"):
             above = above.parent
-        return above is None
-    if "=" not in rest and "hidden" not in rest or name in _KEEP:
-        return False
+        if above is None:
+            return True, False
+    other = name == "form"
+    if "=" not in rest and "hidden" not in rest or name in ("html", "body"):
+        return False, other
+    keep = name in _KEEP
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next((v for v in values if v), "")
-        if key in ("class", "id") and not NOT_TEXT_WORDS.isdisjoint(_WORDS.findall(_CAMEL.sub(" ", value).lower())):
-            return True
-        if key == "role" and value.lower() in NOT_TEXT_ROLES:
-            return True
-        if key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", _ATTRIBUTE.sub(" ", rest)))
+        if key in ("class", "id"):
+            other = other or _names_other(value)
+        elif key == "role" and value.lower() == "form":
+            other = True
+        elif keep:
+            continue
+        elif key == "role" and value.lower() in NOT_TEXT_ROLES:
+            return True, False
+        elif key == "aria-hidden" and value.lower() == "true":
+            return True, False
+        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return True, False
+    hidden = not keep and re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", _ATTRIBUTE.sub(" ", rest))
+    return bool(hidden), other
 
 
 def parse(page: str) -> Node:
@@ -148,7 +180,9 @@ def parse(page: str) -> Node:
                 node = node.parent
         if here.name in ("h1", "h2", "h3", "h4", "h5", "h6") and name in ("h1", "h2", "h3", "h4", "h5", "h6"):
             here = here.parent
-        new = Node(name, here, here.skip or _skipped(name, token["rest"], here))
+        new = Node(name, here, here.skip)
+        if not new.skip:
+            new.skip, new.aside = _kind(name, token["rest"], here)
         here.children.append(new)
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -176,6 +210,59 @@ def _length(text: str) -> int:
     return len(_SPACE.sub(" ", html.unescape(text) if "&" in text else text).strip())
 
 
+def _own(node: Node) -> int:
+    """Characters of a node's text outside its children."""
+    if node.own is None:
+        node.own = sum(_length(c) for c in node.children if isinstance(c, str))
+    return node.own
+
+
+def set_aside(body: Node) -> None:
+    """Blocks that are none of the text by their name are skipped, if they are aside from it.
+
+    One that holds an article (whose own name is none of these) or a main element stays, and so
+    does one with more text than all that stands outside such blocks; beside an article, with
+    more than half of the body's text, menus and the like included. The largest is judged
+    first; when one stays, what is in it counts as outside, and blocks in it are judged in turn.
+    """
+    order, never, stack = [], [], [body]
+    while stack:
+        node = stack.pop()
+        (never if node.skip else order).append(node)
+        stack += [c for c in node.children if isinstance(c, Node)]
+    if not any(node.aside for node in order):
+        return
+    chars: dict[int, int] = {}  # of all text within
+    loose: dict[int, int] = {}  # of text within that is in no inner named block
+    inner: dict[int, list[Node]] = {}  # the outermost named blocks within
+    article: set[int] = set()
+    for node in reversed(order):
+        below = [c for c in node.children if isinstance(c, Node) and not c.skip]
+        named = [c for c in below if c.aside and c.name not in _KEEP]
+        plain = [c for c in below if not c.aside or c.name in _KEEP]
+        chars[id(node)] = _own(node) + sum(chars[id(c)] for c in below)
+        loose[id(node)] = _own(node) + sum(loose[id(c)] for c in plain)
+        inner[id(node)] = named + [x for c in plain for x in inner.pop(id(c))]
+        if chars[id(node)] and (node.name == "main" or node.name == "article" and not node.aside):
+            article.add(id(node))
+        elif any(id(c) in article for c in below):
+            article.add(id(node))
+    outside = loose[id(body)]
+    half = (chars[id(body)] + sum(_own(node) for node in never)) / 2 if id(body) in article else 0
+    queue = [(id(n) not in article, -chars[id(n)], k, n) for k, n in enumerate(inner[id(body)])]
+    heapq.heapify(queue)
+    count = len(queue)
+    while queue:
+        without, size, _, node = heapq.heappop(queue)
+        if without and -size <= max(outside, half):
+            node.skip = True
+            continue
+        outside += loose[id(node)]
+        for n in inner[id(node)]:
+            heapq.heappush(queue, (id(n) not in article, -chars[id(n)], count, n))
+            count += 1
+
+
 def weigh(body: Node) -> None:
     """Characters, tags, density and density sum of every node, children first."""
     order, stack = [], [body]
@@ -186,11 +273,9 @@ def weigh(body: Node) -> None:
         order.append(node)
         stack += [c for c in node.children if isinstance(c, Node)]
     for node in reversed(order):
-        chars = tags = link_chars = link_tags = 0
+        chars, tags, link_chars, link_tags = _own(node), 0, 0, 0
         for c in node.children:
-            if isinstance(c, str):
-                chars += _length(c)
-            elif not c.skip:
+            if not isinstance(c, str) and not c.skip:
                 chars += c.chars
                 tags += 1 + c.tags
                 link_chars += c.chars if c.name == "a" else c.link_chars
@@ -280,6 +365,7 @@ def _menu(node: Node) -> bool:
 
 def extract(page: str) -> list[str]:
     body = _body(parse(page))
+    set_aside(body)
     return blocks(body, main_nodes(body))
 
 

@@ -45,6 +45,54 @@ def test_small_pages(page, want):
     assert extract(page) == want
 
 
+ARTICLE = f"<h1>Title</h1><p>{WORDS} {WORDS}</p><p>{WORDS}</p>"
+TEXT = ["Title", f"{WORDS} {WORDS}", WORDS]
+ASIDE = '<div class="sidebar"><p>a few other words</p></div><div id="comments"><p>first</p></div>'
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        '<div class="content no-sidebar">',
+        '<div id="page" class="with-header">',
+        '<div class="page-has-sidebar">',
+        '<div class="post comments-open">',
+        '<div class="entry hidden-print">',
+        '<div class="hidden-xs">',
+        '<div class="header-wrap">',
+        '<div id="sidebarRail"><div class="share widget">',
+        '<form action="x.aspx">',
+        '<form><input name=a><div class="legal">',
+        '<div role="form">',
+    ],
+)
+def test_wrappers_by_name(start):
+    page = f"<body>{start}{ARTICLE}{ASIDE}<button>Send</button><select><option>x</select></div></form></body>"
+    assert extract(page) == TEXT
+    assert extract(f"<body><p>before</p>{start}<article>{ARTICLE}</article>{ASIDE}</div></form></body>")[-3:] == TEXT
+
+
+def test_listed_block_with_article_or_most_of_the_text():
+    long = f"<p>{WORDS} {WORDS} {WORDS}</p>" * 3
+    # an article brings its block back though more text stands elsewhere
+    assert WORDS in extract(f'<body><div class="promo"><article>{ARTICLE}</article></div><div>{long}</div></body>')
+    # several listed blocks, none with half of the text
+    assert extract(f'<body><p>x</p><div class="share">{ARTICLE}</div><div class="related"><p>{WORDS}</p></div></body>')[-3:] == TEXT
+    # comments written as articles don't count as articles
+    comments = f'<div id="comments"><article class="comment-body"><p>{WORDS}</p></article></div>'
+    assert extract(f"<body><div>{ARTICLE}</div>{comments}</body>") == TEXT
+    # beside an article, a listed block must hold most of the body's whole text
+    ad, small = f'<div class="ad"><p>{WORDS}</p></div>', "<article><h1>Title</h1><p>few words</p></article>"
+    assert extract(f"<body><nav>{WORDS}</nav>{ad}{small}</body>") == ["Title", "few words"]
+    assert WORDS in extract(f"<body>{ad}{small}</body>")
+    # a form with little text beside the article goes whole
+    assert extract(f"<body><div>{ARTICLE}</div><form><p>{WORDS}</p><input></form></body>") == TEXT
+
+
+def test_listed_blocks_in_deep_pages():
+    assert extract('<div class="sidebar">' * 3000 + "deep") == ["deep"]
+
+
 def test_deep_and_long_pages():
     assert extract("<div>" * 20_000 + "deep") == ["deep"]
     assert extract("<p>word</p>" * 50_000) == ["word"] * 50_000
