@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 
 import numpy as np
 import public_tokenizers
@@ -26,11 +27,12 @@ def _byte_of_char() -> dict[str, int]:
 
 
 class Tokens:
-    """Ids of texts as the ``tokenizers`` library gives them for a tokenizer file.
+    """Ids of texts as the ``tokenizers`` library gives them for a tokenizer file, called with
+    ``add_special_tokens=False``: none is added, but an added token's string in a text is its id.
 
     For a plain byte-level BPE, whose merges are in order of the ids that they make, these are
     the ids of ``tiktoken`` with the file's own vocabulary as ranks, found in a fifth of the
-    time; other files are left to ``tokenizers`` itself. Special tokens' strings are ordinary text.
+    time, of the texts between added tokens; other files are left to ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -39,21 +41,28 @@ class Tokens:
         self.codec = self.tokenizer = None
         if _plain_bytes(spec):
             char = _byte_of_char()
-            special = {t["content"] for t in spec.get("added_tokens", ())}
-            ranks = {bytes(map(char.__getitem__, t)): n for t, n in spec["model"]["vocab"].items() if t not in special}
+            self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec.get("added_tokens") or ()}
+            # of those that start at one place, the longest counts
+            longest = sorted(map(re.escape, self.added), key=len, reverse=True)
+            self.between = re.compile(f"({'|'.join(longest)})") if longest else None
+            ranks = {bytes(map(char.__getitem__, t)): n for t, n in spec["model"]["vocab"].items() if t not in self.added}
             self.codec = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         else:
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_file(path)
-            self.tokenizer.encode_special_tokens = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.codec:
-            return [np.frombuffer(encode_text(t, self.codec), "<u4") for t in texts]
+            return [np.frombuffer(self._ids(t), "<u4") for t in texts]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4") for x in found]
 
+    def _ids(self, text: str) -> bytes:
+        if self.between is None or not self.between.search(text):
+            return encode_text(text, self.codec)
+        return b"".join(self.added.get(p) or encode_text(p, self.codec) for p in self.between.split(text) if p)
+
 
 def _plain_bytes(spec: dict) -> bool:
     model, split = spec["model"], spec.get("pre_tokenizer") or {}
@@ -61,6 +70,8 @@ def _plain_bytes(spec: dict) -> bool:
         return False
     if split.get("add_prefix_space") or not split.get("use_regex", True) or model.get("dropout") or model.get("byte_fallback"):
         return False
+    if any(t.get(flag) for t in spec.get("added_tokens") or () for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        return False
     if model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("ignore_merges"):
         return False
     made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]

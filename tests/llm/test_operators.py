@@ -1,6 +1,7 @@
 """Each operator on small rows with known results or against brute force."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -286,6 +287,28 @@ def test_packing(spark):
     assert packing.pack(df.limit(0)).collect() == []
 
 
+def test_packing_of_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}x\n{end} ", f"a{end[:-1]}", f"<{end}>", f"{'word ' * 20_000}{end} and {'é ' * 70_000}{end}", *TEXTS]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf8") as file:
+        spec = json.load(file)
+    token = spec["added_tokens"][0]
+    spec["added_tokens"] += [token | {"id": 50257, "content": end + "x"}, token | {"id": 50258, "content": "|>"}]
+    several, stripping = tmp_path / "several.json", tmp_path / "stripping.json"
+    several.write_text(json.dumps(spec))
+    spec["added_tokens"][0] = token | {"lstrip": True}
+    stripping.write_text(json.dumps(spec))
+    for file, plain in ((path, True), (str(several), True), (str(stripping), False)):
+        tokens, known = packing.Tokens(file), Tokenizer.from_file(file)
+        assert (tokens.codec is not None) == plain
+        assert [i.tolist() for i in tokens.encode(texts)] == [known.encode(t, add_special_tokens=False).ids for t in texts]
+    df = spark.createDataFrame([(0, texts[0])], "doc_id long, text string")
+    assert [np.frombuffer(p.ids, "<u4").tolist() for p in packing.pack(df, capacity=8).collect()] == [[64, 220, 50256, 275], [1]]
+
+
 def test_bpe(spark):
     codec = encoding(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     for text in TEXTS:
