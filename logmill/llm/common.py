@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from logmill.functions.scratch import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "id_and_text", "batched", "rows_of", "utf8"]
+__all__ = ["materialize", "scratch_path", "table", "id_and_text", "key_of", "any_without_id", "batched", "rows_of", "utf8"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,18 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str, *more: Column) -> Dat
     return df.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"), *more)
 
 
+def any_without_id(df: DataFrame, id_col: str = "doc_id") -> bool:
+    return not df.filter(F.col(f"`{id_col}`").isNull()).isEmpty()
+
+
+def key_of(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A key that is never null, for operators that name rows by their id: ids in their order,
+    then rows without one, by their text. ``key.id`` is the id again."""
+    own = F.col(f"`{id_col}`")
+    of_text = F.when(own.isNull(), F.xxhash64(F.col(f"`{text_col}`"))).otherwise(F.lit(0).cast("bigint"))
+    return F.struct(own.isNull().alias("none"), own.alias("id"), of_text.alias("of_text"))
+
+
 def batched(df: DataFrame, schema: str, make: Callable[[], Callable], ends: bool = False) -> DataFrame:
     """``make`` runs once per task; its result turns a batch into columns of ``schema``.
 

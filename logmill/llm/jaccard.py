@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmill.llm.common import batched, by_group, id_and_text, materialize, mix, rows_of, table, utf8
+from logmill.llm.common import any_without_id, batched, by_group, id_and_text, key_of, materialize, mix, rows_of, table, utf8
 from logmill.llm.components import components
 from logmill.llm.shingles import WORDS, Words, sets_of
 
@@ -388,8 +388,9 @@ def near_duplicates(
     Rows are linked when the Jaccard similarity of their sets of ``width``-word shingles is
     ``similarity`` (a fraction) or more; ``component`` is the smallest id that links reach.
     Elements are 64-bit hashes. A null or blank text has an empty set and no links. Rows with
-    equal ids are one document of several texts. Rows with a null id are left out: they can
-    be neither named nor linked. Other columns are not read.
+    equal ids are one document of several texts. Rows with a null id are left out, as they can
+    be neither named nor linked: give ``key_of`` as the id where there are some. Other columns
+    are not read.
     """
     t = Threshold(*similarity)
     df = df.filter(F.col(f"`{id_col}`").isNotNull())
@@ -464,5 +465,8 @@ def _least_ids(named: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+    docs, own = table(spark, sf_dir, "documents"), ""
+    if any_without_id(docs):
+        docs, own = docs.select(key_of().alias("doc_id"), "text"), ".id"
+    found = near_duplicates(docs)
+    return found.select(F.col(f"doc{own}").alias("doc_id"), "n_shingles", F.col(f"component{own}").alias("component_id"))

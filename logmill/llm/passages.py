@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmill.llm.common import batched, id_and_text, materialize, mix, rows_of, table, utf8
+from logmill.llm.common import any_without_id, batched, id_and_text, key_of, materialize, mix, rows_of, table, utf8
 from logmill.llm.shingles import _BASE, _powers
 
 LENGTH = 400
@@ -411,7 +411,7 @@ def without_repeats(
     another place, too, of this or another text; it may begin or end within a character. With
     ``as_text`` it is a string, and bytes that are no whole character any more go, too. Null
     and empty texts have no bytes. Rows with equal ids count as texts of their own. Rows with
-    a null id are left out.
+    a null id are left out: give ``key_of`` as the id where there are some.
     """
     carry = F.lit(None).cast("int") if carry is None else carry
     rows = df.filter(F.col(f"`{id_col}`").isNotNull())
@@ -453,7 +453,9 @@ def without_repeats(
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = without_repeats(table(spark, sf_dir, "documents"))
-    return kept.select(
-        F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    docs, own = table(spark, sf_dir, "documents"), "doc"
+    if any_without_id(docs):
+        docs, own = docs.select(key_of().alias("doc_id"), "text"), "doc.id"
+    return without_repeats(docs).select(
+        F.col(own).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logmill.llm import jaccard, language, lines, packing, passages
-from logmill.llm.common import materialize, table
+from logmill.llm.common import any_without_id, key_of, materialize, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -47,7 +47,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id."""
+    """One document of each group of near duplicates: that of the smallest id. Documents without
+    an id come after all others; of those of one text, not blank, any one stays."""
+    if any_without_id(docs):
+        keyed = docs.select(key_of().alias("key"), _row(docs).alias("doc"), "text")
+        found = jaccard.near_duplicates(keyed.select("key", "text"), "key").filter("component < doc")
+        left = keyed.join(found.select(F.col("doc").alias("key")).distinct(), "key", "left_anti")
+        alike = F.col("key.none") & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        left = left.filter(~alike).union(left.filter(alike).dropDuplicates(["key"]))
+        return left.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
     found = jaccard.near_duplicates(docs).filter("component < doc").select(F.col("doc").alias("doc_id")).distinct()
     return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -55,7 +63,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that occur again, here or elsewhere. What a removal leaves
     of a character goes as well; a document that keeps no word goes."""
-    found = passages.without_repeats(docs, carry=_row(docs), as_text=True)
+    if any_without_id(docs):
+        keyed = docs.select(key_of().alias("key"), "text", _row(docs).alias("row"))
+        found = passages.without_repeats(keyed, "key", carry=F.col("row"), as_text=True)
+    else:
+        found = passages.without_repeats(docs, carry=_row(docs), as_text=True)
     return _with_text(docs, found.filter(F.col("kept").rlike(r"[^\x20\x09-\x0D]")), F.col("kept"))
 
 

@@ -387,3 +387,44 @@ def test_pipeline(spark, tmp_path):
     left = {r.doc_id: r.text for r in docs.collect()}
     assert passage not in left[3] and passage not in left[7] and "same line in many documents 1" in left[9]
     assert "same line" not in left[5]
+
+
+def test_documents_without_id(spark, tmp_path):
+    import corpus_pipeline
+    from logmill.llm import stages
+
+    rng = random.Random(10)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("klmnopqrst", k=5)) for _ in range(n))
+
+    passage, shared = prose(80), prose(120)
+    rows = [(d, prose(120)) for d in range(10)] + [(10, f"{prose(60)} {passage} {prose(60)}"), (11, shared)]
+    alone, twice, near = prose(120), prose(120), f"{shared} more"
+    none = [alone, near, twice, twice, f"{prose(60)} {passage} {prose(60)}", twice.upper()]
+    rows += [(None, t) for t in none]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == df.columns
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {d for d, _ in left} == {*range(12), None}
+    own = [small(t) for d, t in left if d is None]
+    assert {alone, twice} < set(own)
+    assert len(own) == 3 and not any(passage in t for t in own)
+    pieces = [p for p in corpus_pipeline.run(spark, str(tmp_path)).collect() if p.doc_id is None and p.start == 0]
+    assert len(pieces) == 3
+
+    got = jaccard.op1_ngram_jaccard(spark, str(tmp_path)).collect()
+    assert sorted((r.n_shingles, r.component_id is None, r.component_id or 0) for r in got if r.doc_id is None) == sorted(
+        [(116, True, 0), (117, False, 11), *[(116, True, 0)] * 3, (len(none[4].split()) - 4, True, 0)]
+    )
+    assert len(got) == len(rows)
+    got = passages.op9_suffix_dedup(spark, str(tmp_path)).collect()
+    want = sorted((d < 0, max(d, 0), hashlib.sha256(kept).hexdigest(), n, gone, runs) for d, kept, n, gone, runs in spans_by_force([(d if d is not None else -1 - k, t) for k, (d, t) in enumerate(rows)], passages.LENGTH))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.kept_sha256, r.n_bytes, r.n_removed, r.n_spans) for r in got) == want
+
+    blank = spark.createDataFrame([(None, ""), (None, ""), (1, "")], "doc_id long, text string")
+    assert stages.near_duplicates(spark, blank, "").count() == 3
