@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame
 from logmill.schema import JOINED_COLUMNS
 
 
-def join_hostnames(logs: DataFrame, hostnames: DataFrame) -> DataFrame:
-    """Left join on ``host = client``, keeping the seven warehouse columns.
+def join_hostnames(logs: DataFrame, hostnames: DataFrame, *keep: str) -> DataFrame:
+    """Left join on ``host = client``, keeping the seven warehouse columns and those in ``keep``.
 
     A host that is not listed keeps a null name; a client listed twice gives its
     rows twice. There is no join hint: Spark broadcasts the names only when their
@@ -15,4 +15,4 @@ def join_hostnames(logs: DataFrame, hostnames: DataFrame) -> DataFrame:
     into pieces of the log side (``plans.session`` turns that on).
     """
     names = hostnames.select("client", "hostname")
-    return logs.join(names, logs["host"] == names["client"], "left").select(*JOINED_COLUMNS)
+    return logs.join(names, logs["host"] == names["client"], "left").select(*JOINED_COLUMNS, *keep)

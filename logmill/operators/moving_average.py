@@ -3,16 +3,20 @@
 ``AVG(v) OVER (ORDER BY t RANGE BETWEEN h PRECEDING AND h FOLLOWING)`` written as
 a Spark window puts the whole table into one partition and adds up every frame
 from scratch. Here the table is first reduced to its distinct times, with
-map-side combine, so that a hot time is no problem. The times are cut into
-buckets of ``12 h``; those within ``h`` of a border are copied to the next
-bucket too, 17% more rows. In a bucket each frame is the difference of two
-running sums, which cost one step per row.
+map-side combine, so that a hot time is no problem. Every frame is then the sum
+of two, each a difference of running sums:
 
-Log times are whole seconds, of which a bucket and its borders hold 100,800 at
-``h`` = 2 hours. Finer times may fill a bucket with far more. If they do, frames
-are cut at whole seconds: the seconds in between take the way above, and both
-ends are running sums within one second, which has 10^6 distinct times at most.
-So no window group grows with the table.
+* Whole seconds. The frame of a time in second s covers all of the seconds
+  between s - h and s + h. Times are summed per second, seconds are cut into
+  buckets of ``12 h``, and those within ``h`` of a border are copied to the next
+  bucket too, 17% more rows.
+* Both ends. In second s - h the frame starts at the time's own offset into the
+  second, in s + h it ends there. Among the seconds that have the remainder of
+  s by ``h``, put one after the other, the frame is one second to each side:
+  again a range, in buckets of 12 such seconds.
+
+A window group thus holds ``14 h`` seconds or 14 seconds of distinct microseconds
+at most, whatever the size of the table: there is one way for all of them.
 
 All sums are of integers: exact, and the same in any order of adding.
 """
@@ -29,8 +33,7 @@ from logmill.functions.scratch import materialize
 _SUMS = ("high", "low", "n")
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
-# Distinct times in one bucket up to which a task sorts it whole.
-_BUCKET_TIMES = 2_000_000
+_SECOND = 1_000_000
 
 # A time with many records is written out in pieces: so many at most, unless that
 # makes them larger than this.
@@ -50,8 +53,7 @@ def range_moving_avg(
     a time are each other's frame, as in SQL. Runs one job right away, which
     writes the distinct times to the shared scratch folder.
     """
-    times, count = _distinct_times(df, time, value)
-    return _averages(times, count, half_width_seconds).select(
+    return _averages(_distinct_times(df, time, value), half_width_seconds).select(
         F.col("time").alias(time), F.col("average").alias(alias), "records"
     )
 
@@ -68,7 +70,7 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
     alias = "bytes_5_hours_mov_avg"
     # Stored, because the range partitioning below reads its input twice.
     averages, count = materialize(
-        _averages(*_distinct_times(df, "datetime", "bytes"), half_width_seconds),
+        _averages(_distinct_times(df, "datetime", "bytes"), half_width_seconds),
         "averages",
         F.count(F.lit(1)).alias("times"),
         F.sum("records").alias("records"),
@@ -96,9 +98,8 @@ def moving_avg_per_record(df: DataFrame, half_width_seconds: int = 7200) -> Data
     )
 
 
-def _distinct_times(df: DataFrame, time: str, value: str) -> tuple[DataFrame, int]:
-    """Record count, value count and value sum per time, stored in the scratch folder,
-    and the number of times."""
+def _distinct_times(df: DataFrame, time: str, value: str) -> DataFrame:
+    """Record count, value count and value sum per time, stored in the scratch folder."""
     if not isinstance(df.schema[value].dataType, _INTEGERS):
         raise TypeError(f"{value} must be an integer column")
     high, low = limbs(F.col(value).cast("bigint"))
@@ -109,97 +110,64 @@ def _distinct_times(df: DataFrame, time: str, value: str) -> tuple[DataFrame, in
         F.coalesce(F.sum(low), none).alias("low"),
         F.count(value).alias("n"),
     )
-    stored, count = materialize(times, "distinct-times", F.count(F.lit(1)).alias("times"))
-    return stored, count["times"]
+    return materialize(times, "distinct-times")[0]
 
 
-def _averages(times: DataFrame, count: int, half_width: int) -> DataFrame:
+def _averages(times: DataFrame, half_width: int) -> DataFrame:
     """``time``, ``average`` and ``records`` for each of the stored times."""
     if half_width < 1:
         raise ValueError("the half width must be at least one second")
     points = times.filter(F.col("time").isNotNull()).select(
         "*", epoch_second(F.col("time")).alias("second"), micro_of_second(F.col("time")).alias("offset")
     )
-    densest = count
-    if count > _BUCKET_TIMES:
-        buckets = points.groupBy(_bucket("second", 12 * half_width)).count()
-        densest = buckets.agg(F.max("count")).first()[0] or 0
-    if densest <= _BUCKET_TIMES:
-        micros = points.withColumn("at", F.col("second") * 1_000_000 + F.col("offset"))
-        framed = _range_sums(micros, "at", half_width * 1_000_000)
-    else:
-        framed = _range_sums_by_second(points, half_width)
     kept = ["time", "records", *_SUMS]
     total = join_limbs(F.col("high"), F.col("low"))
     untimed = times.filter(F.col("time").isNull())
     return (
-        framed.select(kept)
+        _frames(points, half_width)
+        .select(kept)
         .unionByName(untimed.select(kept))
         .select("time", F.try_divide(total, F.col("n").cast("double")).alias("average"), "records")
     )
 
 
+def _frames(points: DataFrame, half_width: int) -> DataFrame:
+    """``points`` with each sum taken over its frame.
+
+    The seconds at the ends and the time's own second come from the seconds of its remainder,
+    those between the ends from the sums per second, without its own.
+    """
+    seconds = points.groupBy("second").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    between = _range_sums(seconds, "second", half_width - 1, own=False).select(
+        "second", *[F.col(c).alias(f"between_{c}") for c in _SUMS]
+    )
+    placed = points.withColumns(
+        {
+            "remainder": F.pmod("second", F.lit(half_width)),
+            "place": F.expr(f"(second - pmod(second, {half_width}L)) div {half_width}L * {_SECOND}L + offset"),
+        }
+    )
+    ends = _range_sums(placed, "place", _SECOND, "remainder")
+    return ends.join(between, "second").withColumns({c: F.col(c) + F.col(f"between_{c}") for c in _SUMS})
+
+
 def _bucket(at: str, width: int) -> Column:
     return F.expr(f"({at} - pmod({at}, {width}L)) div {width}L")
 
 
-def _range_sums(points: DataFrame, at: str, reach: int) -> DataFrame:
-    """``points`` with each sum taken over all points within ``reach`` of ``at``, which is unique."""
+def _range_sums(points: DataFrame, at: str, reach: int, *apart: str, own: bool = True) -> DataFrame:
+    """``points`` with each sum taken over all points within ``reach`` of ``at``, which is unique
+    for equal values of ``apart``; without the point's ``own`` values if asked so."""
     width = max(12 * reach, 1)
     buckets = F.sequence(_bucket(f"({at} - {reach}L)", width), _bucket(f"({at} + {reach}L)", width))
     copies = points.withColumn("bucket", F.explode(buckets))
-    bucket = Window.partitionBy("bucket").orderBy(at)
+    bucket = Window.partitionBy(*apart, "bucket").orderBy(at)
     up_to_end = bucket.rangeBetween(Window.unboundedPreceding, reach)
     before_start = bucket.rangeBetween(Window.unboundedPreceding, -reach - 1)
-    sums = {c: F.sum(c).over(up_to_end) - F.coalesce(F.sum(c).over(before_start), F.lit(0)) for c in _SUMS}
-    return copies.withColumns(sums).filter(F.col("bucket") == _bucket(at, width)).drop("bucket")
-
-
-def _range_sums_by_second(points: DataFrame, half_width: int) -> DataFrame:
-    seconds = points.groupBy("second").agg(*[F.sum(c).alias(c) for c in _SUMS])
-    between = _range_sums(seconds, "second", half_width - 1).select(
-        "second", *[F.col(c).alias(f"between_{c}") for c in _SUMS]
-    )
-    return (
-        _frame_ends(points, half_width)
-        .join(between, "second")
-        .withColumns({c: F.col(c) + F.col(f"between_{c}") for c in _SUMS})
-    )
-
-
-def _frame_ends(points: DataFrame, half_width: int) -> DataFrame:
-    """For each point the sums over both end seconds of its frame: from its offset
-    on in the first, up to its offset in the last.
-
-    Each point is three rows: its values in its own second, and a question in
-    each end second. At one offset, the question "from here on" sorts before the
-    values and "up to here" after them.
-    """
-    roles = F.array(
-        *[
-            F.struct(F.lit(shift).cast("bigint").alias("shift"), F.lit(place).alias("place"))
-            for shift, place in ((-half_width, 0), (0, 1), (half_width, 2))
-        ]
-    )
-    place, is_value = F.col("role.place"), F.col("role.place") == 1
-    rows = points.withColumn("role", F.explode(roles)).select(
-        F.col("second").alias("home"),
-        (F.col("second") + F.col("role.shift")).alias("second"),
-        "offset",
-        place.alias("place"),
-        *[F.when(is_value, F.col(c)).otherwise(0).alias(c) for c in _SUMS],
-        *[F.when(is_value, F.col(c)).alias(c) for c in ("time", "records")],
-    )
-    whole = Window.partitionBy("second")
-    so_far = whole.orderBy("offset", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    answer = {
-        c: F.when(F.col("place") == 0, F.sum(c).over(whole) - F.sum(c).over(so_far))
-        .when(F.col("place") == 2, F.sum(c).over(so_far))
-        .otherwise(0)
+    sums = {
+        c: F.sum(c).over(up_to_end)
+        - F.coalesce(F.sum(c).over(before_start), F.lit(0))
+        - (F.lit(0) if own else F.col(c))
         for c in _SUMS
     }
-    return (
-        rows.withColumns(answer)
-        .groupBy(F.col("home").alias("second"), "offset")
-        .agg(*[F.sum(c).alias(c) for c in _SUMS], *[F.max(c).alias(c) for c in ("time", "records")])
-    )
+    return copies.withColumns(sums).filter(F.col("bucket") == _bucket(at, width)).drop("bucket")

@@ -31,14 +31,17 @@ def mb_by_hour(df: DataFrame, time: str = "datetime", value: str = "bytes") -> D
     return _by_hour(sums)
 
 
-def traffic_cells(df: DataFrame) -> DataFrame:
-    """Row count and byte sums per status, method and hour.
+CELL_SCHEMA = "status bigint, method string, hour int, records bigint, high bigint, low bigint"
+
+
+def traffic_cells(df: DataFrame, *keys: str) -> DataFrame:
+    """Row count and byte sums per status, method and hour, for each of ``keys``.
 
     One pass over the table; every total of the report is a sum over these few
-    rows (``*_from_cells``).
+    rows (``*_from_cells``). Cells of parts of a table, put together, are cells of it.
     """
     high, low = limbs(F.col("bytes"))
-    return df.groupBy("status", "method", F.hour("datetime").alias("hour")).agg(
+    return df.groupBy("status", "method", F.hour("datetime").alias("hour"), *keys).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(high).alias("high"),
         F.sum(low).alias("low"),

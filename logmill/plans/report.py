@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logmill.functions.scratch import materialize
 from logmill.operators import traffic
 from logmill.operators.moving_average import moving_avg_per_record
+from logmill.sources.run_table import RunTable
 from logmill.sources.text import read_rejects
 from logmill.sources.warehouse import describe
 
@@ -37,11 +38,14 @@ def report(spark: SparkSession, errors_location: str, table: str = "joined_log_t
     """The outputs of the dashboard and the notebook, by name.
 
     Totals share one pass over the table: it is reduced to its few cells per
-    status, method and hour first, and those are stored. Each output runs only
-    the jobs that it needs, and only when it is asked for.
+    status, method and hour first, and those are stored. A table that grows by runs
+    has its cells already; totals then read them only. Each output runs only
+    the jobs that it needs, and only when it is asked for. ``errors_location`` is a
+    folder of rejected lines or a lake.
     """
-    log = spark.table(table)
-    cells = cache(lambda: materialize(traffic.traffic_cells(log), "cells")[0])
+    log = cache(lambda: spark.table(table))
+    kept = cache(lambda: RunTable(spark, table).cells())
+    cells = cache(lambda: materialize(traffic.traffic_cells(log()), "cells")[0] if kept() is None else kept())
 
     def errors() -> DataFrame:
         return traffic.total_records(read_rejects(spark, errors_location)).withColumnRenamed("total_records", "total_errors")
@@ -55,8 +59,8 @@ def report(spark: SparkSession, errors_location: str, table: str = "joined_log_t
             "mb_by_hour": lambda: traffic.mb_by_hour_from_cells(cells()),
             "mb_by_status": lambda: traffic.mb_by_from_cells(cells(), "status"),
             "mb_by_method": lambda: traffic.mb_by_from_cells(cells(), "method"),
-            "top_bytes_by_hour": lambda: traffic.top_bytes_by_hour(log),
-            "moving_avg": lambda: moving_avg_per_record(log),
+            "top_bytes_by_hour": lambda: traffic.top_bytes_by_hour(log()),
+            "moving_avg": lambda: moving_avg_per_record(log()),
         }
     )
 

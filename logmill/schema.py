@@ -26,5 +26,11 @@ LOG_SCHEMA = T.StructType([T.StructField(f, _TYPES.get(f, T.StringType())) for f
 # Columns of the warehouse table, in order.
 JOINED_COLUMNS = ("host", "datetime", "method", "request", "status", "bytes", "hostname")
 
+# The same with their types.
+JOINED_SCHEMA = "host string, datetime timestamp_ntz, method string, request string, status bigint, bytes bigint, hostname string"
+
 # Fields that can be empty text. A partition folder cannot tell '' from null.
 MAYBE_EMPTY = ("http_referred", "user_agent")
+
+# A list of files: what tells one version of a file from another.
+FILES_SCHEMA = "path string, modified timestamp, length bigint"

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logmill.schema import LOG_SCHEMA, MAYBE_EMPTY
-
-# First folder level where one write holds records and rejects.
-OUTCOME, RECORDS = "outcome", "log"
+from logmill.sources.runs import OUTCOME, RECORDS, Runs
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -22,7 +20,7 @@ def append_to_lake(df: DataFrame, path: str, partition_by: str | Sequence[str] =
     _append(conform(df), path, [], lake_fields(partition_by))
 
 
-def append_outcomes(df: DataFrame, path: str, partition_by: str | Sequence[str] = ()) -> None:
+def write_outcomes(df: DataFrame, path: str, partition_by: str | Sequence[str] = ()) -> None:
     """As ``append_to_lake``, below a first level of folders by the text column ``outcome``."""
     schema = T.StructType([T.StructField(OUTCOME, T.StringType()), *LOG_SCHEMA])
     _append(df.to(schema), path, [OUTCOME], lake_fields(partition_by))
@@ -37,10 +35,12 @@ def append_in_chunks(df: DataFrame, path: str, rows: int = 100_000) -> DataFrame
 def read_lake(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """All records under ``path``, of every run; ``key=value`` folders give their column.
 
-    Where ``path`` has folders by ``outcome``, only records are read, not rejects.
-    ``recursive`` also reads plain nested folders, and then takes no column from
-    folder names.
+    Where ``path`` has folders by ``outcome``, only records are read, not rejects, and where
+    runs are committed there (``sources.runs``), only what counts of them. ``recursive`` also
+    reads plain nested folders, and then takes no column from folder names.
     """
+    if not recursive and (found := Runs.at(spark, path)):
+        return found[0].rows().select(*LOG_SCHEMA.names)
     lake = spark.read.schema(LOG_SCHEMA).parquet(path, recursiveFileLookup=recursive)
     if OUTCOME in lake.columns:
         lake = lake.filter(F.col(OUTCOME) == RECORDS)

@@ -5,6 +5,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logmill.sources.runs import Runs
+from logmill.sources.store import Store
+
 
 def read_log_lines(
     spark: SparkSession, directory: str, file_pattern: str, partitions: int | None = None
@@ -21,13 +24,10 @@ def read_log_lines(
     *folders, name = file_pattern.split("/")
     if any(part.startswith(("_", ".")) for part in (*folders, name)):
         raise ValueError(f"names that start with _ or . are never read: {file_pattern!r}")
-    # Spark globs know alternatives in braces and escapes, which are plain text here.
-    glob = re.sub(r"([{}\\])", r"\\\1", name).replace("[!", "[^")
-    lines = spark.read.text(directory, recursiveFileLookup=True, pathGlobFilter=glob)
+    lines = spark.read.text(directory, recursiveFileLookup=True, pathGlobFilter=name_glob(name))
     if folders:
-        below = F.substring(_plain_path(F.col("_metadata.file_path")), len(_root_path(spark, directory)) + 2, 1 << 30)
-        pattern = "".join("(?:[^/]+/)*" if part == "**" else f"{_glob_regex(part)}/" for part in folders)
-        lines = lines.filter(below.rlike(f"^(?:[^/]+/)*{pattern}[^/]*$"))
+        root = Store(spark, directory).plain(directory)
+        lines = lines.filter(folder_filter(F.col("_metadata.file_path"), root, folders))
     lines = lines.select("value")
     return lines.repartition(partitions) if partitions else lines
 
@@ -47,24 +47,42 @@ def write_rejects(rejected: DataFrame, path: str) -> None:
     rejected.select("value").write.mode("append").text(path)
 
 
+def export_rejects(rejected: DataFrame, path: str) -> None:
+    """The raw lines of one run as text, in a folder of its own: made again, they are the same."""
+    rejected.select("value").write.mode("overwrite").text(path)
+
+
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    """Rejected lines: of a folder of text, or of a lake's runs."""
+    if found := Runs.at(spark, path):
+        return found[0].rejects()
+    return spark.read.text(path).select("value")
+
+
+def name_glob(name: str) -> str:
+    """A file name's glob for Spark, whose globs know alternatives in braces and escapes: plain text here."""
+    return re.sub(r"([{}\\])", r"\\\1", name).replace("[!", "[^")
+
+
+def folder_filter(address: Column, root: str, folders: list[str], encoded: bool = True) -> Column:
+    """Whether the folders right above a file match the globs ``folders``, below ``root``."""
+    below = F.substring(_plain_path(address, encoded), len(root) + 2, 1 << 30)
+    return below.rlike(f"^(?:[^/]+/)*{folder_regex(folders)}[^/]*$")
 
 
-def _root_path(spark: SparkSession, directory: str) -> str:
-    """The folder's path without scheme, as Spark lists it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
-    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return system.makeQualified(path).toUri().getPath().rstrip("/")
+def folder_regex(folders: list[str]) -> str:
+    return "".join("(?:[^/]+/)*" if part == "**" else f"{glob_regex(part)}/" for part in folders)
 
 
-def _plain_path(address: Column) -> Column:
+def _plain_path(address: Column, encoded: bool = True) -> Column:
     """The path of a file's address, decoded; a plus sign stands for itself."""
     path = F.regexp_replace(address, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    if not encoded:
+        return path
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _glob_regex(part: str) -> str:
+def glob_regex(part: str) -> str:
     """A folder's glob as a regex: ``*``, ``?``, ``[...]`` and ``[!...]``."""
     wild = {"*": "[^/]*", "?": "[^/]"}
     out, at = "", 0

@@ -24,11 +24,11 @@ def create_table(df: DataFrame, name: str, mode: str = "errorifexists", path: st
         spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": new})
         raise
     spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
-    spark.sql(f"ALTER TABLE {_quoted(new)} RENAME TO {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {quoted(new)} RENAME TO {quoted(name)}")
     return spark.table(name)
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 

@@ -112,3 +112,22 @@ def test_map_column_gives_plain_values(spark):
     df = map_column(df, "bytes", lambda v: repr(v), "string")
     df = map_column(df, "datetime", lambda t: t and t.replace(microsecond=0), "timestamp_ntz")
     assert [tuple(r) for r in df.collect()] == [(str(2**62 + 1), datetime(2019, 1, 22, 3, 56, 14)), ("None", None)]
+
+
+def test_batch_function(spark):
+    """Whole Arrow batches, nulls and empty partitions included."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    df = spark.createDataFrame([("ab", 1), (None, 2), ("", 3), ("xyz", None)], "request string, bytes long").repartition(6)
+    out = map_column(df, "request", pc.utf8_reverse, "string", batches=True)
+    out = map_column(out, "bytes", lambda sizes: pc.add(sizes, 1), "long", batches=True)
+    assert sorted(out.collect(), key=str) == sorted([("ba", 2), (None, 3), ("", 4), ("zyx", None)], key=str)
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    chunked = map_column(df, "bytes", lambda sizes: pa.chunked_array([sizes]), "long", batches=True)
+    assert sorted(chunked.collect(), key=str) == sorted(df.collect(), key=str)
+    assert map_column(df.limit(0), "bytes", lambda sizes: sizes, "long", batches=True).count() == 0
+    with pytest.raises(ValueError):
+        map_column(df, "bytes", lambda sizes: sizes, batches=True)
+    with pytest.raises(Exception, match="(?i)length|size|shape"):
+        map_column(df, "bytes", lambda sizes: pa.array([1, 2, 3, 4, 5, 6, 7]), "long", batches=True).collect()

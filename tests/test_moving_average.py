@@ -12,12 +12,6 @@ SCHEMA = "datetime timestamp_ntz, bytes bigint"
 MICRO = timedelta(microseconds=1)
 
 
-@pytest.fixture(params=["by bucket", "by second"])
-def way(request, monkeypatch):
-    if request.param == "by second":
-        monkeypatch.setattr(moving_average, "_BUCKET_TIMES", 0)
-
-
 def direct(df, half_width):
     """The window as SQL has it, in one partition."""
     df.createOrReplaceTempView("direct_input")
@@ -43,7 +37,7 @@ def times(half_width):
 
 
 @pytest.mark.parametrize("half_width", [1, 2, 90, 7200])
-def test_equals_the_direct_window(spark, way, half_width):
+def test_equals_the_direct_window(spark, half_width):
     rng = random.Random(1)
     rows = [(t, rng.choice([None, rng.randrange(10**6), -5, 2**40 + n])) for n, t in enumerate(times(half_width))]
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
@@ -57,12 +51,21 @@ def test_equals_the_direct_window(spark, way, half_width):
         assert r["moving_avg"] == (None if average is None else pytest.approx(average, rel=1e-12)), r
 
 
-def test_large_values_do_not_overflow(spark, way):
+def test_large_values_do_not_overflow(spark):
     start = datetime(2019, 1, 22)
     df = spark.createDataFrame([(start + timedelta(minutes=n), 2**63 - 1) for n in range(20)], SCHEMA)
     assert {r["moving_avg"] for r in range_moving_avg(df, "datetime", "bytes", 7200).collect()} == {float(2**63 - 1)}
 
 
+def test_many_times_in_few_seconds(spark):
+    start = datetime(2019, 1, 22)
+    rows = [(start + timedelta(seconds=n % 40, microseconds=n * 7919 % 10**6), n) for n in range(4000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = dict((r["datetime"], r["moving_avg"]) for r in direct(df, 2).collect())
+    got = range_moving_avg(df, "datetime", "bytes", 2)
+    assert {r["datetime"]: r["moving_avg"] for r in got.collect()} == pytest.approx(want)
+
+
 def test_one_row_per_record_in_order(spark, monkeypatch):
     """A time with many records is written out in several pieces, whole."""
     monkeypatch.setattr(moving_average, "_ROWS_PER_TASK", 100)
@@ -77,7 +80,7 @@ def test_one_row_per_record_in_order(spark, monkeypatch):
     assert max(r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) < 200
 
 
-def test_plan_has_no_global_window(spark, way):
+def test_plan_has_no_global_window(spark):
     rows = spark.range(0, 5000, 1, 4).select(
         F.expr("timestamp_ntz'2019-01-22' + make_dt_interval(0, 0, cast(id as int), 0)").alias("datetime"),
         F.col("id").alias("bytes"),

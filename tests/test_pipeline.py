@@ -50,7 +50,7 @@ def test_whole_run(spark, folder):
     assert sorted(r["value"] for r in errors.collect()) == sorted(BAD)
     records = lake.read_lake(spark, pipe.lake)
     assert records.schema.names == LOG_SCHEMA.names and records.count() == 40
-    assert spark.read.parquet(pipe.lake).columns == LOG_SCHEMA.names
+    assert spark.read.parquet(pipe.lake).columns == [*LOG_SCHEMA.names, "run", "outcome"]
     assert sorted(lake.read_lake(spark, f"{folder}/output").collect()) == sorted(records.collect())
     table = spark.table("joined_log_table")
     assert tuple(table.columns) == JOINED_COLUMNS
@@ -74,7 +74,7 @@ def test_second_run_appends_and_the_table_is_kept(spark, folder):
 def test_partitioned_lake(spark, folder, fields):
     pipe = run(make(spark, folder, partition_field=fields), folder)
     first = fields if isinstance(fields, str) else fields[0]
-    assert any(p.name.startswith(f"{first}=") for p in (folder / "output" / "outcome=log").iterdir())
+    assert any(p.name.startswith(f"{first}=") for p in (folder / "output").glob("run=*/outcome=log/*"))
     assert lake.read_lake(spark, pipe.lake).count() == 40
     assert sorted(r["value"] for r in text.read_rejects(spark, f"{folder}/errors").collect()) == sorted(BAD)
 
