@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -152,3 +153,28 @@ def test_job(spark, folder):
     assert spark.read.parquet(f"{folder}/r/total_errors").first()["total_errors"] == 3
     assert spark.read.parquet(f"{folder}/r/moving_avg").count() == 40
     assert lake.read_lake(spark, f"{folder}/out/outcome=log").filter(F.col("status") == 404).count() == 20
+
+
+def test_job_of_runs(spark, folder, capsys):
+    """Three jobs: one repeated, then one over a grown folder, with the report from cells."""
+    args = [
+        "-log_dir", f"{folder}/data", "-log_pat", "access.log", "-hostname_file", f"{folder}/data/names.csv",
+        "-output", f"{folder}/out", "-table_path", f"{folder}/t", "-by_runs", "-new_files_only", "-buckets", "3",
+    ]
+    try:
+        job.run([*args, "-run", "monday"])
+        job.run([*args, "-run", "monday"])
+        (folder / "data" / ".new").mkdir()
+        (folder / "data" / ".new" / "access.log").write_text("\n".join(GOOD[:5] + BAD[:1]))
+        job.run([*args, "-run", "tuesday", "-report", f"{folder}/r", "-compact", "64"])
+        told = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+        assert [(t["run"], t["records"], t["rejects"], t["joined"]) for t in told] == [
+            ("monday", 40, 3, 1), ("monday", 40, 3, 0), ("tuesday", 5, 1, 1),
+        ]
+        assert spark.table("joined_log_table").count() == 45
+        assert spark.read.parquet(f"{folder}/r/total_records").first()["total_records"] == 45
+        assert spark.read.parquet(f"{folder}/r/total_errors").first()["total_errors"] == 4
+        assert lake.read_lake(spark, f"{folder}/out").count() == 45
+        assert text.read_rejects(spark, f"{folder}/out").count() == 4
+    finally:
+        spark.sql("DROP VIEW IF EXISTS joined_log_table")
