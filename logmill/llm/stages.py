@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from logmill.llm import jaccard, language, lines, packing, passages
 from logmill.llm.common import any_without_id, key_of, materialize, table
 
+#: Bytes that a repeated passage must have: a passage of over 50 words has as many if its words
+#: have four letters on average. The grams leave as much room as those of ``passages``.
+PASSAGE, PASSAGE_GRAM = 240, 96
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -61,13 +65,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that occur again, here or elsewhere. What a removal leaves
-    of a character goes as well; a document that keeps no word goes."""
+    """Documents without passages of ``PASSAGE`` bytes or more that occur again, here or elsewhere.
+    What a removal leaves of a character goes as well; a document that keeps no word goes."""
+    size = {"length": PASSAGE, "gram": PASSAGE_GRAM}
     if any_without_id(docs):
         keyed = docs.select(key_of().alias("key"), "text", _row(docs).alias("row"))
-        found = passages.without_repeats(keyed, "key", carry=F.col("row"), as_text=True)
+        found = passages.without_repeats(keyed, "key", carry=F.col("row"), as_text=True, **size)
     else:
-        found = passages.without_repeats(docs, carry=_row(docs), as_text=True)
+        found = passages.without_repeats(docs, carry=_row(docs), as_text=True, **size)
     return _with_text(docs, found.filter(F.col("kept").rlike(r"[^\x20\x09-\x0D]")), F.col("kept"))
 
 
