@@ -7,7 +7,8 @@ batch's lines that a filter does not know are new for sure and need no look-up i
 table; only the others are joined with it. A key leaves its filter when its last reference
 goes, which a Bloom filter could not do.
 
-A key is a 128-bit hash of the line, stripped and with small letters.
+A key is a 128-bit hash of the line, stripped and with small letters. References count ids: a line
+of several rows of one id counts once, in one batch or in several, and rows without an id don't count.
 """
 
 from __future__ import annotations
@@ -154,6 +155,7 @@ class LineIndex:
     counts: DataFrame | None = None
     filters: DataFrame | None = None
     log: DataFrame | None = None
+    docs: DataFrame | None = None
 
     def _shard(self) -> Column:
         return F.pmod(F.shiftright("k1", 32), F.lit(self.shards)).cast("int").alias("shard")
@@ -165,13 +167,38 @@ class LineIndex:
         shards = 1 << max(4, (keys // self.keys_per_shard).bit_length())
         return replace(self, shards=shards, filters=None)
 
+    def insert_in_batches(self, df: DataFrame, batches: int, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
+        """The index with all documents added, in batches by a hash of their id."""
+        index, of_id = self, F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(batches))
+        for n in range(batches):
+            index = index.insert(df.filter(of_id == n), id_col, text_col)
+        return index
+
     def insert(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_log: bool = True) -> LineIndex:
-        """The index with a batch of documents added. Rows are documents: a row that comes
-        again counts again. Without ``keep_log``, none of what the index holds can be deleted."""
+        """The index with a batch of documents added.
+
+        An id may come again, in this batch or in a later one: its lines are then those of all its
+        rows. Without ``keep_log``, none of what the index holds can be deleted, and no id can come
+        in a later batch again.
+        """
         refs = references(df, id_col, text_col, self.least_chars)
+        own = df.select(F.col(f"`{id_col}`").alias("doc")).filter("doc IS NOT NULL").groupBy("doc").count()
+        own, told = materialize(own, "line-docs", F.max("count").alias("most"))
+        if (told["most"] or 0) > 1:
+            refs = refs.distinct()
+        if self.docs is not None:
+            again = own.join(self.docs, "doc", "left_semi").select("doc")
+            if not again.isEmpty():
+                if self.log is None:
+                    raise ValueError("an id comes again, and the index keeps no log of references")
+                refs = refs.join(self.log.join(again, "doc", "left_semi"), ["k1", "k2", "doc"], "left_anti")
+        docs = own.select("doc") if self.docs is None else self.docs.union(own.select("doc")).distinct()
         if keep_log:
             refs, _ = materialize(refs, "line-refs")
-        new = refs.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc").alias("last"))
+        return replace(self._added(refs, keep_log), docs=docs)
+
+    def _added(self, refs: DataFrame, keep_log: bool) -> LineIndex:
+        new = refs.groupBy("k1", "k2").agg(F.count("doc").alias("n"), F.max("doc").alias("last"))
         keys = F.count("*").alias("keys")
         if self.counts is None:
             counts, told = materialize(new, "line-counts", keys)
@@ -195,19 +222,20 @@ class LineIndex:
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
         """The index without the documents of these ids (all rows that were inserted with them).
-        Ids that it does not hold change nothing."""
+        Ids that it does not hold change nothing. Rows without an id stay."""
         if self.log is None:
             raise ValueError("the index keeps no log of references")
         gone = ids.select(F.col(f"`{id_col}`").alias("doc")).distinct()
         log, _ = materialize(self.log.join(gone, "doc", "left_anti").select("k1", "k2", "doc"), "line-refs")
         lost, _ = materialize(self.log.join(gone, "doc", "left_semi").groupBy("k1", "k2").count(), "line-lost")
         left = log.join(lost.select("k1", "k2"), ["k1", "k2"], "left_semi")
-        left = left.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc").alias("last"))
+        left = left.groupBy("k1", "k2").agg(F.count("doc").alias("n"), F.max("doc").alias("last"))
         left, _ = materialize(left, "line-left")
         kept = self.counts.join(lost.select("k1", "k2"), ["k1", "k2"], "left_anti")
         counts, _ = materialize(kept.select(*left.columns).union(left), "line-counts")
         ended = lost.join(left.select("k1", "k2"), ["k1", "k2"], "left_anti")
-        return self._with(counts, ended, log, drop=True)
+        docs = self.docs.join(gone, "doc", "left_anti")
+        return replace(self._with(counts, ended, log, drop=True), docs=docs)
 
     def repeated(self) -> DataFrame:
         """``k1, k2, last``: keys in enough documents, and the document that keeps them."""
@@ -290,7 +318,11 @@ class LineIndex:
         return filters
 
 
+#: Batches in which the query and the pipeline insert.
+BATCHES = 2
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    kept = LineIndex(spark).insert(documents, keep_log=False).apply(documents)
+    kept = LineIndex(spark).insert_in_batches(documents, BATCHES).apply(documents)
     return kept.select(F.col("doc").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

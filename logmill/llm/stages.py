@@ -45,7 +45,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that others repeat. One that keeps no word goes."""
-    index = lines.LineIndex(spark).insert(docs, keep_log=False)
+    index = lines.LineIndex(spark).insert_in_batches(docs, lines.BATCHES)
     found = index.apply(docs, carry=_row(docs)).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _with_text(docs, found, F.col("text"))
 
