@@ -8,9 +8,10 @@ its subtree, the node with the largest sum. What is marked is the main text. Ele
 a line (bold, links) are no nodes of their own here: their text is a part of the block's,
 which enters the block's sum as one more child.
 
-Elements that are never main text are left out before. A block whose class or id names another
-part of the page, or a form, is left out only where it is aside from the text: if it holds an
-article or the larger part of the text, its name says nothing and the densities decide.
+Elements that are never main text are left out before, and so are blocks whose class or id names
+another part of the page, and forms, whatever their length. Only a name that pages also give to a
+wrapper of everything says nothing where the block is one: it holds the page's only article, or
+no prose stands outside (``set_aside``).
 """
 
 from __future__ import annotations
@@ -19,19 +20,18 @@ import heapq
 import html
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logmill.llm.common import batched, rows_of, table
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_OPEN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*))")
+_QUOTED = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
-_SPACE = re.compile(r"[ \t\n\r\f\v]+")
+_SPACE = re.compile(r"\s+")
 
 #: Names that HTML itself defines.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +41,7 @@ BLOCK = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
     "section select summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are never main text.
 NOT_TEXT = frozenset(
     "head script style noscript template nav footer aside button select textarea input iframe object embed "
@@ -49,15 +50,22 @@ NOT_TEXT = frozenset(
 NOT_TEXT_ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar status".split()
 )
-#: Words in a class or id that name a part which isn't main text, if it is aside from the text.
-NOT_TEXT_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted "
-    "nav navbar navigation menu menus submenu breadcrumb breadcrumbs crumbs pager pagination sidebar side aside rail "
-    "header masthead topbar footer foot bottom comment comments commentlist disqus respond reply replies discussion "
-    "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup "
-    "login search searchbox form share sharing social related recommended recommendations widget widgets toolbar "
-    "copyright disclaimer legal skip hidden".split()
+#: Words in a class or id that name a part which isn't main text: reader comments and consent
+#: notices, which never hold the article; parts that hold it only as an <article>; and parts
+#: whose names wrappers of a whole page have, too.
+NEVER = frozenset(
+    "comment comments commentlist disqus respond reply replies discussion cookie cookies consent gdpr".split()
+)
+PARTS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted "
+    "breadcrumb breadcrumbs crumbs pager pagination notice notices notification alert newsletter subscribe signup "
+    "login search searchbox related recommended recommendations copyright disclaimer skip".split()
 )
+WRAPPERS = frozenset(
+    "banner nav navbar navigation menu menus submenu sidebar side aside rail header masthead topbar footer foot bottom "
+    "popup modal overlay form share sharing social widget widgets toolbar legal hidden".split()
+)
+NOT_TEXT_WORDS = NEVER | PARTS | WRAPPERS
 #: Words after which a class tells of the page ("no-sidebar", "page-with-header"), and those
 #: which end a class that tells a state ("comments-open").
 TOLD_OF = frozenset("no not non without with has".split())
@@ -75,88 +83,130 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _KEEP = frozenset({"html", "body", "article", "main"})
+#: How little a block's name leaves it: 3 never main text, 2 only with an article, 1 maybe a wrapper.
+_GONE, _PART, _WRAPPER, _TEXT = 3, 2, 1, 0
+#: Words outside links from which on a block's text is prose, and what is none.
+PROSE = 6
+_RIGHTS = re.compile(r"©|\bcopyright\b|\ball rights reserved\b", re.I)
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "skip", "aside", "own", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
+    __slots__ = (
+        "name", "parent", "children", "skip", "aside", "paragraph", "in_article", "own",
+        "chars", "tags", "link_chars", "link_tags", "density", "total", "best",
+    )
 
     def __init__(self, name: str, parent: Node | None, skip: bool):
-        self.name, self.parent, self.skip, self.aside = name, parent, skip, False
+        self.name, self.parent, self.skip, self.aside = name, parent, skip, _TEXT
         self.own: int | None = None
         self.children: list[Node | str] = []
+        # the open paragraph that a block here would end
+        self.paragraph: Node | None = self if name == "p" else None if parent is None or name in BLOCK else parent.paragraph
+        self.in_article: bool = name in ("article", "main") or parent is not None and parent.in_article
 
 
-def _names_other(value: str) -> bool:
-    """Whether a class or id names a part of the page that isn't main text."""
+def _names_other(value: str) -> int:
+    """How much a class or id names a part of the page that isn't main text."""
+    most = _TEXT
     for one in value.split():
         words = _WORDS.findall(_CAMEL.sub(" ", one).lower())
         if NOT_TEXT_WORDS.isdisjoint(words) or words[-1] in STATES:
             continue
         told = next((k for k, w in enumerate(words) if w in TOLD_OF), len(words))
         # "hidden-xs" is hidden at times
-        if any(w in NOT_TEXT_WORDS and (w != "hidden" or k == len(words) - 1) for k, w in enumerate(words[:told])):
-            return True
-    return False
-
-
-def _kind(name: str, rest: str, parent: Node) -> tuple[bool, bool]:
-    """Whether an element is never main text, and whether it is none where it is aside from the text."""
-    if name in NOT_TEXT:
-        return True, False
-    if name == "header":
-        above: Node | None = parent
-        while above and above.name not in ("article", "main"):
-            above = above.parent
-        if above is None:
-            return True, False
-    other = name == "form"
+        named = {w for k, w in enumerate(words[:told]) if w != "hidden" or k == len(words) - 1}
+        for words_of, level in ((NEVER, _GONE), (PARTS, _PART), (WRAPPERS, _WRAPPER)):
+            if not named.isdisjoint(words_of):
+                most = max(most, level)
+    return most
+
+
+def _kind(name: str, rest: str, parent: Node) -> tuple[bool, int]:
+    """Whether an element is never main text, and how much its name says so."""
+    if name in NOT_TEXT or name == "header" and not parent.in_article:
+        return True, _TEXT
+    other = _WRAPPER if name == "form" else _TEXT
     if "=" not in rest and "hidden" not in rest or name in ("html", "body"):
         return False, other
     keep = name in _KEEP
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), next((v for v in values if v), "")
         if key in ("class", "id"):
-            other = other or _names_other(value)
+            other = max(other, _names_other(value))
         elif key == "role" and value.lower() == "form":
-            other = True
+            other = max(other, _WRAPPER)
         elif keep:
             continue
         elif key == "role" and value.lower() in NOT_TEXT_ROLES:
-            return True, False
+            return True, _TEXT
         elif key == "aria-hidden" and value.lower() == "true":
-            return True, False
+            return True, _TEXT
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, False
+            return True, _TEXT
     hidden = not keep and re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", _ATTRIBUTE.sub(" ", rest))
     return bool(hidden), other
 
 
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """Texts and tags in order: kind (text, open or close), then the text, or name and the rest of the tag.
+
+    A tag ends at the first ``>`` outside quotes. Where there is none up to the page's end, its
+    ``<`` is text, and from there on quotes don't count: so no part of a page is searched twice
+    for the same thing, however broken it is.
+    """
+    at, text, end, quotes = 0, 0, len(page), True
+    while (found := _OPEN.search(page, at)) is not None:
+        start = found.start()
+        if found["name"]:
+            close = _QUOTED.match(page, found.end()).end() if quotes else page.find(">", found.end())
+            if not 0 <= close < end or page[close] != ">":
+                if not quotes:
+                    break
+                quotes, at = False, start + 1
+                continue
+            token, at = ("close" if found["close"] else "open", found["name"].lower(), page[found.end() : close]), close + 1
+        else:
+            stop = {"<!--": "-->", "<![CDATA[": "]]>"}.get(found[0], ">")
+            close = page.find(stop, found.end())
+            token, at = None, end if close < 0 else close + len(stop)
+        if text < start:
+            yield "text", page[text:start], ""
+        if token:
+            yield token
+            if token[0] == "open" and token[1] in RAW:
+                close_tag = _RAW_ENDS[token[1]].search(page, at)
+                at = close_tag.end() if close_tag else end
+        text = at
+    if text < end:
+        yield "text", page[text:], ""
+
+
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
+
+
 def parse(page: str) -> Node:
     """The tree of a page. Open elements end where HTML lets them; stray end tags are ignored."""
     root = Node("html", None, False)
-    at, here = 0, root
+    here = root
     body: Node | None = None
-    end = len(page)
-    while at < end:
-        token = _TOKEN.search(page, at)
-        if not token:
-            here.children.append(page[at:])
-            break
-        if token.start() > at:
-            here.children.append(page[at : token.start()])
-        at = token.end()
-        if token[0].startswith("<![CDATA["):
-            continue
-        name = token["name"]
-        if not name:
+    opened: Counter[str] = Counter()  # open elements by name
+
+    def up(to: Node) -> None:
+        nonlocal here
+        while here is not to:
+            opened[here.name] -= 1
+            here = here.parent
+
+    for kind, name, rest in _tokens(page):
+        if kind == "text":
+            here.children.append(name)
             continue
-        name = name.lower()
-        if token["close"]:
-            node: Node | None = here
+        if kind == "close":
+            node: Node | None = here if opened[name] else None
             while node is not None and node.name != name:
                 node = None if name not in BLOCK and node.name in BLOCK else node.parent
             if node is not None and node.parent is not None and name not in ("html", "body"):
-                here = node.parent
+                up(node.parent)
             elif name == "p":
                 here.children.append(Node("p", here, False))
             continue
@@ -165,43 +215,33 @@ def parse(page: str) -> Node:
         if name == "body":
             if body is None:
                 here = body = Node("body", root, False)
+                opened.clear()
+                opened["body"] = 1
                 root.children.append(body)
             continue
-        if name in BLOCK and name != "p" or name == "p":
-            here = _end_paragraph(here)
+        if name in BLOCK and here.paragraph is not None:
+            up(here.paragraph.parent)
         if name in CLOSES:
             own, within = CLOSES[name]
-            node = here
+            node = here if any(opened[n] for n in own) else None
             while node is not None and node.name not in within:
                 if node.name in own and node.parent is not None:
-                    here = node.parent
+                    up(node.parent)
                     if name != "tr":
                         break
                 node = node.parent
-        if here.name in ("h1", "h2", "h3", "h4", "h5", "h6") and name in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            here = here.parent
+        if here.name in HEADINGS and name in HEADINGS:
+            up(here.parent)
         new = Node(name, here, here.skip)
         if not new.skip:
-            new.skip, new.aside = _kind(name, token["rest"], here)
+            new.skip, new.aside = _kind(name, rest, here)
         here.children.append(new)
-        if name in RAW:
-            close = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else end
-        elif name not in VOID and not token["rest"].endswith("/"):
+        if name not in RAW and name not in VOID and not rest.endswith("/"):
             here = new
+            opened[name] += 1
     return root
 
 
-def _end_paragraph(here: Node) -> Node:
-    """Out of an open paragraph, with what is open in it."""
-    node: Node | None = here
-    while node is not None and (node.name not in BLOCK or node.name == "p"):
-        if node.name == "p" and node.parent is not None:
-            return node.parent
-        node = node.parent
-    return here
-
-
 def _body(root: Node) -> Node:
     return next((c for c in root.children if isinstance(c, Node) and c.name == "body"), root)
 
@@ -217,50 +257,72 @@ def _own(node: Node) -> int:
     return node.own
 
 
-def set_aside(body: Node) -> None:
-    """Blocks that are none of the text by their name are skipped, if they are aside from it.
+def _words(text: str) -> int:
+    return 0 if _RIGHTS.search(text) else len(text.split())
 
-    One that holds an article (whose own name is none of these) or a main element stays, and so
-    does one with more text than all that stands outside such blocks; beside an article, with
-    more than half of the body's text, menus and the like included. The largest is judged
-    first; when one stays, what is in it counts as outside, and blocks in it are judged in turn.
+
+def set_aside(body: Node) -> None:
+    """Blocks whose names say that they are none of the text are skipped.
+
+    Their length is no evidence: a short article can have many comments. One stays only if it wraps
+    the text: as long as no article (nor main element) stands outside named blocks, the one with an
+    article and most text comes back; where the page has no article, and no prose outside either
+    (``PROSE`` words in a block, links and rights left out), the largest of those with a wrapper's
+    name does. What is in a block that came back counts as outside, and named blocks in it are
+    judged in turn. Reader comments and consent notices never come back, and an article in them is
+    none.
     """
-    order, never, stack = [], [], [body]
+    order, stack = [], [body]
     while stack:
         node = stack.pop()
-        (never if node.skip else order).append(node)
-        stack += [c for c in node.children if isinstance(c, Node)]
+        if not node.skip:
+            order.append(node)
+            stack += [c for c in node.children if isinstance(c, Node)]
     if not any(node.aside for node in order):
         return
-    chars: dict[int, int] = {}  # of all text within
-    loose: dict[int, int] = {}  # of text within that is in no inner named block
-    inner: dict[int, list[Node]] = {}  # the outermost named blocks within
-    article: set[int] = set()
+    chars: dict[Node, int] = {}  # of all text within
+    words: dict[Node, int] = {}  # of a block's own lines, outside links
+    inner: dict[Node, list[Node]] = {}  # the outermost named blocks within
+    loose_article: set[Node] = set()  # with an article, or with prose, in no inner named block
+    loose_prose: set[Node] = set()
+    article: set[Node] = set()  # with an article anywhere within that may come back
     for node in reversed(order):
         below = [c for c in node.children if isinstance(c, Node) and not c.skip]
         named = [c for c in below if c.aside and c.name not in _KEEP]
         plain = [c for c in below if not c.aside or c.name in _KEEP]
-        chars[id(node)] = _own(node) + sum(chars[id(c)] for c in below)
-        loose[id(node)] = _own(node) + sum(loose[id(c)] for c in plain)
-        inner[id(node)] = named + [x for c in plain for x in inner.pop(id(c))]
-        if chars[id(node)] and (node.name == "main" or node.name == "article" and not node.aside):
-            article.add(id(node))
-        elif any(id(c) in article for c in below):
-            article.add(id(node))
-    outside = loose[id(body)]
-    half = (chars[id(body)] + sum(_own(node) for node in never)) / 2 if id(body) in article else 0
-    queue = [(id(n) not in article, -chars[id(n)], k, n) for k, n in enumerate(inner[id(body)])]
-    heapq.heapify(queue)
-    count = len(queue)
-    while queue:
-        without, size, _, node = heapq.heappop(queue)
-        if without and -size <= max(outside, half):
-            node.skip = True
-            continue
-        outside += loose[id(node)]
-        for n in inner[id(node)]:
-            heapq.heappush(queue, (id(n) not in article, -chars[id(n)], count, n))
-            count += 1
+        chars[node] = _own(node) + sum(chars[c] for c in below)
+        own = 0 if node.name == "a" else sum(_words(c) for c in node.children if isinstance(c, str))
+        words[node] = own + sum(words[c] for c in plain if c.name not in BLOCK)
+        inner[node] = named + [x for c in plain for x in inner.pop(c)]
+        is_article = bool(chars[node]) and (node.name == "main" or node.name == "article" and not node.aside)
+        if is_article or any(c in loose_article for c in plain):
+            loose_article.add(node)
+        if node.name in BLOCK and words[node] >= PROSE or any(c in loose_prose for c in plain):
+            loose_prose.add(node)
+        if node.aside != _GONE and (node in loose_article or any(x in article for x in inner[node])):
+            article.add(node)
+    has_article, has_prose = body in loose_article, body in loose_prose
+    queue, count = [], 0
+    held = [body]
+    while held:
+        for node in inner[held.pop()]:
+            if node.aside == _GONE:
+                node.skip = True
+            else:
+                heapq.heappush(queue, (node not in article, node.aside, -chars[node], count, node))
+                count += 1
+        if not queue:
+            break
+        without, level, size, _, node = queue[0]
+        back = not has_article if not without else not has_article and not has_prose and level == _WRAPPER and size < 0
+        if not back:
+            for *_, node in queue:
+                node.skip = True
+            break
+        heapq.heappop(queue)
+        held.append(node)
+        has_article |= node in loose_article
+        has_prose |= node in loose_prose
 
 
 def weigh(body: Node) -> None:
@@ -315,14 +377,30 @@ def main_nodes(body: Node, slack: float = 0.25) -> set[int]:
         node = node.parent
         threshold = min(threshold, node.density)
     threshold *= slack
-    marked, stack = set(), [body]
+    marked, stack = [], [body]
     while stack:
         node = stack.pop()
         if node.skip or not node.chars or node.density < threshold:
             continue
-        marked.add(id(node.best if node.best.total else node))
+        marked.append(node.best if node.best.total else node)
         stack += [c for c in node.children if isinstance(c, Node) and c.name in BLOCK]
-    return marked
+    return {id(n) for n in marked} | {id(n) for n in _articles(marked)}
+
+
+def _articles(nodes: list[Node]) -> list[Node]:
+    """The outermost article elements that hold the nodes: all of an article is its text."""
+    above: dict[Node, Node | None] = {}
+    for node in nodes:
+        path = []
+        at: Node | None = node
+        while at is not None and at not in above:
+            path.append(at)
+            at = at.parent
+        found = above[at] if at is not None else None
+        for one in reversed(path):
+            found = found or (one if one.name == "article" and not one.aside else None)
+            above[one] = found
+    return list({id(a): a for a in (above[n] for n in nodes) if a}.values())
 
 
 def blocks(body: Node, marked: set[int]) -> list[str]:
@@ -332,14 +410,15 @@ def blocks(body: Node, marked: set[int]) -> list[str]:
 
     def flush():
         if held:
-            text = _SPACE.sub(" ", "".join(held).replace("\xa0", " ")).strip()
+            text = _SPACE.sub(" ", "".join(held)).strip()
             held.clear()
             if text:
                 found.append(text)
 
-    stack: list[tuple[Node | str | None, bool]] = [(body, False)]
+    stack: list[tuple[Node | str | None, bool, bool]] = [(body, False, False)]
+    whole = id(body) in marked
     while stack:
-        item, inside = stack.pop()
+        item, inside, article = stack.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
@@ -348,18 +427,20 @@ def blocks(body: Node, marked: set[int]) -> list[str]:
         elif item.name == "br":
             if inside:
                 held.append(" ")
-        elif not item.skip and not _menu(item):
+        elif not item.skip and not (_menu(item) and (whole or not found) and not article):
             inside = inside or id(item) in marked
+            article = article or item.name == "article" and inside
             if item.name in BLOCK:
                 flush()
-                stack.append((None, inside))
-            stack += [(c, inside) for c in reversed(item.children)]
+                stack.append((None, inside, article))
+            stack += [(c, inside, article) for c in reversed(item.children)]
     flush()
     return found
 
 
 def _menu(node: Node) -> bool:
-    """A block of three links or more and next to no other text."""
+    """A block of three links or more and next to no other text. It is one of the page's menus where
+    the page as a whole is marked, or where it stands before all text; elsewhere it is the article's."""
     return node.name in BLOCK and node.link_tags >= 3 and node.link_chars >= 0.9 * node.chars
 
 

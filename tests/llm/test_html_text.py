@@ -1,5 +1,7 @@
 """Pages whose main text is known."""
 
+import time
+
 import pytest
 
 from logmill.llm.html_text import extract, main_text
@@ -81,14 +83,70 @@ def test_listed_block_with_article_or_most_of_the_text():
     # comments written as articles don't count as articles
     comments = f'<div id="comments"><article class="comment-body"><p>{WORDS}</p></article></div>'
     assert extract(f"<body><div>{ARTICLE}</div>{comments}</body>") == TEXT
-    # beside an article, a listed block must hold most of the body's whole text
+    # beside an article no listed block stays, however long it is
     ad, small = f'<div class="ad"><p>{WORDS}</p></div>', "<article><h1>Title</h1><p>few words</p></article>"
     assert extract(f"<body><nav>{WORDS}</nav>{ad}{small}</body>") == ["Title", "few words"]
-    assert WORDS in extract(f"<body>{ad}{small}</body>")
+    assert extract(f"<body>{ad}{small}</body>") == ["Title", "few words"]
     # a form with little text beside the article goes whole
     assert extract(f"<body><div>{ARTICLE}</div><form><p>{WORDS}</p><input></form></body>") == TEXT
 
 
+POST = "A short post of some words, with a second sentence."
+LONG = "<p>" + "</p><p>".join(f"{n} {WORDS} {WORDS}" for n in range(9)) + "</p>"
+
+
+@pytest.mark.parametrize("name", ['div id="comments"', 'section class="comments"', 'div class="cookie-notice"',
+                                  'div class="sidebar"', "form", 'div class="ad"', 'div class="related posts"'])
+@pytest.mark.parametrize("page", [
+    "<article><p>{post}</p></article>{other}",
+    "{other}<article><p>{post}</p></article>",
+    "<article><p>{post}</p>{other}</article>",
+    "<div><p>{post}</p></div>{other}",
+    "<div><div><p>{post}</p></div>{other}</div>",
+    "<form><div><p>{post}</p></div>{other}</form>",
+])
+def test_long_blocks_beside_a_short_text(name, page):
+    other = f"<{name}>{LONG}</{name.split()[0]}>"
+    if name == "form" and page.startswith("<form"):
+        return  # a form ends at the first end tag
+    assert extract(f"<body>{page.format(post=POST, other=other)}</body>") == [POST]
+
+
+def test_articles_in_comments():
+    comments = f'<ol><li class="comment"><article><p>{WORDS}</p></article></li><li class="comment"><article>{LONG}</article></li></ol>'
+    for page in (f"<article><p>{POST}</p></article>{comments}", f"<div><p>{POST}</p></div>{comments}"):
+        assert extract(f"<body>{page}</body>") == [POST]
+    assert extract('<div class="cookie-notice"><p>only this, of no use to anyone at all</p></div>') == []
+
+
+def test_links_of_the_article_stay():
+    links = "".join(f'<li><a href="{n}">Reference number {n}</a></li>' for n in range(3))
+    assert extract(f"<body><article><p>{POST}</p><ul>{links}</ul></article></body>")[-3:] == [f"Reference number {n}" for n in range(3)]
+    linked = "<p><a href=1>One sentence.</a> <a href=2>Another one.</a> <a href=3>And a third.</a></p>"
+    assert extract(f"<body><article><p>{POST}</p>{linked}</article></body>")[-1] == "One sentence. Another one. And a third."
+    assert extract(f"<body><ul>{links}</ul><p>{POST}</p><p>{WORDS}</p></body>") == [POST, WORDS]
+
+
+def test_unicode_white_space():
+    assert extract("<p>a&emsp;&emsp;b\u3000 \u2009c&nbsp;\n&nbsp;d</p>") == ["a b c d"]
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a "', "<a '\"", "<p>x<a href=\"", "</b>", "<b></p>", "<i>x</b>", "<!", "<!--", "<li><b>", "<a b=\"<\" "])
+def test_broken_pages_take_time_in_proportion(part):
+    """A megabyte of each, within seconds; eight times that, within eight times as long and some."""
+    seconds = []
+    for size in (125_000, 1_000_000):
+        start = time.perf_counter()
+        extract(f"<p>{WORDS}</p>" + part * (size // len(part)))
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 16 * seconds[0] + 1
+
+
+def test_tags_that_do_not_end():
+    assert extract("<p>a &lt; b < c</p><p>1 <2 <a") == ["a < b < c", "1 <2 <a"]
+    assert extract('<p title="a > b">x</p><p title=">y</p>') == ["x", '<p title=">y']
+
+
 def test_listed_blocks_in_deep_pages():
     assert extract('<div class="sidebar">' * 3000 + "deep") == ["deep"]
 
