@@ -6,10 +6,13 @@ a character (one of several tokens of a multibyte character, or of several byte-
 has its end refined by the bytes that it decodes to. Two lists of ends then merge in one walk:
 every step is a link, every common end closes a group.
 
-Neither tokenizer lets a token reach across a blank between two characters that are no white
-space: A's pattern starts a match there, and B has no piece with a blank after another character
-(checked; a model with such pieces is aligned text by text). So texts are cut at these blanks, and
-a task aligns each different part once while it remembers it; the memory is bounded.
+Neither tokenizer lets a token reach across the left edge of a blank between two characters that
+are no white space, or that of a mark after a letter or number: A's pattern starts a match there,
+and B has no piece with a blank after another character, or with such a mark after a letter or
+number (looked up in its vocabulary: marks that it has so are not cut at, and a model with such
+blanks is aligned text by text). So texts are cut there, and a task aligns each different part once
+while it remembers it; the memory is bounded. New parts are put together again, some hundred at a
+time, to be encoded and aligned by few calls.
 
 The links of each document are stored once, as its different id pairs and their numbers. Pair
 counts are an aggregate over them with a partial step. Each document's links then meet the counts
@@ -22,6 +25,7 @@ import hashlib
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -37,10 +41,14 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLANK = "▁"
 #: Aligned parts that a Python worker remembers, in each of two generations.
 REMEMBERED = 1 << 17
+#: New parts that are encoded as one string.
+TOGETHER = 128
 #: Pairs (24 bytes each in memory) up to which the counts go to every executor.
 BROADCAST_PAIRS = 2_000_000
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Marks before which texts may be cut, and a part that others can follow.
+MARKS = ",.;:!?&$%#*|<>()[]{}/=+~^"
+CARRIER = " a"
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>\Z")
 
 #: What is known of a part: tokens of A and B, groups, links, groups as text, links as packed ids.
@@ -60,70 +68,116 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         byte = _byte_of_char()
         vocabulary = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = {n: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t, n in vocabulary.items()}
+        spelled = {n: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t, n in vocabulary.items()}
+        self.a_bytes = [spelled.get(n, b"") for n in range(max(spelled) + 1)]
         pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
         self.b_bytes = [_piece_bytes(p) for p in pieces]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in y]) for y in (self.a_bytes, self.b_bytes))
+        size = max(len(self.a_bytes), len(self.b_bytes))
+        #: Every id as text, within a group, before the bar and at a group's end.
+        self.written = [f"{n}{mark}" for mark in ",|;" for n in range(size)]
         self.in_parts = not any(BLANK in p.lstrip(BLANK) for p in pieces)
+        inside = {y for n, p in enumerate(pieces) if not self.b.is_byte(n) for x, y in zip(p, p[1:]) if x.isalnum()}
+        self.marks = "".join(m for m in MARKS if m not in inside)
+        marks = re.escape(self.marks) or "^\\s\\S"  # or none
+        # from one place to cut to the next
+        self._part = re.compile(
+            rf"(?:(?<=\S) (?=\S)|(?<=[^\W_])[{marks}]|^.)(?:[^ {re.escape(MARKS)}]++|(?!(?<=\S) (?=\S))(?!(?<=[^\W_])[{marks}]).)*+", re.S
+        )
         self.remembered = remembered
         self.new: dict[str, Part | None] = {}
         self.old: dict[str, Part | None] = {}
 
     def parts(self, text: str) -> list[str]:
+        """The text, with the blank before it, in parts that both tokenizers take apart from each other."""
         # the mark of a blank, in a text, could join the blank after it
-        return _CUT.split(text) if self.in_parts and BLANK not in text else [text]
+        return self._part.findall(" " + text) if self.in_parts and BLANK not in text else [" " + text]
 
     def known(self, texts: list[str]) -> list[list[Part | None]]:
         """What is known of each text's parts, after aligning those that are new."""
         cut = [self.parts(t) for t in texts]
         missing = []
-        for part in dict.fromkeys(p for own in cut for p in own):
+        for part in dict.fromkeys(chain.from_iterable(cut)):
             if part not in self.new:
                 if part in self.old:
                     self.new[part] = self.old[part]
                 else:
                     missing.append(part)
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
+        for at in range(0, len(missing), 1 << 14):
+            some = missing[at : at + (1 << 14)]
             self.new.update(zip(some, self._align(some)))
-        found = [[self.new[p] for p in own] for own in cut]
+        found = [list(map(self.new.__getitem__, own)) for own in cut]
         if len(self.new) > self.remembered:
             self.old, self.new = self.new, {}
         return found
 
-    def _align(self, texts: list[str]) -> list[Part | None]:
-        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        b = _protos(self.b, texts)
-        return [self._merge(" " + t, x.ids, x.offsets, y) for t, x, y in zip(texts, a, b)]
-
-    def _merge(self, text: str, a: list[int], offsets: list[tuple[int, int]], proto) -> Part | None:
-        """None where the tokens of A or of B don't spell the text."""
+    def _align(self, parts: list[str]) -> list[Part | None]:
+        """None for a part that the tokens of A or of B don't spell."""
+        found: dict[str, Part | None] = {}
+        together = [p for p in parts if self.in_parts and not (p[1:2].isspace() or p[-1].isspace() or BLANK in p)]
+        self._find(together, TOGETHER, found)
+        self._find([p for p in parts if found.get(p) is None], 1, found)
+        return [found.get(p) for p in parts]
+
+    def _find(self, parts: list[str], together: int, found: dict[str, Part | None]) -> None:
+        """What is known of parts, so many of them encoded as one string."""
+        strings = []
+        for at in range(0, len(parts), together):
+            own = parts[at : at + together]
+            strings.append(own if own[0][0] == " " else [CARRIER, *own])
+        strings = [[q for p, o in zip(own, [" ", *own]) for q in self._after(o, p)] for own in strings]
+        texts = ["".join(own) for own in strings]
+        if texts:
+            a = self.a.encode_batch(texts, add_special_tokens=False)
+            for own, text, x, y in zip(strings, texts, a, _protos(self.b, [t[1:] for t in texts])):
+                found.update(zip(own, self._merge(own, text, x, y) or ()))
+
+    @staticmethod
+    def _after(before: str, part: str) -> tuple[str, ...]:
+        """A part that starts with a mark stands after a letter or number."""
+        return (part,) if part[0] == " " or before[-1].isalnum() else (CARRIER, part)
+
+    def _merge(self, parts: list[str], text: str, encoding, proto) -> list[Part] | None:
+        """What is known of each part of a text; None where its tokens don't spell it."""
         whole = text.encode()
-        pieces = [(p.id, p.begin, p.end) for p in proto.pieces]
-        b = [p[0] for p in pieces]
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
+        a = encoding.ids
+        b, ends = zip(*[(p.id, p.end) for p in proto.pieces]) if proto.pieces else ((), ())
+        if any(b"".join(map(spelled.__getitem__, ids)) != whole for spelled, ids in ((self.a_bytes, a), (self.b_bytes, b))):
             return None
-        plain = len(whole) == len(text)
-        place = None if plain else np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]).tolist()
-        starts = [s for s, _ in offsets[1:]] + [len(text)]
+        a_ids, b_ids = np.array(a), np.array(b)
+        spans = np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         # the span of a token that ends inside a character overlaps the next one's
-        cuts = [(e if plain else place[e]) if e <= s else -1 for (_, e), s in zip(offsets, starts)]
-        a_ends = _refine(cuts, a_bytes)
+        clean, cuts = spans[:, 1] <= np.append(spans[1:, 0], len(text)), spans[:, 1]
+        if len(whole) > len(text):
+            code = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            cuts = np.append(0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)))[cuts]
+        a_ends = _refine(cuts, clean, self.a_sizes[a_ids])
         # B's spans don't count the blank put before the text; those inside a character are empty
-        b_ends = _refine([end + 1 if end > begin else -1 for _, begin, end in pieces], b_bytes)
-        groups, links = [], []
-        i = j = first_a = first_b = 0
-        while i < len(a):
-            links.append(a[i] << 32 | b[j])
-            if a_ends[i] == b_ends[j]:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                first_a, first_b = i, j
-            elif a_ends[i] < b_ends[j]:
-                i += 1
-            else:
-                j += 1
-        return len(a), len(b), len(groups), len(links), ";".join(groups), np.array(links, np.int64).tobytes()
+        cuts = np.array(ends)
+        b_ends = _refine(cuts + 1, np.diff(cuts, prepend=0) > 0, self.b_sizes[b_ids])
+
+        # one step of the walk for every end of either: the tokens that hold the bytes before it
+        steps = np.union1d(a_ends, b_ends)
+        i, j = a_ends.searchsorted(steps), b_ends.searchsorted(steps)
+        packed = (a_ids[i] << 32 | b_ids[j]).tobytes()
+        closes = np.flatnonzero((a_ends[i] == steps) & (b_ends[j] == steps))
+        # A's tokens of a group, then B's, each with the mark that follows it
+        marked, size = [], len(self.written) // 3
+        for ids, token_ends, mark in ((a_ids, a_ends, 1), (b_ids, b_ends, 2)):
+            group = steps[closes].searchsorted(token_ends)
+            last = np.diff(group, append=len(closes)) > 0
+            marked.append((2 * group + mark, ids + np.where(last, mark * size, 0)))
+        place, ids = (np.concatenate(x) for x in zip(*marked))
+        written = list(map(self.written.__getitem__, ids[np.argsort(place, kind="stable")].tolist()))
+        # every part ends where both have a token that ends
+        own = steps[closes].searchsorted(np.cumsum([len(p.encode()) for p in parts]))
+        at = closes[own]
+        out, t, k = [], 0, 0
+        for n_a, n_b, n_groups, n_links in zip(*[np.diff(x, prepend=-1).tolist() for x in (i[at], j[at], own, at)]):
+            groups = "".join(written[t : t + n_a + n_b])[:-1]
+            out.append((n_a, n_b, n_groups, n_links, groups, packed[8 * k : 8 * (k + n_links)]))
+            t, k = t + n_a + n_b, k + n_links
+        return out
 
 
 def _piece_bytes(piece: str) -> bytes:
@@ -136,13 +190,12 @@ def _protos(model, texts: list[str]) -> list:
     return model.encode(texts, return_type="proto", num_threads=1)
 
 
-def _refine(cuts: list[int], decoded: list[bytes]) -> list[int]:
-    """Ends of tokens: the coarse cut, or where there is none the end before and the bytes since."""
-    ends, at = [], 0
-    for cut, own in zip(cuts, decoded):
-        at = cut if cut >= 0 else at + len(own)
-        ends.append(at)
-    return ends
+def _refine(cuts: np.ndarray, clean: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ends of tokens: the coarse cut, or where there is none the last one and the bytes decoded since."""
+    so_far = np.cumsum(sizes)
+    last = np.maximum.accumulate(np.where(clean, np.arange(len(cuts)), -1))
+    since = np.where(last >= 0, cuts[last] - so_far[last], 0)
+    return np.where(clean, cuts, since + so_far)
 
 
 @lru_cache(maxsize=2)
@@ -157,7 +210,7 @@ def _of_text(aligned: Aligner, text: str | None, parts: list[Part | None]) -> Pa
     if not text:
         return NONE
     if len(parts) > 1 and None in parts:  # the whole decides, so look at it as a whole
-        parts = aligned._align([text])
+        parts = aligned._align([" " + text])
     if None in parts:
         return NONE
     a, b, groups, links, texts, packed = zip(*parts)
@@ -191,7 +244,7 @@ def align(
 
         def each(batch):
             nonlocal seen
-            for rows in rows_of(batch, 128):
+            for rows in rows_of(batch, 512):
                 texts = rows["text"].to_pylist()
                 found = [_of_text(aligned, t, p) for t, p in zip(texts, aligned.known([t or "" for t in texts]))]
                 counted = [np.unique(np.frombuffer(f[5], np.int64), return_counts=True) for f in found]
