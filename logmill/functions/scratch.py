@@ -7,6 +7,8 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from logmill.sources.store import Store
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under ``spark.checkpoint.dir`` (or the folder set on the context).
@@ -30,7 +32,16 @@ def materialize(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame,
     """
     path, seen = scratch_path(df.sparkSession, name), Observation()
     (df.observe(seen, *measures) if measures else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if measures else {}
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._scratch = path
+    return stored, seen.get if measures else {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, of tables that nothing reads any more. Others stay."""
+    for stored in tables:
+        if path := getattr(stored, "_scratch", None):
+            Store(stored.sparkSession, path).delete(path)
 
 
 _ROOTS: list[str] = []

@@ -15,3 +15,14 @@ def test_materialized_table_is_read_from_files(spark):
     assert seen == {"total": 45}
     assert sorted(df.collect()) == sorted(numbers.collect())
     assert df.dtypes == numbers.dtypes and df.inputFiles()
+
+
+def test_discard(spark):
+    from logmill.functions.scratch import discard, materialize
+    from logmill.sources.store import Store
+
+    kept, told = materialize(spark.range(5), "kept")
+    gone, _ = materialize(kept, "gone")
+    store = Store(spark, kept._scratch)
+    discard(gone, spark.range(2))
+    assert not store.exists(gone._scratch) and kept.count() == 5
