@@ -81,7 +81,8 @@ def new_files(listed: DataFrame, seen: DataFrame, on_changed: str = "fail") -> D
 
 def read_files(spark: SparkSession, paths: list[str], partitions: int | None = None) -> DataFrame:
     """One row ``value`` per line of the files; as ``text.read_log_lines``."""
-    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    plain = [re.sub(r"([\\{}\[\]*?])", r"\\\1", path) for path in paths]  # no globs
+    lines = spark.read.text(plain) if plain else spark.createDataFrame([], "value string")
     return lines.repartition(partitions) if partitions else lines
 
 

@@ -171,8 +171,10 @@ class Runs:
         several files. Readers see the old folders until the marker is there, the new one after;
         a job that fails leaves all as it was.
         """
-        small = [m for m in self.live() if self._is_small(m["folder"], target_bytes)]
-        if sum(self._files(m["folder"])[0] for m in small) < 2:
+        sizes = self.sizes()
+        small = [m for m in self.live() if _mean(*sizes.get(m["folder"], (0, 0))) < _SMALL * target_bytes]
+        small = [m for m in small if m["folder"] in sizes]
+        if sum(sizes[m["folder"]][0] for m in small) < 2:
             return None
         run = f"compact-{datetime.now(timezone.utc):%Y-%m-%d}-{uuid4().hex}"
         folder = self.new_folder(run)
@@ -206,13 +208,13 @@ class Runs:
             self.store.delete(place)
         return gone
 
-    def _files(self, folder: str) -> tuple[int, int]:
-        """How many data files a folder has, and their bytes."""
-        place = self.place(folder)
-        found = self.store.files(place) if self.store.exists(place) else ()
-        sizes = [size for path, _, size in found if path.endswith(".parquet")]
-        return len(sizes), sum(sizes)
+    def sizes(self) -> dict[str, tuple[int, int]]:
+        """How many data files each folder has, and their bytes; Spark lists them."""
+        files = self.spark.read.format("binaryFile").load(self.path, recursiveFileLookup=True, pathGlobFilter="*.parquet")
+        folder = F.regexp_extract("path", rf"/{RUN}=([^/]+)/", 1).alias("folder")
+        told = files.select(folder, "length").groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"))
+        return {r["folder"]: (r["n"], r["bytes"]) for r in told.collect()}
 
-    def _is_small(self, folder: str, target_bytes: int) -> bool:
-        count, size = self._files(folder)
-        return count > 0 and size / count < _SMALL * target_bytes
+
+def _mean(files: int, size: int) -> float:
+    return size / files if files else 0.0

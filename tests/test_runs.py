@@ -128,6 +128,13 @@ def test_only_new_files_are_read(spark, tmp_path, logs):
     assert run_new(spark, tmp_path).counts["records"] == 1
 
 
+def test_names_that_look_like_patterns(spark, tmp_path, logs):
+    for n, name in enumerate(("x{1}.log", "y[ab].log", "z*?.log", "a b+%20.log", "é.log", "x/[q]/{a,b}.log", ".k{/l[1].log")):
+        logs(name, GOOD[30 + n : 31 + n])
+    assert run_new(spark, tmp_path).counts["records"] == 25
+    assert requests(spark, tmp_path) == wanted(GOOD[:18] + GOOD[30:37])
+
+
 def test_changed_files(spark, tmp_path, logs):
     run_new(spark, tmp_path)
     path = logs("a.log", GOOD[:12])
@@ -185,7 +192,7 @@ def test_compaction(spark, tmp_path, monkeypatch, fields):
     assert runs.live()[0]["origins"] == {m["folder"] for m in runs.markers() if not m["replaces"]}
     assert lake.read_lake(spark, f"{tmp_path}/output").orderBy("request").collect() == before
     assert runs.rejects().count() == 12
-    assert runs._files(marker["folder"])[0] <= (2 if not fields else 4)
+    assert runs.sizes()[marker["folder"]][0] <= (2 if not fields else 4)
     assert runs.compact(1) is None  # nothing is small any more
     # a rewrite of folders that another one has replaced is void
     late = {k: marker[k] for k in ("records", "rejects", "files", "fields", "unread", "replaces")}
@@ -204,10 +211,10 @@ def test_compaction_packs_by_size(spark, tmp_path):
     for n in range(6):
         load(spark, tmp_path, [g.replace("GET /", f"GET /{n}") for g in GOOD], run=f"r{n}", parts=4)
     runs = Runs(spark, f"{tmp_path}/output")
-    count, size = (sum(x) for x in zip(*[runs._files(m["folder"]) for m in runs.live()]))
+    count, size = (sum(x) for x in zip(*[runs.sizes()[m["folder"]] for m in runs.live()]))
     target = size // 3
     marker = runs.compact(target)
-    assert count >= 18 and runs._files(marker["folder"])[0] <= 7
+    assert count >= 18 and runs.sizes()[marker["folder"]][0] <= 7
     assert lake.read_lake(spark, f"{tmp_path}/output").count() == 240
 
 
