@@ -16,11 +16,16 @@ values reach H + 1. A value of 2 costs a signature for each element and one more
 elements that buys whole subsets of the set instead of single elements.
 
 A set looks for partners in its own band, and in the band below if a partner may lie there.
-Sets that run out of subsets (hashing put too many elements into few segments) are counted;
-if there are any, all sets of sizes within their reach also emit single elements (their
-H + 1 smallest), which never run out.
+Sets that run out of subsets (hashing put too many elements into few segments) are told by their
+band; if there are any, all sets of sizes within reach of these bands also emit single elements
+(their H + 1 smallest), which never run out.
 
-Equal sets are one node. Sets that share a signature are candidates, and pairs are verified on
+Equal sets are one node, whose name is a 64-bit hash. A second hash tells whether different sets
+have one name; these get names from both. Signatures are sorted, on disk where memory ends, and
+read as a stream. Of one that many sets of a task have, the first few go that way, so that they
+meet those of other tasks; that they are many is known, and the others are dealt out evenly.
+
+Sets that share a signature are candidates, and pairs are verified on
 whole sets in three steps, each on what the one before has not joined: first each set's pair
 with most shared signatures, then the closest pairs in groups of many sets, then all that may
 still join different components. In groups of many sets, pairs are held against a bound from
@@ -29,9 +34,8 @@ parity bitmaps, block by block, before they become rows.
 
 from __future__ import annotations
 
-
-
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,10 @@ FEW = 12
 BLOCK = 2048
 #: Large groups that a set names, so that its pairs become rows once.
 NAMED = 64
+#: Names that different sets share, at most: some hundred at 10^11 sets.
+MOST_SHARED = 100_000
+#: Rows that a task takes together, of signatures made or read.
+ROWS = 1 << 18
 _RAN_OUT = np.int64(-1)
 
 
@@ -117,12 +125,30 @@ def elements(u: np.ndarray, t: Threshold) -> np.ndarray:
     return _tag(u[: t.differ(len(u) + t.largest(len(u))) + 1], 4)
 
 
-def name_of(u: np.ndarray) -> int:
-    """A set's name: a hash of all its elements and their number."""
-    total = int(np.add.reduce(mix(u ^ np.uint64(0xD1B54A32D192ED03)))) + len(u) * 0x9E3779B97F4A7C15
+def name_of(u: np.ndarray, salt: int = 0xD1B54A32D192ED03) -> int:
+    """A hash of all of a set's elements and their number."""
+    total = int(np.add.reduce(mix(u ^ np.uint64(salt)))) + len(u) * 0x9E3779B97F4A7C15
     return int(mix(np.array([total & (2**64 - 1)], np.uint64)).view(np.int64)[0])
 
 
+class Names:
+    """Names of sets: a hash, and for those that different sets are known to share another of two."""
+
+    def __init__(self, shared: frozenset[int] = frozenset()):
+        self.shared = shared
+
+    def both(self, u: np.ndarray) -> tuple[int, int]:
+        """The name, and the second hash."""
+        name, check = name_of(u), name_of(u, 0xA0761D6478BD642F)
+        if name in self.shared:
+            name = int(mix(mix(np.array([check], np.int64).view(np.uint64)) + np.uint64(name & (2**64 - 1))).view(np.int64)[0])
+        return name, check
+
+    def of(self, u: np.ndarray) -> int:
+        name = name_of(u)
+        return self.both(u)[0] if name in self.shared else name
+
+
 def bitmap(u: np.ndarray) -> bytes:
     """Parities of the elements over a power of two of places, at least eight times as many as elements (2^13 at most)."""
     bits = 1 << min(max(8, (8 * len(u) - 1).bit_length()), 13)
@@ -137,8 +163,8 @@ def _fold(own: bytes, words: int) -> np.ndarray:
 # -- Spark steps -----------------------------------------------------------------------------
 
 
-def sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``doc, n, name`` of each row; ``name`` is null for an empty set."""
+def sets(df: DataFrame, id_col: str, text_col: str, width: int, names: Names) -> DataFrame:
+    """``doc, n, name, check`` of each row; name and check are null for an empty set."""
     source = id_and_text(df, id_col, text_col)
 
     def make():
@@ -147,85 +173,193 @@ def sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
         def each(batch):
             for rows in rows_of(batch):
                 own = sets_of(utf8(rows["text"]), words, width)
-                yield {"doc": rows["doc"], "n": [len(u) for u in own], "name": [name_of(u) if len(u) else None for u in own]}
+                name, check = zip(*[names.both(u) if len(u) else (None, None) for u in own]) if own else ((), ())
+                yield {"doc": rows["doc"], "n": [len(u) for u in own], "name": name, "check": check}
 
         return each
 
-    return batched(source, f"doc {source.schema['doc'].dataType.simpleString()}, n bigint, name bigint", make)
+    return batched(source, f"doc {source.schema['doc'].dataType.simpleString()}, n bigint, name bigint, check bigint", make)
+
 
+def named_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> tuple[DataFrame, Names]:
+    """``doc, n, name`` of each row, stored, and the names with which different sets differ.
 
-def _emit(df: DataFrame, text_col: str, width: int, t: Threshold, sizes: list[int] | None = None) -> DataFrame:
-    """``sig, name`` of every set, once per task; with ``sizes``, single elements of sets within reach of these."""
+    Of N sets, N^2 / 2^65 pairs share a first hash by chance; those are looked for, and few.
+    """
+    names = Names()
+    while True:
+        docs, _ = materialize(sets(df, id_col, text_col, width, names), "set-names")
+        told = docs.filter("name IS NOT NULL").groupBy("name").agg(F.min("check").alias("a"), F.max("check").alias("b"))
+        shared = frozenset(r["name"] for r in told.filter("a <> b").select("name").limit(MOST_SHARED + 1).collect())
+        if not shared:
+            return docs.drop("check"), names
+        if len(shared) > MOST_SHARED or shared <= names.shared:
+            raise RuntimeError("too many different sets share a name")
+        names = Names(names.shared | shared)
+
+
+def _emit(df: DataFrame, text_col: str, width: int, t: Threshold, names: Names, bands: list[int] | None = None) -> DataFrame:
+    """``sig, name, rep`` of every set, once per task; with ``bands``, single elements of sets within
+    reach of these bands of sizes. A band in which a set ran out has the signature -1.
+
+    ``rep`` is null, except for a set that shares the signature with many others at hand: it is
+    the first of these.
+    """
     source = df.select(F.col(f"`{text_col}`").alias("text"))
 
     def make():
-        words, seen = Words(), set()
+        words, seen, lost, held, count = Words(), set(), set(), [], 0
 
         def of(u):
-            if sizes is None:
+            if bands is None:
                 found, out = signatures(u, t)
                 return found.view(np.int64), out
-            near = any(t.smallest(len(u)) <= n <= t.largest(len(u)) for n in sizes)
+            near = any(t.smallest(len(u)) < 2 << band and t.largest(len(u)) >= 1 << band for band in bands)
             return elements(u, t).view(np.int64) if near else np.zeros(0, np.int64), False
 
+        def flush():
+            nonlocal count
+            sig, name = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            count = 0
+            yield {"sig": sig, "name": name, "rep": _spread(sig, name)}
+
         def each(batch):
+            nonlocal count
+            if batch is None:
+                if lost:
+                    own = np.array(sorted(lost), np.int64)
+                    held.append((np.full(len(own), _RAN_OUT), own))
+                if held:
+                    yield from flush()
+                return
             for rows in rows_of(batch):
-                sig, name = [], []
                 if len(seen) > 1 << 20:
                     seen.clear()
                 for u in sets_of(utf8(rows["text"]), words, width):
-                    if not len(u) or (own := name_of(u)) in seen:
+                    if not len(u) or (own := names.of(u)) in seen:
                         continue
                     seen.add(own)
                     found, out = of(u)
-                    sig.append(found)
-                    name.append(np.full(len(found), own, np.int64))
+                    held.append((found, np.full(len(found), own, np.int64)))
+                    count += len(found)
                     if out:
-                        sig.append(np.array([_RAN_OUT]))
-                        name.append(np.array([len(u)], np.int64))
-                yield {
-                    "sig": np.concatenate(sig) if sig else np.zeros(0, np.int64),
-                    "name": np.concatenate(name) if name else np.zeros(0, np.int64),
-                }
+                        lost.add(len(u).bit_length() - 1)
+                if count > ROWS:
+                    yield from flush()
 
         return each
 
-    return batched(source, "sig bigint, name bigint", make)
+    return batched(source, "sig bigint, name bigint, rep bigint", make, ends=True)
+
+
+def _spread(sig: np.ndarray, name: np.ndarray) -> pa.Array:
+    """For each row beyond the first ``FEW`` and one more of its signature, the first one's name; else null."""
+    order = np.lexsort((name, sig))
+    own, of = sig[order], name[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(own))))
+    far = (np.arange(len(own)) - first[group] > FEW) & (own != _RAN_OUT)
+    rep, is_far = np.empty(len(own), np.int64), np.empty(len(own), bool)
+    rep[order], is_far[order] = of[first[group]], far
+    return pa.array(rep, mask=~is_far)
 
 
 def _candidates(signed: DataFrame) -> DataFrame:
-    """From signatures to ``a, b, shared`` (pairs and how many signatures of the task they
-    share) and, with ``sig``, the members of large groups. Sizes that ran out have b = -1 and sig = -1."""
+    """From signatures to ``a, b, shared`` (pairs and how many signatures at hand they share) and,
+    with ``sig``, the members of large groups. Bands that ran out have b = -1 and sig = -1."""
 
     def make():
-        held: list[np.ndarray] = []
+        held, count, stream = [], 0, _Groups()
+
+        def flush(ends: bool):
+            nonlocal count
+            t = pa.concat_tables(held).combine_chunks() if held else None
+            held.clear()
+            count = 0
+            if t is not None:
+                dealt = t["rep"].is_valid().to_numpy(zero_copy_only=False)
+                sig, name = t["sig"].to_numpy(), t["name"].to_numpy()
+                spread = t.filter(pa.array(dealt))
+                yield _rows(spread["rep"].to_numpy(), spread["name"].to_numpy(), spread["sig"].to_numpy(), spread["name"].to_numpy())
+                yield stream.add(sig[~dealt], name[~dealt])
+            if ends:
+                yield stream.add(*(np.zeros(0, np.int64),) * 2, True)
 
         def each(batch):
+            nonlocal count
             if batch is not None:
-                held.append(np.stack([batch["sig"].to_numpy(), batch["name"].to_numpy()]))
-            elif held:
-                yield _pairs(*np.concatenate(held, axis=1))
+                held.append(pa.Table.from_batches([batch]))
+                count += batch.num_rows
+            if batch is None or count > ROWS:
+                yield from flush(batch is None)
 
         return each
 
-    return batched(signed.repartition("sig"), "a bigint, b bigint, shared bigint, sig bigint", make, ends=True)
+    key = F.when(F.col("rep").isNull(), F.col("sig")).otherwise(F.xxhash64("name"))
+    dealt = signed.repartition(key).sortWithinPartitions("sig", "name")
+    return batched(dealt, "a bigint, b bigint, shared bigint, sig bigint", make, ends=True)
+
+
+class _Groups:
+    """Groups of one signature out of a stream that is sorted by signature and name. Of the last
+    group, which may go on, at most a few rows are held."""
+
+    def __init__(self):
+        self.sig, self.name = (np.zeros(0, np.int64),) * 2
+        self.large: tuple[int, int, int] | None = None  # signature, first and last name of a large group that goes on
+
+    def add(self, sig: np.ndarray, name: np.ndarray, ends: bool = False) -> dict:
+        sig, name = np.concatenate([self.sig, sig]), np.concatenate([self.name, name])
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])[: len(sig)]
+        sig, name = sig[new], name[new]
+        more = name[:0]
+        if self.large and len(sig):
+            own, rep, last = self.large
+            upto = int(np.searchsorted(sig, own, "right"))
+            more = name[:upto][name[:upto] != last]
+            group = own, rep, int(more[-1]) if len(more) else last
+            more_sig = np.full(len(more), own)
+            self.large = group if upto == len(sig) else None
+            sig, name = sig[upto:], name[upto:]
+            reps = np.full(len(more), rep)
+        else:
+            reps = more_sig = more
+        self.sig, self.name = sig[:0], name[:0]
+        if len(sig) and not ends:
+            cut = int(np.searchsorted(sig, sig[-1], "left"))
+            if len(sig) - cut > FEW and sig[-1] != _RAN_OUT:
+                self.large = int(sig[-1]), int(name[cut]), int(name[-1])
+            else:
+                self.sig, self.name, sig, name = sig[cut:], name[cut:], sig[:cut], name[:cut]
+        a, b, members, of, lost = _pairs(sig, name)
+        return _rows(np.concatenate([a, reps]), np.concatenate([b, more]), np.concatenate([of, more_sig]), np.concatenate([members, more]), lost)
+
+
+def _rows(a: np.ndarray, b: np.ndarray, sig: np.ndarray, members: np.ndarray, lost: np.ndarray | None = None) -> dict:
+    lost = a[:0] if lost is None else lost
+    pairs, shared = np.unique(np.stack([a, b]), axis=1, return_counts=True) if len(a) else (np.zeros((2, 0), np.int64), a)
+    none = lambda n: [None] * n
+    return {
+        "a": [*pairs[0].tolist(), *members.tolist(), *lost.tolist()],
+        "b": [*pairs[1].tolist(), *none(len(members)), *([-1] * len(lost))],
+        "shared": [*shared.tolist(), *none(len(members)), *none(len(lost))],
+        "sig": [*none(len(shared)), *sig.tolist(), *([-1] * len(lost))],
+    }
 
 
-def _pairs(sig: np.ndarray, name: np.ndarray) -> dict:
-    order = np.lexsort((name, sig))
-    sig, name = sig[order], name[order]
-    new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])
-    sig, name = sig[new], name[new]
-    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+def _pairs(sig: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs (a, b) of whole groups, all of small ones and those with the first of large ones; the
+    members of large groups and their signatures; the bands that ran out."""
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))[: len(sig)]
     size = np.diff(np.append(first, len(sig)))
-    out = first[sig[first] == _RAN_OUT]
-    lost = name[out[0] : out[0] + size[first == out[0]][0]] if len(out) else name[:0]
+    lost = name[sig == _RAN_OUT]
     use = (size > 1) & (sig[first] != _RAN_OUT)
     first, size = first[use], size[use]
     a, b = [], []
     for g in range(2, FEW + 1):  # all pairs of small groups, groups of one size at a time
         at = first[size == g]
-        for i in range(g):
+        for i in range(g if len(at) else 0):
             for j in range(i + 1, g):
                 a.append(name[at + i])
                 b.append(name[at + j])
@@ -235,17 +369,10 @@ def _pairs(sig: np.ndarray, name: np.ndarray) -> dict:
     star = members != reps
     a.append(name[reps[star]])
     b.append(name[members[star]])
-    pairs, shared = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1, return_counts=True)
-    none = lambda n: [None] * n
-    return {
-        "a": [*pairs[0].tolist(), *name[members].tolist(), *lost.tolist()],
-        "b": [*pairs[1].tolist(), *none(len(members)), *([-1] * len(lost))],
-        "shared": [*shared.tolist(), *none(len(members)), *none(len(lost))],
-        "sig": [*none(len(shared)), *sig[members].tolist(), *([-1] * len(lost))],
-    }
+    return np.concatenate(a), np.concatenate(b), name[members], sig[members], lost
 
 
-def _payload(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, kind: str) -> DataFrame:
+def _payload(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, kind: str, by: Names) -> DataFrame:
     """``name, payload`` for the nodes wanted (doc, name): their elements or their bitmaps."""
     source = id_and_text(df, id_col, text_col).join(nodes.withColumnRenamed("doc", "node_doc"), F.col("doc") == F.col("node_doc"))
 
@@ -256,7 +383,7 @@ def _payload(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
             for rows in rows_of(batch):
                 own = sets_of(utf8(rows["text"]), words, width)
                 names = rows["name"].to_pylist()
-                right = [k for k, u in enumerate(own) if len(u) and name_of(u) == names[k]]
+                right = [k for k, u in enumerate(own) if len(u) and by.of(u) == names[k]]
                 pack = bitmap if kind == "bitmap" else np.ndarray.tobytes
                 yield {"name": [names[k] for k in right], "n": [len(own[k]) for k in right], "payload": [pack(own[k]) for k in right]}
 
@@ -266,10 +393,12 @@ def _payload(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
     return found.dropDuplicates(["name"])
 
 
-def _verified(pairs: DataFrame, df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, t: Threshold) -> DataFrame:
+def _verified(
+    pairs: DataFrame, df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, t: Threshold, by: Names
+) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).distinct()
-    own, _ = materialize(_payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "set"), "sets")
+    own, _ = materialize(_payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "set", by), "sets")
     left = own.select(F.col("name").alias("a"), F.col("payload").alias("x"))
     right = own.select(F.col("name").alias("b"), F.col("payload").alias("y"))
 
@@ -387,30 +516,30 @@ def near_duplicates(
 
     Rows are linked when the Jaccard similarity of their sets of ``width``-word shingles is
     ``similarity`` (a fraction) or more; ``component`` is the smallest id that links reach.
-    Elements are 64-bit hashes. A null or blank text has an empty set and no links. Rows with
+    Elements are 64-bit hashes, sets are told apart by 128 bits. A null or blank text has an empty set and no links. Rows with
     equal ids are one document of several texts. Rows with a null id are left out, as they can
     be neither named nor linked: give ``key_of`` as the id where there are some. Other columns
     are not read.
     """
     t = Threshold(*similarity)
     df = df.filter(F.col(f"`{id_col}`").isNotNull())
-    docs, _ = materialize(sets(df, id_col, text_col, width), "set-names")
+    docs, names = named_sets(df, id_col, text_col, width)
     named = docs.filter(F.col("name").isNotNull())
     nodes = named.groupBy("name").agg(F.min("doc").alias("doc"))
 
     found, told = materialize(
-        _candidates(_emit(df, text_col, width, t)), "candidates", F.count_if(F.col("sig") == -1).alias("lost")
+        _candidates(_emit(df, text_col, width, t, names)), "candidates", F.count_if(F.col("sig") == -1).alias("lost")
     )
     if told["lost"]:
-        sizes = [r["a"] for r in found.filter("sig = -1").select("a").distinct().collect()]
-        more, _ = materialize(_candidates(_emit(df, text_col, width, t, sizes)), "candidates")
+        bands = [r["a"] for r in found.filter("sig = -1").select("a").distinct().collect()]  # of powers of two
+        more, _ = materialize(_candidates(_emit(df, text_col, width, t, names, bands)), "candidates")
         found = found.filter("sig is null or sig <> -1").union(more)
     pairs = found.filter("sig is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     pairs, _ = materialize(pairs, "pairs")
 
     def linked(wanted: DataFrame, before: DataFrame | None, name: str) -> DataFrame:
         """Components after the wanted pairs are verified, too."""
-        links = _verified(wanted, df, nodes, id_col, text_col, width, t)
+        links = _verified(wanted, df, nodes, id_col, text_col, width, t, names)
         if before is not None:
             tree = before.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
             links = links.union(tree)
@@ -434,7 +563,7 @@ def near_duplicates(
     # 2. of sets in large groups that are in different components still, the closest by their bitmaps
     groups = mixed(found.filter("sig is not null").select("sig", F.col("a").alias("name")), roots)
     wanted = groups.select("name").distinct()
-    maps, _ = materialize(_payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "bitmap"), "bitmaps")
+    maps, _ = materialize(_payload(df, nodes.join(wanted, "name"), id_col, text_col, width, "bitmap", names), "bitmaps")
     close, _ = materialize(_from_large(groups, maps, t, True), "closest")
     tried = best.union(close)
     roots = linked(close, roots, "roots")

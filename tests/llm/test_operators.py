@@ -48,7 +48,16 @@ def groups_by_force(rows):
     return {d: (len(s), top[d]) for d, s in sets.items()}
 
 
-def test_near_duplicates(spark, monkeypatch):
+@pytest.fixture(params=["as it is", "small blocks"])
+def bounds(request, monkeypatch):
+    """Bounds of the driver's steps lowered, so that groups are cut into blocks and sets unnamed."""
+    if request.param == "small blocks":
+        monkeypatch.setattr(jaccard, "BLOCK", 3)
+        monkeypatch.setattr(jaccard, "NAMED", 1)
+    return request.param
+
+
+def test_near_duplicates(spark, bounds):
     rng = random.Random(5)
     rows = []
     for n in range(90):
@@ -69,6 +78,94 @@ def test_near_duplicates_odd_rows(odd_rows):
     assert jaccard.near_duplicates(odd_rows.limit(0)).collect() == []
 
 
+def pairs_by_force(groups):
+    """Pairs and members that a stream of groups (sig: names) has to give."""
+    pairs, members = Counter(), set()
+    for sig, names in groups.items():
+        own = sorted(names)
+        if len(own) > jaccard.FEW:
+            members |= {(sig, n) for n in own}
+        else:
+            pairs.update((x, y) for k, x in enumerate(own) for y in own[k + 1 :])
+    return pairs, members
+
+
+@pytest.mark.parametrize("few, cut", [(2, 1), (2, 7), (3, 50), (12, 3), (12, 10_000)])
+def test_signature_stream(monkeypatch, few, cut):
+    """Groups cut anywhere by batches, with repeated rows."""
+    monkeypatch.setattr(jaccard, "FEW", few)
+    rng = random.Random(few + cut)
+    groups = {s: {rng.randrange(10**6) for _ in range(rng.choice([1, 1, 2, 3, few, few + 1, 40]))} for s in range(80)}
+    rows = sorted((s, n) for s, names in groups.items() for n in names for _ in range(rng.choice([1, 1, 3])))
+    sig, name = np.array(rows, np.int64).T
+    stream, pairs, members, starred = jaccard._Groups(), Counter(), set(), set()
+    parts = [(sig[k : k + cut], name[k : k + cut], False) for k in range(0, len(sig), cut)]
+    for part in [*parts, (sig[:0], name[:0], True)]:
+        out = stream.add(*part)
+        assert len(stream.sig) <= few + 1
+        for a, b, shared, s in zip(*(out[c] for c in ("a", "b", "shared", "sig"))):
+            if s is None:
+                pairs[a, b] += shared
+            else:
+                members.add((s, a))
+    want, want_members = pairs_by_force(groups)
+    assert members == want_members
+    for s in {s for s, _ in members}:  # in a large group, all are paired with the first
+        own = sorted(groups[s])
+        for n in own[1:]:
+            pairs[own[0], n] -= 1
+    assert +pairs == want and min(pairs.values(), default=0) >= 0
+
+
+def test_frequent_signatures_are_spread():
+    sig = np.array([5] * 100 + [6, 6, 7, -1, -1], np.int64)
+    name = np.arange(105)[::-1].copy()
+    rep = jaccard._spread(sig, name).to_pylist()
+    assert sum(r is not None for r in rep) == 100 - jaccard.FEW - 1
+    assert {r for r in rep if r is not None} == {min(name[:100])} and rep[100:] == [None] * 5
+
+
+def test_names_that_sets_share():
+    u, v = np.array([1, 2, 3], np.uint64), np.array([4, 5], np.uint64)
+    names = jaccard.Names(frozenset({jaccard.name_of(u)}))
+    assert names.both(v)[0] == names.of(v) == jaccard.name_of(v)
+    assert names.both(u)[0] == names.of(u) != jaccard.name_of(u)
+    assert names.both(u)[1] == jaccard.Names().both(u)[1] != jaccard.name_of(u)
+
+
+def test_many_sets_of_one_signature(spark, monkeypatch):
+    """A third of all sets have most words in common: large groups, spread, in several blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = random.Random(9)
+    base = [rng.choice(LETTERS) + str(k) for k in range(120)]
+    rows = []
+    for n in range(240):
+        words = list(base) if n % 3 == 0 else [rng.choice(LETTERS) for _ in range(100)]
+        for _ in range(rng.randrange(4) if n % 3 == 0 else 0):
+            words[rng.randrange(len(words))] = "x" + str(rng.randrange(50))
+        rows.append((n, " ".join(words)))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2))
+    want = components_by_force(rows)
+    assert {r.doc: r.component for r in got.collect()} == want and Counter(want.values())[0] > 40
+
+
+def components_by_force(rows):
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in rows)}
+    top = {d: d for d in sets}
+
+    def root(d):
+        while top[d] != d:
+            d = top[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                top[y] = x
+    return {d: root(d) for d in sets}
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 7, 8, 15, 16, 40, 100, 700])
 def test_similar_sets_share_a_signature(n):
     t, rng = jaccard.Threshold(4, 5), np.random.default_rng(n)
@@ -129,9 +226,53 @@ def test_lines_odd_rows(odd_rows):
     index = lines.LineIndex(odd_rows.sparkSession).insert(odd_rows)
     got = sorted((r.doc or 0, r.text, r.n_lines, r.n_dropped) for r in index.apply(odd_rows).collect())
     same = "same TEXT here now ok"
-    assert got == [(0, "a b", 1, 0), (1, "", 1, 0), (2, "", 1, 0), (4, " \n\t", 2, 0), (5, "", 1, 1), (6, same, 1, 0), (6, same, 1, 0)]
+    # the two rows of id 6 are one document, so the line has two
+    kept = [(5, "Same text here now ok", 1, 0), (6, same, 1, 0), (6, same, 1, 0)]
+    assert got == [(0, "a b", 1, 0), (1, "", 1, 0), (2, "", 1, 0), (4, " \n\t", 2, 0), *kept]
     empty = odd_rows.limit(0)
-    assert lines.LineIndex(odd_rows.sparkSession).insert(empty).apply(empty).collect() == []
+    assert lines.LineIndex(odd_rows.sparkSession).insert_in_batches(empty, 2).apply(empty).collect() == []
+
+
+def test_lines_count_ids(spark):
+    """Ids that come again, in one batch and in later ones: counted once, as the SQL counts them."""
+    import duckdb
+
+    from logmill.llm.queries import ORACLE_SQL
+
+    rng = random.Random(22)
+    pool = [f"A line that many documents hold, number {k}" for k in range(25)]
+    rows = [(rng.randrange(40), "\n".join(rng.sample(pool, 2) + ["own " * 6 + str(n)])) for n in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    batches = [df.filter(f"crc32(encode(text, 'utf-8')) % 3 = {k}") for k in range(3)]
+    index = lines.LineIndex(spark, keys_per_shard=4)
+    for batch in batches:
+        index = index.insert(batch)
+    again = index.delete(df.filter("doc_id < 15").select("doc_id")).insert(df.filter("doc_id < 15"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = {d: (n, dropped) for d, n, dropped in con.execute(
+        f"SELECT doc_id, n_lines, n_dropped FROM ({ORACLE_SQL['op2_line_dedup']})").fetchall()}
+    assert sum(dropped for _, dropped in want.values()) > 10
+    for state in (index, again, lines.LineIndex(spark).insert_in_batches(df, 2), lines.LineIndex(spark).insert(df, keep_log=False)):
+        got = {}
+        for r in state.apply(df).collect():
+            n, dropped = got.get(r.doc, (0, 0))
+            got[r.doc] = (n + r.n_lines, dropped + r.n_dropped)
+        assert got == want
+    with pytest.raises(ValueError, match="comes again"):
+        lines.LineIndex(spark).insert(batches[0], keep_log=False).insert(batches[0])
+
+
+def test_line_filters_are_probed(spark, monkeypatch):
+    """Later batches go through the filters, and only what they may know is looked up."""
+    rows = [(d, f"a line of its own, number {d}\nThe line that all of them have") for d in range(60)]
+    probed = []
+    plain = lines.LineIndex._probed
+    monkeypatch.setattr(lines.LineIndex, "_probed", lambda self, new: probed.append(plain(self, new)) or probed[-1])
+    index = lines.LineIndex(spark).insert_in_batches(spark.createDataFrame(rows, "doc_id long, text string"), 3)
+    assert len(probed) == 2 and index.log is not None
+    assert [p.filter("maybe").count() for p in probed] == [1, 1]
 
 
 def test_cuckoo_filter():
@@ -152,7 +293,7 @@ def test_neighbours_recall_and_odd_vectors(spark):
     rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
     odd = [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16), (1003, [None] * 16), (None, [1.0] * 16), (1004, []), (1020, [1.0, 2.0])]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
-    got = neighbours.nearest(df, df.filter("vec_id % 20 = 0"), block=300, query_block=20).collect()
+    got = neighbours.nearest(df, df.filter("vec_id % 20 = 0"), block=300).collect()
     found = {}
     for r in got:
         found.setdefault(r.query_id, []).append(r.vec_id)
@@ -166,6 +307,23 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("n, block", [(400, 16384), (3000, 1000), (9000, 4000)])
+def test_neighbours_recall_by_size(spark, n, block):
+    vectors = np.random.default_rng(n).standard_normal((n, 24))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    step = n // 40
+    found = {}
+    for r in neighbours.nearest(df, df.filter(f"vec_id % {step} = 0"), block=block).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, own in found.items():
+        score = vectors @ vectors[q]
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & own)
+    assert len(found) == len(range(0, n, step)) and all(len(own) == 20 for own in found.values())
+    assert hits >= 0.9 * 20 * len(found)
+
+
 # -- 4 ---------------------------------------------------------------------------------------
 
 
@@ -207,6 +365,83 @@ def test_quality_counts_and_outliers(spark):
     assert quality.judged(df.limit(0)).collect() == []
 
 
+def mcd_by_force(x, share):
+    """Least determinant over the same starts, with sorted distances."""
+    least = np.array([f[1] for f in quality.FEATURES.values()]) ** 2
+
+    def nth(v, p):
+        return np.sort(v)[max(int(np.ceil(p * len(v))) - 1, 0)]
+
+    def far(c, s):
+        return np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(s + np.diag(least)), x - c)
+
+    def step(c, s):
+        d = far(c, s)
+        near = x[d <= nth(d, share)]
+        return near.mean(0), np.cov(near.T, bias=True)
+
+    def size(s):
+        return np.linalg.slogdet(s + np.diag(least))[1]
+
+    middle = np.array([nth(v, 0.5) for v in x.T])
+    wide = np.array([(nth(v, 0.75) - nth(v, 0.25)) / 1.349 for v in x.T])
+    with np.errstate(all="ignore"):
+        alike = np.nan_to_num(np.corrcoef(np.tanh((x - middle) / np.maximum(wide, least**0.5)).T))
+    np.fill_diagonal(alike, 1)
+    starts = [(middle, np.diag(wide**2)), (x.mean(0), np.cov(x.T, bias=True)), (middle, alike * np.outer(wide, wide))]
+    for _ in range(quality.FIRST_STEPS):
+        starts = [step(*one) for one in starts]
+    best = min(starts, key=lambda one: size(one[1]))
+    assert all(size(best[1]) <= size(s) for _, s in starts)
+    for _ in range(quality.MOST_STEPS):
+        after = step(*best)
+        fall, best = size(best[1]) - size(after[1]), after
+        if fall < quality.FALL:
+            break
+    d = far(*best)
+    return d / max(nth(d, 0.5) / quality.normal_cutoff(0.5), 1)
+
+
+def test_quality_distances(spark):
+    """Distances and verdicts of several groups against numpy, one group with a fifth of outliers,
+    one too small for its own estimate, one too small to be judged."""
+    rng = random.Random(55)
+
+    def text(kind):
+        words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 9) if kind else 4)) for _ in range(rng.randrange(55, 300))]
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(len(words))] += "$" * rng.randrange(3)
+        if kind == 2:
+            words = [w + "#%&$|" for w in words]
+        return " ".join(words) + "\nsame line\nsame line" * rng.randrange(3)
+
+    rows = [(n, text(2 if n % 5 == 0 else 1), "en", "web") for n in range(200)]
+    rows += [(200 + n, text(1), "de", "web") for n in range(70)] + [(300 + n, text(0), "de", "book") for n in range(30)]
+    rows += [(400 + n, text(1), None, None) for n in range(19)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = {r.doc: r for r in quality.judged(df).collect()}
+    groups = {"en web": range(200), "de web": range(200, 270), "de": [*range(300, 330)], "none": range(400, 419)}
+    lines_of = {n: len([x for x in t.split("\n") if x.strip()]) for n, t, *_ in rows}
+    for name, ids in groups.items():
+        own = [got[n] for n in ids]
+        assert not any(r.base_failed for r in own)
+        x = np.array([
+            [np.log(r.n_words + 1), r.word_chars / r.n_words, np.log(1 + 100 * r.n_symbols / r.word_chars),
+             r.n_dup_lines / lines_of[r.doc], r.n_repeat_words / r.n_words] for r in own
+        ])
+        want = np.zeros(len(own)) if name == "none" else mcd_by_force(x, 0.75)
+        assert [r.distance for r in own] == pytest.approx(want.tolist(), rel=1e-6, abs=1e-9), name
+        assert [r.kept for r in own] == (want <= quality.normal_cutoff(1e-11)).tolist()
+    assert not any(got[n].kept for n in range(0, 200, 5)) and sum(got[n].kept for n in range(200)) >= 158
+
+
+def test_normal_cutoff():
+    """Quantiles of chi-square with five degrees, from tables."""
+    for tail, want in ((0.5, 4.3515), (0.05, 11.0705), (0.001, 20.515)):
+        assert quality.normal_cutoff(tail) == pytest.approx(want, abs=1e-3)
+    assert 59 < quality.normal_cutoff(1e-11) < 62
+
+
 def test_licenses(spark):
     rows = [
         (1, None, (0, 0, None, None, "", "")),
@@ -389,6 +624,25 @@ def test_pipeline(spark, tmp_path):
     assert "same line" not in left[5]
 
 
+def test_passages_of_over_fifty_words(spark, tmp_path):
+    """The shortest that the stage has to find: 51 words in documents that have little else in common."""
+    from logmill.llm import stages
+
+    rng = random.Random(51)
+
+    def prose(n, letters="klmnopqrst"):
+        return " ".join("".join(rng.choices(letters, k=rng.choice([3, 4, 4, 5]))) for _ in range(n))
+
+    shared = [prose(51, "abcdefgh") for _ in range(3)]
+    rows = [(d, f"{prose(70)} {shared[d % 3]} {prose(70)}") for d in range(6)] + [(10 + d, prose(90)) for d in range(4)]
+    rows.append((20, f"{prose(20)} {shared[0][:200]} {prose(20)}"))  # no passage of over 50 words
+    assert all(stages.PASSAGE <= len(x) < 300 for x in shared)
+    df = spark.createDataFrame([(d, t, len(t)) for d, t in rows], "doc_id long, text string, n_chars long")
+    left = {r.doc_id: r.text for r in stages.repeated_passages(spark, df, str(tmp_path)).collect()}
+    assert not any(x[5:-5] in left[d] for d in range(6) for x in shared)
+    assert all(left[d] == t for d, t in rows if d >= 10)
+
+
 def test_documents_without_id(spark, tmp_path):
     import corpus_pipeline
     from logmill.llm import stages
