@@ -210,6 +210,12 @@ def _report_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _totals(spark, report(spark, out, name))
 
 
+def _top_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest request per hour of a table of runs, from those that each run has kept."""
+    out, name = _table_of_runs(spark, sf_dir)
+    return report(spark, out, name)["top_bytes_by_hour"]
+
+
 def _totals(spark: SparkSession, outputs) -> DataFrame:
     totals = {name: outputs[name] for name in ("total_records", "total_errors", "total_mb")}
     return spark.sql("SELECT " + ", ".join(f"(SELECT * FROM {{{name}}}) AS {name}" for name in totals), **totals)
@@ -329,6 +335,7 @@ def _own_queries() -> dict[str, Query]:
         "table_by_runs": _table_by_runs,
         "joined_by_host": _joined_by_host,
         "report_of_runs": _report_of_runs,
+        "top_of_runs": _top_of_runs,
         # parse, clean, join
         "parse_log": lambda spark, sf_dir: parse(standin.log_lines(spark, sf_dir)),
         "clean_log": _cleaned,
@@ -403,6 +410,7 @@ def _own_sql() -> dict[str, str]:
         "table_by_runs": all_joined,
         "joined_by_host": all_joined,
         "report_of_runs": totals,
+        "top_of_runs": top,
         "report_describe": described,
         "report_mb_by_hour": by_hour,
         "report_mb_by_status": by_status,

@@ -74,23 +74,47 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("row_number", first).filter(F.col("row_number") <= n).drop("row_number")
 
 
-def top_bytes_by_hour(df: DataFrame) -> DataFrame:
-    """The largest request of each hour of day: hour, host name, kilobytes.
+TOP_SCHEMA = "hour int, bytes bigint, datetime timestamp_ntz, request string, host string, hostname string"
+
+
+def top_rows_by_hour(df: DataFrame, *keys: str) -> DataFrame:
+    """The largest request of each hour of day, for each of ``keys``: ``TOP_SCHEMA`` and these.
 
-    Equal sizes go to the earliest request, then by request, host and host name.
-    The largest size of each hour is a hash aggregate; its rows, a few per hour, are then
-    found by a join with at most 25 rows, and only ties are ordered. The records are not
-    sorted. ``top_n_per_group`` is the way for more than one row.
+    Equal sizes go to the earliest request, then by request, host and host name. The largest size
+    of each hour is a hash aggregate; its rows, a few per hour, are then found by a join with the
+    few sizes, and only ties are ordered. The records are not sorted. Without ``keys`` the sizes
+    are 25 at most. The top rows of parts of a table, put together, have the table's top rows.
     """
-    rows = df.select(F.hour("datetime").alias("hour"), "bytes", "datetime", "request", "host", "hostname")
-    most = rows.groupBy(F.col("hour").alias("top_hour")).agg(F.max("bytes").alias("most"))
-    same = F.col("hour").eqNullSafe(F.col("top_hour")) & F.col("bytes").eqNullSafe(F.col("most"))
+    rows = df.select(F.hour("datetime").alias("hour"), "bytes", "datetime", "request", "host", "hostname", *keys)
+    return _tops(rows, *keys)
+
+
+def _tops(rows: DataFrame, *keys: str) -> DataFrame:
+    groups = ["hour", *keys]
+    most = rows.groupBy(*[F.col(k).alias(f"top_{k}") for k in groups]).agg(F.max("bytes").alias("most"))
+    same = F.col("bytes").eqNullSafe(F.col("most"))
+    for k in groups:
+        same &= F.col(k).eqNullSafe(F.col(f"top_{k}"))
     tie = F.struct("datetime", "request", "host", "hostname")
-    first = rows.join(F.broadcast(most), same).groupBy("hour", "bytes").agg(F.min(tie).alias("first"))
-    return first.orderBy(F.col("hour").asc_nulls_last()).select(
-        hour_of_day(F.col("hour")).alias("dt"),
-        F.col("first.hostname").alias("hostname"),
-        (F.col("bytes") / 1000).alias("KB"),
+    found = rows.join(most if keys else F.broadcast(most), same)
+    first = found.groupBy(*groups, "bytes").agg(F.min(tie).alias("first"))
+    return first.select("hour", "bytes", "first.*", *keys)
+
+
+def top_bytes_by_hour(df: DataFrame) -> DataFrame:
+    """The largest request of each hour of day: hour, host name, kilobytes, in order of the hour.
+    ``top_n_per_group`` is the way for more than one row."""
+    return _ordered_tops(top_rows_by_hour(df))
+
+
+def top_from_tops(tops: DataFrame) -> DataFrame:
+    """As ``top_bytes_by_hour``, of a table whose parts have these top rows."""
+    return _ordered_tops(_tops(tops))
+
+
+def _ordered_tops(tops: DataFrame) -> DataFrame:
+    return tops.orderBy(F.col("hour").asc_nulls_last()).select(
+        hour_of_day(F.col("hour")).alias("dt"), "hostname", (F.col("bytes") / 1000).alias("KB")
     )
 
 

@@ -39,12 +39,12 @@ def report(spark: SparkSession, errors_location: str, table: str = "joined_log_t
 
     Totals share one pass over the table: it is reduced to its few cells per
     status, method and hour first, and those are stored. A table that grows by runs
-    has its cells already; totals then read them only. Each output runs only
+    has its cells and largest requests already; these outputs then read them only. Each output runs only
     the jobs that it needs, and only when it is asked for. ``errors_location`` is a
     folder of rejected lines or a lake.
     """
     log = cache(lambda: spark.table(table))
-    kept = cache(lambda: RunTable(spark, table).cells())
+    kept, tops = cache(lambda: RunTable(spark, table).cells()), cache(lambda: RunTable(spark, table).tops())
     cells = cache(lambda: materialize(traffic.traffic_cells(log()), "cells")[0] if kept() is None else kept())
 
     def errors() -> DataFrame:
@@ -59,7 +59,7 @@ def report(spark: SparkSession, errors_location: str, table: str = "joined_log_t
             "mb_by_hour": lambda: traffic.mb_by_hour_from_cells(cells()),
             "mb_by_status": lambda: traffic.mb_by_from_cells(cells(), "status"),
             "mb_by_method": lambda: traffic.mb_by_from_cells(cells(), "method"),
-            "top_bytes_by_hour": lambda: traffic.top_bytes_by_hour(log()),
+            "top_bytes_by_hour": lambda: traffic.top_bytes_by_hour(log()) if tops() is None else traffic.top_from_tops(tops()),
             "moving_avg": lambda: moving_avg_per_record(log()),
         }
     )

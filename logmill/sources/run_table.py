@@ -8,8 +8,9 @@ before leaves files that nothing refers to, and one that is repeated finds its r
 The host names that a table was joined to are known by a hash of the whole list. When it differs,
 all runs are joined again into a new table, and the view is put on that one: again one step.
 
-Beside the records, each run's traffic cells (``traffic.traffic_cells``) are kept the same way.
-They add up, so totals of the table are sums over the cells of its runs.
+Beside the records, each run's traffic cells and its largest requests per hour (``traffic.traffic_cells``,
+``traffic.top_rows_by_hour``) are kept the same way. Cells add up, so totals of the table are sums over
+the cells of its runs, and its largest requests are among those of its runs.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmill.operators.traffic import CELL_SCHEMA, traffic_cells
+from logmill.operators.traffic import CELL_SCHEMA, TOP_SCHEMA, top_rows_by_hour, traffic_cells
 from logmill.schema import JOINED_COLUMNS, JOINED_SCHEMA
 from logmill.sources.runs import RUN, Runs
 from logmill.sources.store import Store
 from logmill.sources.warehouse import quoted
 
-_ROWS, _CELLS, _NAMES = "logmill.rows", "logmill.cells", "logmill.names"
+_ROWS, _CELLS, _TOPS, _NAMES = "logmill.rows", "logmill.cells", "logmill.tops", "logmill.names"
+#: The tables behind the view. A partition of the first is a run's commit, so it comes last.
+_TABLES = {_ROWS: JOINED_SCHEMA, _CELLS: CELL_SCHEMA, _TOPS: TOP_SCHEMA}
 
 
 def names_hash(names: DataFrame) -> str:
@@ -52,8 +55,8 @@ class RunTable:
         if not self.spark.catalog.tableExists(self.name):
             return None
         found = self.spark.sql(f"SHOW TBLPROPERTIES {quoted(self.name)}").collect()
-        told = {r["key"]: r["value"] for r in found if r["key"] in (_ROWS, _CELLS, _NAMES)}
-        return told if len(told) == 3 else None
+        told = {r["key"]: r["value"] for r in found if r["key"] in (*_TABLES, _NAMES)}
+        return told if len(told) == len(_TABLES) + 1 else None
 
     def loaded(self, table: str) -> set[str]:
         """The run folders that a table behind the view holds."""
@@ -89,18 +92,19 @@ class RunTable:
         joined.write.partitionBy(RUN).parquet(f"{place}/rows")
         rows = self.spark.read.schema(f"{JOINED_SCHEMA}, {RUN} string").parquet(f"{place}/rows")
         traffic_cells(rows, RUN).write.partitionBy(RUN).parquet(f"{place}/cells")
-        for kind, table in (("cells", state[_CELLS]), ("rows", state[_ROWS])):  # the rows' partitions are the commit
-            parts = []
+        top_rows_by_hour(rows, RUN).write.partitionBy(RUN).parquet(f"{place}/tops")
+        for key in reversed(_TABLES):
+            parts, table = [], state[key]
             for folder in folders:
-                own = f"{place}/{kind}/{RUN}={folder}"
+                own = f"{place}/{key.rpartition('.')[2]}/{RUN}={folder}"
                 Store(self.spark, own).make_folder(own)  # a run without records has none
                 parts.append(f"PARTITION ({RUN} = '{folder}') LOCATION '{_text(own)}'")
             self.spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {' '.join(parts)}")
 
     def _new_tables(self, hash_: str) -> dict[str, str]:
         own = uuid4().hex
-        names = {_ROWS: f"{self.name}_rows_{own}", _CELLS: f"{self.name}_cells_{own}"}
-        for key, schema in ((_ROWS, JOINED_SCHEMA), (_CELLS, CELL_SCHEMA)):
+        names = {key: f"{self.name}_{key.rpartition('.')[2]}_{own}" for key in _TABLES}
+        for key, schema in _TABLES.items():
             self.spark.sql(
                 f"CREATE TABLE {quoted(names[key])} ({schema}, {RUN} STRING) USING parquet PARTITIONED BY ({RUN}) "
                 f"LOCATION '{_text(f'{self.path}/{names[key]}')}'"
@@ -116,17 +120,24 @@ class RunTable:
             f"CREATE OR REPLACE VIEW {quoted(self.name)} TBLPROPERTIES ({told}) "
             f"AS SELECT {columns} FROM {quoted(state[_ROWS])}"
         )
-        for key in (_ROWS, _CELLS) if old else ():
+        for key in _TABLES if old else ():
             self.spark.sql(f"DROP TABLE IF EXISTS {quoted(old[key])}")
 
     def cells(self) -> DataFrame | None:
         """The traffic cells of the runs that the table has; None if it is no table of runs."""
+        return self._kept(_CELLS)
+
+    def tops(self) -> DataFrame | None:
+        """The largest requests per hour of the runs that the table has; None as ``cells``."""
+        return self._kept(_TOPS)
+
+    def _kept(self, key: str) -> DataFrame | None:
         state = self.state()
         if state is None:
             return None
         have = self.spark.sql(f"SHOW PARTITIONS {quoted(state[_ROWS])}")
         have = have.select(F.substring_index("partition", "=", -1).alias(RUN))
-        return self.spark.table(state[_CELLS]).join(have, RUN, "left_semi").drop(RUN)
+        return self.spark.table(state[key]).join(have, RUN, "left_semi").drop(RUN)
 
 
 def _text(path: str) -> str:
