@@ -31,6 +31,8 @@ _ROWS, _CELLS, _TOPS, _NAMES = "logmill.rows", "logmill.cells", "logmill.tops",
 #: The tables behind the view. A partition of the first is a run's commit, so it comes last.
 _TABLES = {_ROWS: JOINED_SCHEMA, _CELLS: CELL_SCHEMA, _TOPS: TOP_SCHEMA}
 
+_AT_ONCE = 200  # partitions added by one statement
+
 
 def names_hash(names: DataFrame) -> str:
     """A hash of a host name list that doesn't depend on the order of its rows, but on their number."""
@@ -88,18 +90,24 @@ class RunTable:
         return {"joined": len(pending), "runs": len(have) + len(pending)}
 
     def _load(self, state: dict, folders: list[str], joined: DataFrame) -> None:
-        place = f"{self.path}/load-{uuid4().hex}"
+        place = f"{self._generation(state)}/load-{uuid4().hex}"
         joined.write.partitionBy(RUN).parquet(f"{place}/rows")
         rows = self.spark.read.schema(f"{JOINED_SCHEMA}, {RUN} string").parquet(f"{place}/rows")
         traffic_cells(rows, RUN).write.partitionBy(RUN).parquet(f"{place}/cells")
         top_rows_by_hour(rows, RUN).write.partitionBy(RUN).parquet(f"{place}/tops")
         for key in reversed(_TABLES):
-            parts, table = [], state[key]
+            parts = []
             for folder in folders:
                 own = f"{place}/{key.rpartition('.')[2]}/{RUN}={folder}"
                 Store(self.spark, own).make_folder(own)  # a run without records has none
                 parts.append(f"PARTITION ({RUN} = '{folder}') LOCATION '{_text(own)}'")
-            self.spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {' '.join(parts)}")
+            for at in range(0, len(parts), _AT_ONCE):
+                some = " ".join(parts[at : at + _AT_ONCE])
+                self.spark.sql(f"ALTER TABLE {quoted(state[key])} ADD IF NOT EXISTS {some}")
+
+    def _generation(self, state: dict[str, str]) -> str:
+        """Folder of all loads into the tables that are behind the view, until it is put on others."""
+        return f"{self.path}/{state[_ROWS]}"
 
     def _new_tables(self, hash_: str) -> dict[str, str]:
         own = uuid4().hex
@@ -107,12 +115,12 @@ class RunTable:
         for key, schema in _TABLES.items():
             self.spark.sql(
                 f"CREATE TABLE {quoted(names[key])} ({schema}, {RUN} STRING) USING parquet PARTITIONED BY ({RUN}) "
-                f"LOCATION '{_text(f'{self.path}/{names[key]}')}'"
+                f"LOCATION '{_text(f'{self._generation(names)}/{names[key]}')}'"
             )
         return names | {_NAMES: hash_}
 
     def _exchange(self, state: dict[str, str]) -> None:
-        """Put the view on new tables and drop those that it was on."""
+        """Put the view on new tables and drop those that it was on, with their files."""
         old = self.state()
         told = ", ".join(f"'{k}' = '{v}'" for k, v in state.items())
         columns = ", ".join(JOINED_COLUMNS)
@@ -122,6 +130,8 @@ class RunTable:
         )
         for key in _TABLES if old else ():
             self.spark.sql(f"DROP TABLE IF EXISTS {quoted(old[key])}")
+        if old:
+            Store(self.spark, self.path).delete(self._generation(old))
 
     def cells(self) -> DataFrame | None:
         """The traffic cells of the runs that the table has; None if it is no table of runs."""

@@ -51,7 +51,8 @@ def test_runs_equal_one_rebuild(spark, place):
     assert [r["col_name"] for r in report(spark, f"{place}/errors", TABLE)["describe"].collect()] == spark.table(TABLE).columns
 
 
-def test_new_names_rebuild(spark, place):
+def test_new_names_rebuild(spark, place, monkeypatch):
+    monkeypatch.setattr("logmill.sources.run_table._AT_ONCE", 1)
     run(spark, place, GOOD[:20], "one")
     before = RunTable(spark, TABLE).state()
     with open(f"{place}/names.csv", "a") as names:
@@ -61,6 +62,7 @@ def test_new_names_rebuild(spark, place):
     after = RunTable(spark, TABLE).state()
     assert after["logmill.rows"] != before["logmill.rows"]
     assert not spark.catalog.tableExists(before["logmill.rows"])
+    assert [p.name for p in (place / "table").iterdir()] == [after["logmill.rows"]]  # the old files are gone
 
 
 @pytest.mark.parametrize("step", ["_exchange", "sql"])
