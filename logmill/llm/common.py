@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from logmill.functions.scratch import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "id_and_text", "key_of", "any_without_id", "batched", "rows_of", "utf8"]
+__all__ = ["materialize", "scratch_path", "table", "id_and_text", "key_of", "any_without_id", "batched", "visited", "rows_of", "utf8"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,61 @@ def by_group(df: DataFrame, keys: list[str], schema: str, each: Callable[[pa.Tab
     return batched(df.repartition(*keys).sortWithinPartitions(*keys), schema, make, ends=True)
 
 
+def visited(
+    blocks: DataFrame,
+    visits: DataFrame,
+    keys: list[str],
+    schema: str,
+    resident: Callable[[tuple, pa.Table], object],
+    each: Callable[[object, dict], list[tuple]],
+) -> DataFrame:
+    """``each(block, visit)`` gives rows of ``schema`` for every row of ``visits``, which names its
+    block by ``keys``; ``resident(key, rows)`` makes a block of its rows in ``blocks``.
+
+    A block's rows come to one task, and its visits stream past: a task holds one block and one
+    batch. Both sides have each other's columns by name, as far as they have them.
+    """
+    extra = [f for f in visits.schema if f.name not in blocks.columns]
+    held = blocks.select("*", F.lit(0).alias("_visit"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    lacking = [f for f in blocks.schema if f.name not in visits.columns]
+    came = visits.select("*", F.lit(1).alias("_visit"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in lacking])
+    names = [f.split()[0] for f in schema.split(", ")]
+    columns = [c for c in blocks.columns if c not in keys]
+
+    def make():
+        key, rows, block = None, [], None
+
+        def run(batch):
+            nonlocal key, rows, block
+            if batch is None:
+                return
+            t = pa.Table.from_batches([batch])
+            own = list(zip(*[t[c].to_pylist() for c in keys]))
+            visit = t["_visit"].to_numpy()
+            cuts = [0, *[n for n in range(1, len(own)) if own[n] != own[n - 1] or visit[n] != visit[n - 1]], len(own)]
+            for a, b in zip(cuts, cuts[1:]):
+                if own[a] != key:
+                    key, rows, block = own[a], [], None
+                part = t.slice(a, b - a)
+                if not visit[a]:
+                    rows.append(part.select(columns))
+                    continue
+                if block is None:
+                    if not rows:
+                        continue  # a visit to no block
+                    block, rows = resident(key, pa.concat_tables(rows)), []
+                for at in range(0, b - a, 1024):
+                    found = [x for one in part.slice(at, 1024).to_pylist() for x in each(block, one)]
+                    if found:
+                        yield dict(zip(names, map(list, zip(*found))))
+
+        return run
+
+    usual = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = held.unionByName(came).repartition(usual, *keys).sortWithinPartitions(*keys, "_visit")
+    return batched(dealt, schema, make, ends=True)
+
+
 def rows_of(batch: pa.RecordBatch, size: int = 256) -> Iterator[pa.RecordBatch]:
     """Slices of a batch, so that what a task holds besides its input stays small."""
     for at in range(0, batch.num_rows, size):

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logmill.llm.common import batched, materialize, table
+from logmill.llm.common import batched, materialize, table, visited
 
 DIRECTIONS = 16
 #: Rows, by hash of their id, from which the directions are taken. Results don't depend on them.
@@ -206,48 +206,13 @@ class Block:
 
 
 def _visit(index: DataFrame, visits: DataFrame, schema: str, width: str, exact: bool, each_anchor) -> DataFrame:
-    """``each_anchor(block, anchor)`` gives rows of ``schema`` for every visit of an anchor to a block.
+    """``each_anchor(block, anchor)`` gives rows of ``schema`` for every visit of an anchor to a block."""
 
-    Sorted by block, its rows first, a partition streams: a task holds one block and one batch.
-    """
-    extra = [f for f in visits.schema if f.name not in index.columns]
-    held = index.select("*", F.lit(0).alias("visit"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    both = held.unionByName(visits.withColumn("visit", F.lit(1)))
-    names = [f.split()[0] for f in schema.split(", ")]
-
-    def make():
-        key, rows, block = None, [], None
-
-        def each(batch):
-            nonlocal key, rows, block
-            if batch is None:
-                return
-            t = pa.Table.from_batches([batch])
-            keys = list(zip(*[t[c].to_pylist() for c in _BLOCK]))
-            visit = t["visit"].to_numpy()
-            cuts = [0, *[n for n in range(1, len(keys)) if keys[n] != keys[n - 1] or visit[n] != visit[n - 1]], len(keys)]
-            for a, b in zip(cuts, cuts[1:]):
-                if keys[a] != key:
-                    key, rows, block = keys[a], [], None
-                part = t.slice(a, b - a)
-                if not visit[a]:
-                    rows.append(part.select(["id", "label", "norm", "angles", "vector"]))
-                    continue
-                if block is None:
-                    block, rows = Block(key[1], pa.concat_tables(rows), width, exact), []
-                for at in range(0, b - a, 1024):
-                    found = []
-                    for anchor in part.slice(at, 1024).to_pylist():
-                        anchor["angles"] = np.array(anchor["angles"], np.float64)
-                        found += [(anchor["row"], anchor["id"], *f) for f in each_anchor(block, anchor)]
-                    if found:
-                        yield dict(zip(names, map(list, zip(*found))))
-
-        return each
+    def each(block: Block, anchor: dict) -> list[tuple]:
+        anchor["angles"] = np.array(anchor["angles"], np.float64)
+        return [(anchor["row"], anchor["id"], *found) for found in each_anchor(block, anchor)]
 
-    usual = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = both.repartition(usual, *_BLOCK).sortWithinPartitions(*_BLOCK, "visit")
-    return batched(dealt, schema, make, ends=True)
+    return visited(index, visits, _BLOCK, schema, lambda key, rows: Block(key[1], rows, width, exact), each)
 
 
 # -- all of them -----------------------------------------------------------------------------

@@ -11,17 +11,18 @@ makes too few collisions unlikely.
 The largest inner product becomes the least distance by one more coordinate, which brings all
 vectors to the length of the longest, and by stretching the query to the same length.
 
-All vectors are indexed, none is dropped. Queries meet blocks of vectors in blocks of queries.
+All vectors are indexed, none is dropped. A block's index is built once, by the task that holds
+the block, and all queries stream past it.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logmill.llm.common import materialize, table
+from logmill.llm.common import materialize, table, visited
 
 LINES = 96
 COLLISIONS = 42
@@ -34,6 +35,8 @@ class Index:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, lines: int = LINES, seed: int = 7):
         self.ids, self.vectors, self.longest = ids, vectors, longest
+        self.rank = np.empty(len(ids), np.int64)  # order of ids, for ties
+        self.rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
         rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(1), 0))
         directions = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, lines))
         self.directions = directions
@@ -82,7 +85,7 @@ class Index:
                 break
             half *= widen
         found = np.flatnonzero(np.isfinite(score))
-        found = found[np.lexsort((self.ids[found], -score[found]))[:k]]
+        found = found[np.lexsort((self.rank[found], -score[found]))[:k]]
         return self.ids[found], score[found]
 
     def _places(self, values: np.ndarray, side: str) -> np.ndarray:
@@ -105,7 +108,6 @@ def nearest(
     reach: float = REACH,
     widen: float = WIDEN,
     block: int = 16384,
-    query_block: int = 4096,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` its ``k`` nearest rows of
     ``df`` by inner product, in double precision, ties to the smaller id.
@@ -116,33 +118,26 @@ def nearest(
     of equal ids with different vectors, each does. Fewer candidates than ``k`` are all found.
     """
     data, told = materialize(_clean(df, id_col, vector_col), "vectors", F.max("norm").alias("longest"), F.count("*").alias("n"))
-    asked, seen = materialize(_clean(queries, id_col, vector_col), "queries", F.count("*").alias("n"))
+    asked, _ = materialize(_clean(queries, id_col, vector_col), "queries")
     longest = told["longest"] or 1.0
-    blocks, parts = max(1, -(-told["n"] // block)), max(1, -(-seen["n"] // query_block))
-
-    def dealt(frame: DataFrame, own: int, other: int, names: tuple[str, str], query: bool) -> DataFrame:
-        key = F.pmod(F.xxhash64("id", "vector"), F.lit(own)).cast("int").alias(names[0])
-        every = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(names[1])
-        return frame.select("size", key, every, "id", "vector", F.lit(query).alias("query"))
+    blocks = max(1, -(-told["n"] // block))
+    kind = data.schema["id"].dataType.simpleString()
 
-    both = dealt(data, blocks, parts, ("block", "part"), False).unionByName(
-        dealt(asked, parts, blocks, ("part", "block"), True)
-    )
+    def build(_, rows: pa.Table) -> Index:
+        vectors = rows["vector"].combine_chunks()
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
+        return Index(np.array(rows["id"].to_pylist(), object), flat, longest, lines)
 
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
-        is_query = frame["query"].to_numpy()
-        ids = frame["id"].to_numpy()
-        out = []
-        if is_query.any() and not is_query.all():
-            vectors = np.stack(frame["vector"].to_numpy()).astype(np.float64)
-            index = Index(ids[~is_query], vectors[~is_query], longest, lines)
-            for own, vector in zip(ids[is_query], vectors[is_query]):
-                found, score = index.search(own, vector, k, collisions, reach, widen)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    def search(index: Index, query: dict) -> list[tuple]:
+        found, score = index.search(query["id"], np.array(query["vector"]), k, collisions, reach, widen)
+        return [(query["id"], i, s) for i, s in zip(found.tolist(), score.tolist())]
 
-    kind = data.schema["id"].dataType.simpleString()
-    found = both.groupBy("size", "block", "part").applyInPandas(search, f"query_id {kind}, vec_id {kind}, score double")
+    own = F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).cast("int").alias("block")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    found = visited(
+        data.select("size", own, "id", "vector"), asked.select("size", every, "id", "vector"), ["size", "block"],
+        f"query_id {kind}, vec_id {kind}, score double", build, search,
+    )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
