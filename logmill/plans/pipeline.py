@@ -72,7 +72,7 @@ class LogPipeline:
         self.on_changed = on_changed
         self.buckets = buckets
         self.runs = Runs(spark, self.output_location)
-        self._folder = self.runs.new_folder(self.run)
+        self._listing = self.runs.new_folder(self.run)
         self.files: DataFrame | None = None
         self.unread: list[str] = []
         self.hostname_csv: str | None = None
@@ -102,7 +102,7 @@ class LogPipeline:
         found = listed.files
         if self.new_files_only:
             found = new_files(found, self.runs.seen_files(), self.on_changed)
-        self.files, self.unread = self.runs.write_files(found, self._folder), listed.unread
+        self.files, self.unread = self.runs.write_files(found, self._listing), listed.unread
         paths = [r["path"] for r in self.files.select("path").collect()]
         return self.extract_lines(read_files(self.spark, paths, partitions), hostname_csv)
 
@@ -125,6 +125,7 @@ class LogPipeline:
         One pass over the log files: good records and rejects go to two folders of one write, in
         a folder of this attempt. A reject keeps its line in ``user_agent``, so both have the
         lake's schema. The run counts once it is committed, and only one attempt at it can be.
+        A run of new files is not committed if another one has read one of them meanwhile.
         """
         if self.records is None:
             raise ValueError("nothing to load: call extract_log first")
@@ -147,9 +148,14 @@ class LogPipeline:
         fields = [F.when(F.col("good"), F.col(c)).alias(c) for c in names]
         line = F.when(F.col("good"), F.col("user_agent")).otherwise(F.col("value")).alias("user_agent")
         by = lake_fields(self.partition_field)
-        write_outcomes(marked.select(outcome, *fields, line), self.runs.place(self._folder), by)
-        files = self.files.count() if self.files is not None else 0
-        return self.runs.commit(self.run, self._folder, **seen.get, files=files, fields=by, unread=self.unread, replaces=[])
+        folder = self.runs.new_folder(self.run)
+        write_outcomes(marked.select(outcome, *fields, line), self.runs.place(folder), by)
+        if self.new_files_only and self.files is not None:
+            twice = self.files.join(self.runs.seen_files(), ["path", "modified", "length"], "left_semi")
+            if not twice.isEmpty():
+                raise RuntimeError(f"another run has read the same files in the meantime: {twice.first()['path']}")
+        listing = self._listing if self.files is not None else None
+        return self.runs.commit(self.run, folder, **seen.get, listing=listing, fields=by, unread=self.unread, replaces=[])
 
     def _export(self, folder: str) -> None:
         """The run's rejects as text, unless they are there whole."""

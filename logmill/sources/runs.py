@@ -36,7 +36,7 @@ from logmill.sources.store import Store
 
 OUTCOME, RECORDS, REJECTS, RUN = "outcome", "log", "reject", "run"
 MARKER_SCHEMA = (
-    "run string, folder string, committed string, records bigint, rejects bigint, files bigint, "
+    "run string, folder string, committed string, records bigint, rejects bigint, listing string, "
     "fields array<string>, unread array<string>, replaces array<string>"
 )
 _SMALL = 0.5  # of the wanted size: files that are this small on average are rewritten
@@ -71,9 +71,9 @@ class Runs:
     def place(self, folder: str) -> str:
         return f"{self.path}/{RUN}={folder}"
 
-    def write_files(self, files: DataFrame, folder: str) -> DataFrame:
+    def write_files(self, files: DataFrame, listing: str) -> DataFrame:
         """Keep the list of files that a run is to read, and return it as it is kept."""
-        place = f"{self.path}/_runs/files/{folder}"
+        place = f"{self.path}/_runs/files/{listing}"
         files.write.parquet(place)
         return self.spark.read.schema(FILES_SCHEMA).parquet(place)
 
@@ -128,7 +128,7 @@ class Runs:
 
     def seen_files(self) -> DataFrame:
         """The files that committed runs have read."""
-        read = [f"{self.path}/_runs/files/{m['folder']}" for m in self.markers() if m["files"]]
+        read = [f"{self.path}/_runs/files/{m['listing']}" for m in self.markers() if m["listing"]]
         if not read:
             return self.spark.createDataFrame([], FILES_SCHEMA)
         return self.spark.read.schema(FILES_SCHEMA).parquet(*read)
@@ -190,19 +190,19 @@ class Runs:
             rows = rows.hint("rebalance", *fields) if fields else rows
             rows.drop(RUN).write.partitionBy(OUTCOME, *fields).parquet(self.place(folder))
         told = {k: sum(m[k] for m in small) for k in ("records", "rejects")}
-        return self.commit(run, folder, **told, files=0, fields=fields, unread=[], replaces=[m["folder"] for m in small])
+        return self.commit(run, folder, **told, listing=None, fields=fields, unread=[], replaces=[m["folder"] for m in small])
 
     def clean_up(self, older_than_hours: float = 24.0) -> list[str]:
         """Delete folders that don't count (of killed or replaced runs) and haven't changed for so long."""
         live = {m["folder"] for m in self.live()}
-        committed = {m["folder"] for m in self.markers()}
+        listings = {m["listing"] for m in self.markers()}
         before = (datetime.now(timezone.utc).timestamp() - 3600 * older_than_hours) * 1000
         gone = []
         for name, changed in self.store.folders(self.path):
             if name.startswith(f"{RUN}=") and name[len(RUN) + 1 :] not in live and changed <= before:
                 gone.append(f"{self.path}/{name}")
         for name, changed in self.store.folders(f"{self.path}/_runs/files"):
-            if name not in committed and changed <= before:
+            if name not in listings and changed <= before:
                 gone.append(f"{self.path}/_runs/files/{name}")
         for place in gone:
             self.store.delete(place)

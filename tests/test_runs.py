@@ -67,7 +67,7 @@ def test_one_attempt_counts(spark, tmp_path):
     """Several attempts that have all written: one commits, the others get its marker."""
     runs, got = Runs(spark, f"{tmp_path}/output"), []
     folders = [runs.new_folder("same") for _ in range(6)]
-    told = {"records": 0, "rejects": 0, "files": 0, "fields": [], "unread": [], "replaces": []}
+    told = {"records": 0, "rejects": 0, "listing": None, "fields": [], "unread": [], "replaces": []}
     threads = [threading.Thread(target=lambda f=f: got.append(runs.commit("same", f, **told)["folder"])) for f in folders[1:]]
     first = runs.commit("same", folders[0], **told)["folder"]
     for t in threads:
@@ -135,6 +135,26 @@ def test_names_that_look_like_patterns(spark, tmp_path, logs):
     assert requests(spark, tmp_path) == wanted(GOOD[:18] + GOOD[30:37])
 
 
+def test_runs_that_overlap(spark, tmp_path, logs):
+    """Two runs list the same new files: one of them is committed."""
+    slow = make(spark, tmp_path, new_files_only=True).extract_log(f"{tmp_path}/logs", "*.log", None).clean_log_record()
+    assert run_new(spark, tmp_path).counts["records"] == 18
+    with pytest.raises(RuntimeError, match="another run"):
+        slow.load_to_data_lake()
+    assert requests(spark, tmp_path) == wanted(GOOD[:18])
+
+
+def test_a_load_that_is_tried_again(spark, tmp_path, monkeypatch):
+    """The same pipeline object after a failed commit: what the first try wrote isn't in the way."""
+    pipe = make(spark, tmp_path, run="one").extract_lines(spark.createDataFrame([(v,) for v in GOOD], "value string")).clean_log_record()
+    with monkeypatch.context() as m:
+        m.setattr(Runs, "commit", dies)
+        with pytest.raises(KeyboardInterrupt):
+            pipe.load_to_data_lake()
+    assert pipe.load_to_data_lake().counts["records"] == 40
+    assert requests(spark, tmp_path) == wanted(GOOD)
+
+
 def test_changed_files(spark, tmp_path, logs):
     run_new(spark, tmp_path)
     path = logs("a.log", GOOD[:12])
@@ -195,7 +215,7 @@ def test_compaction(spark, tmp_path, monkeypatch, fields):
     assert runs.sizes()[marker["folder"]][0] <= (2 if not fields else 4)
     assert runs.compact(1) is None  # nothing is small any more
     # a rewrite of folders that another one has replaced is void
-    late = {k: marker[k] for k in ("records", "rejects", "files", "fields", "unread", "replaces")}
+    late = {k: marker[k] for k in ("records", "rejects", "listing", "fields", "unread", "replaces")}
     runs.commit("compact-late", runs.new_folder("compact-late"), **late)
     assert [m["folder"] for m in runs.live()] == [marker["folder"]]
     # a repeated run is still known
