@@ -31,8 +31,8 @@ SAMPLE = 2048
 MOST_BLOCK_ROWS, LEAST_BLOCK_ROWS, USUAL_BLOCKS = 1 << 16, 1 << 11, 64
 #: Room for rounding: of a difference of angles, and of a score as a share of both norms.
 ANGLE, SHARE = 4e-6, 1e-9
-#: Largest sum of products that doubles hold exactly.
-EXACT = 1 << 53
+#: Sums of products below which these hold all of them exactly.
+EXACT = {np.float32: 1 << 24, np.float64: 1 << 53}
 
 _BLOCK = ["size", "cell", "salt"]
 
@@ -107,75 +107,101 @@ def _indexed(rows: DataFrame, of: dict[int, np.ndarray], kind: str, width: str)
 # -- a block and an anchor -------------------------------------------------------------------
 
 
-class Block:
-    """Rows of one block, sorted by the angle to the cell's direction."""
-
-    def __init__(self, cell: int, rows: pa.Table, width: str, exact: bool):
-        angles = np.array(rows["angles"].to_pylist(), np.float64).reshape(rows.num_rows, -1)
-        self.cell = cell if angles.shape[1] else None
-        order = np.argsort(angles[:, cell], kind="stable") if self.cell is not None else np.arange(rows.num_rows)
-        self.angles = angles[order]
-        self.ids = np.array(rows["id"].to_pylist(), object)[order]
-        self.rank = np.empty(len(order), np.int64)  # order of ids, for ties
-        self.rank[np.argsort(self.ids, kind="stable")] = np.arange(len(order))
-        self.label = rows["label"].to_numpy()[order]
-        self.norm = rows["norm"].to_numpy()[order]
-        self.longest = float(self.norm.max())
-        self.exact, self.width = exact, width
-        self.vectors = np.stack([self.whole(v) for v in rows["vector"].to_pylist()])[order]
-        self.first = self.angles[:, cell] if self.cell is not None else None
-        self.by_label = {int(x): np.flatnonzero(self.label == x) for x in np.unique(self.label)}
+class Rows:
+    """Rows in order of their angle to the cell's direction; angles are kept by direction."""
 
-    def whole(self, packed: bytes) -> np.ndarray:
-        """Integers in doubles where every sum of products is exact, else in Python's own."""
-        v = np.frombuffer(packed, self.width)
-        return v.astype(np.float64) if self.exact else np.array(v.tolist(), object)
+    def __init__(self, rank: np.ndarray, norm: np.ndarray, angles: np.ndarray, vectors: np.ndarray, cell: int | None):
+        self.rank, self.norm, self.angles, self.vectors = rank, norm, angles, vectors
+        self.first = None if cell is None else angles[cell].astype(np.float64)
+        self.cell, self.longest = cell, float(norm.max())
 
-    def scores(self, which: np.ndarray, q: np.ndarray) -> np.ndarray:
-        found = self.vectors[which] @ q
-        return found.astype(np.int64) if self.exact else found
+    def take(self, which: np.ndarray) -> Rows:
+        return Rows(self.rank[which], self.norm[which], np.ascontiguousarray(self.angles[:, which]), self.vectors[which], self.cell)
 
-    def _run(self, which: np.ndarray | None, anchor: dict, least: float) -> np.ndarray:
-        """Those of ``which`` (sorted places, or all) whose angle lets them score ``least``."""
+    def run(self, anchor: dict, least: float) -> slice:
+        """Where the angle lets rows score ``least``."""
         both = anchor["norm"] * self.longest
         bound = least - 1 - SHARE * both
         if self.first is None or bound <= 0 or both == 0:
-            return np.arange(len(self.ids)) if which is None else which
+            return slice(0, len(self.rank))
         away = np.arccos(min(bound / both, 1.0)) + ANGLE
-        own = self.first if which is None else self.first[which]
-        a, b = np.searchsorted(own, anchor["angles"][self.cell] + np.array([-away, away]))
-        return np.arange(a, b) if which is None else which[a:b]
+        return slice(*np.searchsorted(self.first, anchor["angles"][self.cell] + np.array([-away, away])))
 
-    def _bounds(self, which: np.ndarray, anchor: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest score that the angles allow."""
-        both = self.norm[which] * anchor["norm"]
+    def greatest(self, run: slice, anchor: dict) -> np.ndarray:
+        """The greatest score that the angles allow."""
+        both = self.norm[run] * anchor["norm"]
         if self.first is None:
-            low, high = np.zeros(len(which)), np.full(len(which), np.pi)
-        else:
-            own, q = self.angles[which], anchor["angles"]
-            low = np.maximum(np.abs(own - q).max(1) - ANGLE, 0)
-            far = own + q
-            high = np.minimum(np.minimum(far, 2 * np.pi - far).min(1) + ANGLE, np.pi)
-        room = 1 + SHARE * both
-        return both * np.cos(high) - room, both * np.cos(low) + room
+            return both * (1 + SHARE) + 1
+        low = np.abs(self.angles[:, run] - anchor["near"]).max(0).astype(np.float64)
+        return both * (np.cos(np.maximum(low - ANGLE, 0)) + SHARE) + 1
+
+    def least(self, run: slice, anchor: dict) -> np.ndarray:
+        """The least one."""
+        both = self.norm[run] * anchor["norm"]
+        if self.first is None:
+            return -both * (1 + SHARE) - 1
+        far = self.angles[:, run] + anchor["near"]
+        high = np.minimum(far, 2 * np.pi - far).min(0).astype(np.float64)
+        return both * (np.cos(np.minimum(high + ANGLE, np.pi)) - SHARE) - 1
+
+    def scores(self, run: slice, which: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Integer scores of the rows ``which`` of a run. A run of which most is asked for isn't copied."""
+        rows = self.vectors[run]
+        found = (rows @ q)[which] if 2 * len(which) > len(rows) else rows[which] @ q
+        return found if found.dtype == object else found.astype(np.int64)
+
+
+class Block:
+    """Rows of one block, all together and by label."""
+
+    def __init__(self, cell: int, rows: pa.Table, width: str, kind: type):
+        angles = np.array(rows["angles"].to_pylist(), np.float32).reshape(rows.num_rows, -1)
+        self.width, self.kind = width, kind
+        self.ids = np.array(rows["id"].to_pylist(), object)
+        rank = np.empty(len(self.ids), np.int64)  # order of ids, for ties
+        order = np.argsort(self.ids, kind="stable")
+        rank[order] = np.arange(len(order))
+        self.of_rank, self.same = self.ids[order], {}
+        for place, own in zip(rank.tolist(), self.ids):
+            self.same.setdefault(own, []).append(place)
+        by = cell if angles.shape[1] else None
+        order = np.arange(len(rank)) if by is None else np.argsort(angles[:, by], kind="stable")
+        self.label = rows["label"].to_numpy()[order]
+        packed = rows["vector"].to_pylist()
+        vectors = np.stack([self.whole(packed[k]) for k in order])
+        self.rows = Rows(rank[order], rows["norm"].to_numpy()[order], np.ascontiguousarray(angles[order].T), vectors, by)
+        self.by_label = {int(x): self.rows.take(np.flatnonzero(self.label == x)) for x in np.unique(self.label)}
+
+    def whole(self, packed: bytes) -> np.ndarray:
+        """Integers in floats that hold every sum of products exactly, or else Python's own."""
+        v = np.frombuffer(packed, self.width)
+        return v.astype(self.kind) if self.kind is not object else np.array(v.tolist(), object)
+
+    def _others(self, rank: np.ndarray, anchor: dict) -> np.ndarray:
+        """Which rows don't have the anchor's id."""
+        keep = np.ones(len(rank), bool)
+        for own in self.same.get(anchor["id"], ()):
+            keep &= rank != own
+        return keep
 
     def positives(self, anchor: dict, k: int) -> list[tuple]:
         """The k best other rows of the anchor's label that score ``anchor['least']`` or more."""
-        which = self.by_label.get(anchor["label"])
-        if which is None:
+        rows = self.by_label.get(anchor["label"])
+        if rows is None:
             return []
-        which = which[self.ids[which] != anchor["id"]]
         q, least = self.whole(anchor["vector"]), anchor["least"]
         least = -np.inf if least is None else float(least)
-        near = which
-        if self.first is not None and len(which) > 8 * k:  # the nearest by angle give a bound
-            near = which[np.argsort(np.abs(self.angles[which] - anchor["angles"]).max(1), kind="stable")[: 4 * k]]
-            best = np.sort(self.scores(near, q))
+        run = slice(0, len(rows.rank))
+        if rows.first is not None and len(rows.rank) > 8 * k:  # the nearest by angle give a bound
+            near = np.argpartition(np.abs(rows.angles - anchor["near"]).max(0), 4 * k)[: 4 * k]
+            near = near[self._others(rows.rank[near], anchor)]
+            best = np.sort(rows.scores(run, near, q))
             least = max(least, float(best[-k])) if len(best) >= k else least
-            which = self._run(which, anchor, least)
-            which = which[self._bounds(which, anchor)[1] >= least - SHARE * abs(least)]
-        score = self.scores(which, q)
-        return [(self.ids[w], s) for w, s in self._first(which, score, k)]
+            run = rows.run(anchor, least)
+        may = self._others(rows.rank[run], anchor) & (rows.greatest(run, anchor) >= least - SHARE * abs(least))
+        which = np.flatnonzero(may)
+        score = rows.scores(run, which, q)
+        return [(self.of_rank[r], s) for r, s in _first(rows.rank[run][which], score, k)]
 
     def negatives(self, anchor: dict, k: int, low: int, high: int) -> list[tuple]:
         """For each positive the k best rows of other labels within ``low`` to ``high`` percent of it."""
@@ -184,35 +210,38 @@ class Block:
             return []
         least = min(p["score"] for p in asked) * low / 100
         most = max(p["score"] for p in asked) * high / 100
-        which = self._run(None, anchor, least)
-        which = which[(self.label[which] != anchor["label"]) & (self.ids[which] != anchor["id"])]
-        bottom, top = self._bounds(which, anchor)
-        which = which[(top >= least * (1 - SHARE)) & (bottom <= most * (1 + SHARE))]
-        score = self.scores(which, self.whole(anchor["vector"]))
+        rows, run = self.rows, self.rows.run(anchor, least)
+        may = (self.label[run] != anchor["label"]) & (rows.greatest(run, anchor) >= least * (1 - SHARE))
+        may &= rows.least(run, anchor) <= most * (1 + SHARE)
+        which = np.flatnonzero(may & self._others(rows.rank[run], anchor))
+        score, rank = rows.scores(run, which, self.whole(anchor["vector"])), rows.rank[run][which]
         out = []
         for p in asked:
-            # Python's integers where products with a percentage could pass 64 bits
+            # Python's integers, as products with a percentage could pass 64 bits
             bounds = -(-low * p["score"] // 100), high * p["score"] // 100
             inside = np.flatnonzero((score >= bounds[0]) & (score <= bounds[1]))
-            out += [(p["rank"], p["id"], p["score"], self.ids[w], s) for w, s in self._first(which[inside], score[inside], k)]
+            out += [(p["rank"], p["id"], p["score"], self.of_rank[r], s) for r, s in _first(rank[inside], score[inside], k)]
         return out
 
-    def _first(self, which: np.ndarray, score: np.ndarray, k: int) -> list[tuple[int, int]]:
-        if len(which) > 4 * k and self.exact:
-            last = np.partition(score, len(score) - k)[len(score) - k]
-            which, score = which[score >= last], score[score >= last]
-        order = sorted(range(len(which)), key=lambda n: (-score[n], self.rank[which[n]]))[:k]
-        return [(which[n], int(score[n])) for n in order]
+
+def _first(rank: np.ndarray, score: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The k best, ties to the smaller id."""
+    if len(rank) > 4 * k and score.dtype != object:
+        last = np.partition(score, len(score) - k)[len(score) - k]
+        rank, score = rank[score >= last], score[score >= last]
+    order = sorted(range(len(rank)), key=lambda n: (-score[n], rank[n]))[:k]
+    return [(rank[n], int(score[n])) for n in order]
 
 
-def _visit(index: DataFrame, visits: DataFrame, schema: str, width: str, exact: bool, each_anchor) -> DataFrame:
+def _visit(index: DataFrame, visits: DataFrame, schema: str, width: str, number: type, each_anchor) -> DataFrame:
     """``each_anchor(block, anchor)`` gives rows of ``schema`` for every visit of an anchor to a block."""
 
     def each(block: Block, anchor: dict) -> list[tuple]:
         anchor["angles"] = np.array(anchor["angles"], np.float64)
+        anchor["near"] = anchor["angles"].astype(np.float32)[:, None]
         return [(anchor["row"], anchor["id"], *found) for found in each_anchor(block, anchor)]
 
-    return visited(index, visits, _BLOCK, schema, lambda key, rows: Block(key[1], rows, width, exact), each)
+    return visited(index, visits, _BLOCK, schema, lambda key, rows: Block(key[1], rows, width, number), each)
 
 
 # -- all of them -----------------------------------------------------------------------------
@@ -267,7 +296,8 @@ def hard_negatives(
     rows, told = materialize(rows, "vectors", most, F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
     largest = told["most"] or 0
     width = "<i2" if largest < 1 << 15 else "<i8"
-    exact = largest * largest * max(told["size"] or 0, 1) < EXACT
+    sums = largest * largest * max(told["size"] or 0, 1)
+    number = next((kind for kind, most in EXACT.items() if sums < most), object)
     kind = rows.schema["id"].dataType.simpleString()
     index, _ = materialize(_indexed(rows, directions(rows, SAMPLE, DIRECTIONS), kind, width), "angles")
     block_rows = min(block_rows, max(LEAST_BLOCK_ROWS, -(-told["n"] // USUAL_BLOCKS)))
@@ -286,13 +316,13 @@ def hard_negatives(
         return block.positives(anchor, positives)
 
     home, _ = materialize(
-        _visit(index, asked.select(*_BLOCK, *visitor[1:], none.alias("least")), schema, width, exact, best), "home"
+        _visit(index, asked.select(*_BLOCK, *visitor[1:], none.alias("least")), schema, width, number, best), "home"
     )
     bound = home.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("last"))
     bound = bound.select(F.col("anchor").alias("row"), F.when(F.col("n") >= positives, F.col("last")).alias("least"))
     told_home = asked.join(bound, "row", "left").select(*visitor, "least", F.struct("cell", "salt").alias("home"))
     others = told_home.join(blocks, "size").filter((F.struct("cell", "salt") != F.col("home")) & _can_score(F.col("least")))
-    away = _visit(index, others.select(*_BLOCK, *visitor[1:], "least"), schema, width, exact, best)
+    away = _visit(index, others.select(*_BLOCK, *visitor[1:], "least"), schema, width, number, best)
     order = Window.partitionBy("anchor").orderBy(F.desc("score"), "id")
     first = home.union(away).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= positives)
     lists = first.groupBy(F.col("anchor").alias("row")).agg(
@@ -306,7 +336,7 @@ def hard_negatives(
     windows = asked.select(*visitor).join(lists.filter("last IS NOT NULL"), "row")
     least = F.col("last") * (low / 100) * (1 - SHARE)
     visits = windows.join(blocks, "size").filter(_can_score(least)).select(*_BLOCK, *visitor[1:], "positives")
-    found = _visit(index, visits, schema, width, exact, lambda block, anchor: block.negatives(anchor, negatives, low, high))
+    found = _visit(index, visits, schema, width, number, lambda block, anchor: block.negatives(anchor, negatives, low, high))
     order = Window.partitionBy("anchor", "place").orderBy(F.desc("negative_score"), "negative_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= negatives)
     return ranked.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -76,12 +76,13 @@ def test_angles_spare_scores(monkeypatch):
         "id": [r[0] for r in rows], "label": [r[2] for r in rows], "norm": norm, "angles": list(angles.astype(np.float32)),
         "vector": [x.astype("<i2").tobytes() for x in v],
     })
-    block, scored = negatives.Block(0, t, "<i2", True), []
-    plain = negatives.Block.scores
-    monkeypatch.setattr(negatives.Block, "scores", lambda self, w, q: scored.append(len(w)) or plain(self, w, q))
+    block, scored = negatives.Block(0, t, "<i2", np.float64), []
+    plain = negatives.Rows.scores
+    monkeypatch.setattr(negatives.Rows, "scores", lambda self, r, w, q: scored.append(len(w)) or plain(self, r, w, q))
     for n in range(0, 3000, 100):
         anchor = t.slice(n, 1).to_pylist()[0] | {"least": None}
         anchor["angles"] = np.array(anchor["angles"])
+        anchor["near"] = anchor["angles"].astype(np.float32)[:, None]
         block.positives(anchor, 5)
     assert sum(scored) < 0.25 * 30 * 750  # of the rows of the anchors' labels
 
