@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logmill.functions.scratch import discard
 from logmill.llm.common import materialize
 
 
@@ -21,7 +22,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         step = _small_star(_large_star(now))
         after, told = _written(step)
         if told == seen:
+            discard(after)
             break
+        discard(now)
         now, seen = after, told
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
