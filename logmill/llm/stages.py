@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logmill.functions.scratch import discard
 from logmill.llm import jaccard, language, lines, packing, passages
 from logmill.llm.common import any_without_id, key_of, materialize, table
 
 #: Bytes that a repeated passage must have: a passage of over 50 words has as many if its words
 #: have four letters on average. The grams leave as much room as those of ``passages``.
 PASSAGE, PASSAGE_GRAM = 240, 96
+#: Contexts of one such gram that one task compares (some 110 MB); more go through a shuffle.
+PASSAGE_MANY = 1 << 15
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,7 +24,8 @@ def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> Da
     """The stages one after the other on ``documents``, each on what the one before wrote."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in stages[:-1]:
-        docs, _ = materialize(stage(spark, docs, sf_dir), name)
+        before, (docs, _) = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)
     return stages[-1][1](spark, docs, sf_dir)
 
 
@@ -67,7 +71,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of ``PASSAGE`` bytes or more that occur again, here or elsewhere.
     What a removal leaves of a character goes as well; a document that keeps no word goes."""
-    size = {"length": PASSAGE, "gram": PASSAGE_GRAM}
+    size = {"length": PASSAGE, "gram": PASSAGE_GRAM, "many": PASSAGE_MANY}
     if any_without_id(docs):
         keyed = docs.select(key_of().alias("key"), "text", _row(docs).alias("row"))
         found = passages.without_repeats(keyed, "key", carry=F.col("row"), as_text=True, **size)
