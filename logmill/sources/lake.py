@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logmill.functions.settings import OPEN_FILES, settings
 from logmill.schema import LOG_SCHEMA, MAYBE_EMPTY
 from logmill.sources.runs import OUTCOME, RECORDS, Runs
 
@@ -23,7 +24,8 @@ def append_to_lake(df: DataFrame, path: str, partition_by: str | Sequence[str] =
 def write_outcomes(df: DataFrame, path: str, partition_by: str | Sequence[str] = ()) -> None:
     """As ``append_to_lake``, below a first level of folders by the text column ``outcome``."""
     schema = T.StructType([T.StructField(OUTCOME, T.StringType()), *LOG_SCHEMA])
-    _append(df.to(schema), path, [OUTCOME], lake_fields(partition_by))
+    with settings(df.sparkSession, OPEN_FILES):
+        _append(df.to(schema), path, [OUTCOME], lake_fields(partition_by))
 
 
 def append_in_chunks(df: DataFrame, path: str, rows: int = 100_000) -> DataFrame:

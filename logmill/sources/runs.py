@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logmill.functions.settings import settings
+from logmill.functions.settings import OPEN_FILES, settings
 from logmill.schema import FILES_SCHEMA, LOG_SCHEMA
 from logmill.sources.store import Store
 
@@ -186,7 +186,7 @@ class Runs:
             "spark.sql.files.minPartitionNum": "1",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         }
-        with settings(self.spark, packed):
+        with settings(self.spark, packed | OPEN_FILES):
             rows = rows.hint("rebalance", *fields) if fields else rows
             rows.drop(RUN).write.partitionBy(OUTCOME, *fields).parquet(self.place(folder))
         told = {k: sum(m[k] for m in small) for k in ("records", "rejects")}

@@ -1,6 +1,9 @@
 """Runs of a lake: repeated, killed, of new files only, rewritten."""
 
+import json
 import os
+import subprocess
+import sys
 import threading
 from pathlib import Path
 
@@ -238,6 +241,55 @@ def test_compaction_packs_by_size(spark, tmp_path):
     assert lake.read_lake(spark, f"{tmp_path}/output").count() == 240
 
 
+_TWO_LAKES = """
+import sys
+
+from pyspark.sql import SparkSession
+
+from test_pipeline import BAD, GOOD, make
+from test_runs import load
+from logmill.sources.runs import Runs
+
+top = sys.argv[1]
+options = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{top}/log", "spark.eventLog.compress": "false",
+           "spark.eventLog.rolling.enabled": "false", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+           "spark.sql.warehouse.dir": f"{top}/tables", "spark.checkpoint.dir": f"{top}/shared"}
+spark = SparkSession.builder.master("local[2]").config(map=options).getOrCreate()
+for fields in ([], ["status"]):
+    for n in range(2):
+        load(spark, f"{top}/lake{len(fields)}", GOOD + BAD, run=f"run{n}", partition_field=fields, errors_location=None)
+    Runs(spark, f"{top}/lake{len(fields)}/output").compact()
+spark.stop()
+"""
+
+
+def test_lake_writes_do_not_sort(tmp_path):
+    """Loads and compactions write rows as they come; a sort by folder would hold all of a task."""
+    (tmp_path / "log").mkdir()
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(map(str, (Path(__file__).parent, Path(__file__).parent.parent)))}
+    subprocess.run([sys.executable, "-c", _TWO_LAKES, str(tmp_path)], env=env, check=True, timeout=300)
+    plans = {}
+    for line in next((tmp_path / "log").iterdir()).read_text().splitlines():
+        event = json.loads(line)
+        if "physicalPlanDescription" in event:
+            plans[event["executionId"]] = event["physicalPlanDescription"]
+    writes = [p for p in plans.values() if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(writes) == 6 and all("outcome" in p for p in writes)
+    assert not [p for p in writes if "Sort" in p]
+
+
+def test_more_folders_than_open_files(spark, tmp_path):
+    """One task writes 40 folders, each once."""
+    for n in range(2):
+        load(spark, tmp_path, GOOD + BAD, parts=1, run=f"run{n}", partition_field=["request", "status"])
+    runs = Runs(spark, f"{tmp_path}/output")
+    folders = len({(line.split('"')[1].split()[1], line.split('"')[2].split()[0]) for line in GOOD}) + 1
+    assert [runs.sizes()[m["folder"]][0] for m in runs.live()] == [folders] * 2
+    marker = runs.compact()
+    assert runs.sizes()[marker["folder"]][0] == folders
+    assert requests(spark, tmp_path) == wanted(GOOD + GOOD) and runs.rejects().count() == 6
+
+
 def test_lakes_without_runs_are_read_as_before(spark, tmp_path):
     records = lake.read_lake(spark, load(spark, tmp_path, GOOD).lake)
     lake.append_to_lake(records, f"{tmp_path}/plain", "status")
