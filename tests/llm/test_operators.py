@@ -10,9 +10,11 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import first_plan
 
 from logmill.llm import jaccard, language, licenses, lines, neighbours, packing, passages, quality
 from logmill.llm.bpe import decode, encode, encode_text, encoding, parts
+from logmill.llm.common import materialize
 from logmill.llm.components import components
 
 LETTERS = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split()
@@ -185,6 +187,27 @@ def test_components(spark):
     assert got == {k: 0 for k in range(31)} | {100: 100, 150: 100, 200: 100}
 
 
+def test_components_write_a_table_for_each_round_that_changes_links(spark, monkeypatch):
+    """Links that are stars need no round, and a round joins twice, reading its links once each time."""
+    written = []
+
+    def counted(df, *rest):
+        written.append(first_plan(df))
+        return materialize(df, *rest)
+
+    monkeypatch.setattr("logmill.llm.components.materialize", counted)
+    stars = spark.createDataFrame([(1, 2), (1, 3), (4, 9), (3, 1)], "a long, b long")
+    assert {(r.node, r.root) for r in components(stars).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (9, 4)}
+    assert len(written) == 1
+    chain = spark.createDataFrame([(1, 5), (5, 2)], "a long, b long")
+    assert {(r.node, r.root) for r in components(chain).collect()} == {(1, 1), (2, 1), (5, 1)}
+    assert len(written) == 3
+    assert written[2].count("Generate explode") == 1 and "Union" not in written[2].split("Generate explode")[0]
+    assert components(stars.limit(0)).count() == 0
+    loops = spark.createDataFrame([(7, 7), (8, 8)], "a long, b long")
+    assert components(loops).count() == 0
+
+
 # -- 2 ---------------------------------------------------------------------------------------
 
 
