@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmill.llm.common import batched, id_and_text, materialize, mix, rows_of, table, utf8
+from logmill.llm.common import batched, id_and_text, in_few_files, materialize, mix, rows_of, table, utf8
 
 BLANK = b" \t\n\x0b\f\r"
 LEAST_CHARS = 20
@@ -203,7 +203,6 @@ class LineIndex:
         if self.counts is None:
             counts, told = materialize(new, "line-counts", keys)
             return self._grown(told["keys"])._with(counts, counts, refs if keep_log else None)
-        new, _ = materialize(new, "line-batch")
         probed, _ = materialize(self._probed(new), "line-probed")
         old = self.counts.select("k1", "k2", F.col("n").alias("n0"), F.col("last").alias("last0"), F.lit(True).alias("known"))
         seen = probed.filter("maybe").join(old, ["k1", "k2"], "left")
@@ -325,4 +324,5 @@ BATCHES = 2
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     kept = LineIndex(spark).insert_in_batches(documents, BATCHES).apply(documents)
-    return kept.select(F.col("doc").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    kept = kept.select(F.col("doc").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return in_few_files(kept)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logmill.functions.scratch import discard
 from logmill.llm import jaccard, language, lines, packing, passages
-from logmill.llm.common import any_without_id, key_of, materialize, table
+from logmill.llm.common import any_without_id, in_few_files, key_of, materialize, table
 
 #: Bytes that a repeated passage must have: a passage of over 50 words has as many if its words
 #: have four letters on average. The grams leave as much room as those of ``passages``.
@@ -36,7 +36,9 @@ def _row(docs: DataFrame) -> Column:
 def _with_text(docs: DataFrame, found: DataFrame, text: Column) -> DataFrame:
     """The rows in ``carry`` with a new text and its length."""
     new = {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return found.select(*[new[c].alias(c) if c in new else F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    return in_few_files(
+        found.select(*[new[c].alias(c) if c in new else F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
+    )
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +65,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         left = keyed.join(found.select(F.col("doc").alias("key")).distinct(), "key", "left_anti")
         alike = F.col("key.none") & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
         left = left.filter(~alike).union(left.filter(alike).dropDuplicates(["key"]))
-        return left.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+        return in_few_files(left.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns]))
     found = jaccard.near_duplicates(docs).filter("component < doc").select(F.col("doc").alias("doc_id")).distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return in_few_files(docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

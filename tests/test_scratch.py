@@ -26,3 +26,26 @@ def test_discard(spark):
     store = Store(spark, kept._scratch)
     discard(gone, spark.range(2))
     assert not store.exists(gone._scratch) and kept.count() == 5
+
+
+def _files(df):
+    return len([f for f in df.inputFiles() if "part-" in f])
+
+
+def _dealt_out(spark, setting):
+    setting("spark.sql.shuffle.partitions", "64")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return spark.range(2000).selectExpr("id % 1000 as k").groupBy("k").count()
+
+
+def test_small_tables_are_few_files(spark, setting):
+    """64 partitions made 64 files, for each of which executors started three processes."""
+    stored, seen = materialize(_dealt_out(spark, setting), "counts", F.count("*").alias("n"), F.sum("k").alias("total"))
+    assert _files(stored) <= 2 * spark.sparkContext.defaultParallelism
+    assert seen == {"n": 1000, "total": 499500}
+    assert sorted(stored.collect()) == [(n, 2) for n in range(1000)]
+
+
+def test_large_tables_keep_their_partitions(spark, setting, monkeypatch):
+    monkeypatch.setattr("logmill.functions.scratch.FILE_BYTES", 100)  # of 16,000 bytes
+    assert _files(materialize(_dealt_out(spark, setting), "counts")[0]) == 64
