@@ -28,6 +28,9 @@ from logmill.llm.common import batched, id_and_text, in_few_files, materialize,
 BLANK = b" \t\n\x0b\f\r"
 LEAST_CHARS = 20
 LEAST_DOCS = 3
+#: Bytes of documents for which the log of references gets a file. It is made by a scan that holds
+#: little, so its tasks can be as large as Spark's scans are by default.
+LOG_BYTES = 128 << 20
 
 
 class CuckooFilter:
@@ -194,7 +197,7 @@ class LineIndex:
                 refs = refs.join(self.log.join(again, "doc", "left_semi"), ["k1", "k2", "doc"], "left_anti")
         docs = own.select("doc") if self.docs is None else self.docs.union(own.select("doc")).distinct()
         if keep_log:
-            refs, _ = materialize(refs, "line-refs")
+            refs, _ = materialize(refs, "line-refs", file_bytes=LOG_BYTES)
         return replace(self._added(refs, keep_log), docs=docs)
 
     def _added(self, refs: DataFrame, keep_log: bool) -> LineIndex:

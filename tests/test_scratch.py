@@ -1,3 +1,6 @@
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from logmill.functions.scratch import materialize, scratch_path
@@ -49,3 +52,23 @@ def test_small_tables_are_few_files(spark, setting):
 def test_large_tables_keep_their_partitions(spark, setting, monkeypatch):
     monkeypatch.setattr("logmill.functions.scratch.FILE_BYTES", 100)  # of 16,000 bytes
     assert _files(materialize(_dealt_out(spark, setting), "counts")[0]) == 64
+
+
+def test_one_file_for_a_part(spark):
+    """Each part had a checksum file beside it, for which executors started one more process."""
+    stored, _ = materialize(spark.range(100, numPartitions=3), "parts")
+    folder = Path(stored._scratch.removeprefix("file:"))
+    assert sorted(f.suffix for f in folder.iterdir()) == ["", ".parquet", ".parquet", ".parquet"]
+    assert stored.count() == 100
+
+
+def test_damaged_files_are_noticed(spark):
+    text = "a text that is kept as it stands " * 20
+    stored, _ = materialize(spark.range(1, numPartitions=1).select(F.lit(text).alias("text")), "damaged")
+    assert [r["text"] for r in stored.collect()] == [text]
+    (part,) = Path(stored._scratch.removeprefix("file:")).glob("part-*")
+    whole = part.read_bytes()
+    at = whole.index(b"stands")
+    part.write_bytes(whole[:at] + b"S" + whole[at + 1 :])
+    with pytest.raises(Exception, match="(?i)checksum|crc"):
+        stored.collect()
